@@ -20,10 +20,16 @@ def _key(seed: int, tag: str) -> str:
     return f"{int(seed)}|{tag}|"
 
 
-def keyed_uniform(seed: int, tag: str | int, id_col: Column | str) -> Column:
-    """Uniform in (0, 1) from ``md5('<seed>|<tag>|<id>')``; never 0 or 1."""
+def keyed_uniform(seed: int | Column, tag: str | int, id_col: Column | str) -> Column:
+    """Uniform in (0, 1) from ``md5('<seed>|<tag>|<id>')``; never 0 or 1.
+
+    ``seed`` may be a column (one draw per seed in a single job)."""
     idc = F.col(id_col) if isinstance(id_col, str) else id_col
-    text = F.concat(F.lit(_key(seed, str(tag))), idc.cast("string"))
+    if isinstance(seed, Column):
+        prefix = F.concat(seed.cast("long").cast("string"), F.lit(f"|{tag}|"))
+    else:
+        prefix = F.lit(_key(seed, str(tag)))
+    text = F.concat(prefix, idc.cast("string"))
     bits = F.conv(F.substring(F.md5(text), 1, _HEX_DIGITS), 16, 10).cast("double")
     return (bits + F.lit(0.5)) / F.lit(_SCALE)
 

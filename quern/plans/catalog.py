@@ -13,10 +13,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.functions.text import split_lines
 from quern.functions.vectors import euclidean, sqdist
 from quern.operators import clustering as cl
 from quern.operators import numeric as num
 from quern.operators import text as tx
+from quern.sources.layout import spread
 from quern.sources.numbers import numbers_from_text
 from quern.sources.text import lines_from_table
 from quern.sources.vectors import parse_vector, points_from_embeddings
@@ -106,9 +108,7 @@ def _lines(spark, sf_dir):
 
 
 def text_lines(spark, sf_dir):
-    from quern.functions.text import split_lines
-
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select("doc_id", F.size(split_lines(F.col("text"))).cast("long").alias("n_lines"))
 
 

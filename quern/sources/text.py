@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions.text import split_lines
+from quern.sources.layout import spread
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -26,9 +27,11 @@ def lines_from_table(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """``doc_id, line_no, line`` from a table whose rows hold whole texts.
 
     Each text is cut at ``\\r\\n``, ``\\r`` or ``\\n``, like a text file; only
-    the two needed columns are read from the scan.
+    the two needed columns are read from the scan, and an under-split scan
+    is spread over the cores before the per-row text work.
     """
-    return df.select(
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.posexplode(split_lines(F.col(text_col))).alias("line_no", "line"),
+    docs = spread(df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")))
+    return docs.select(
+        "doc_id",
+        F.posexplode(split_lines(F.col("text"))).alias("line_no", "line"),
     ).withColumn("line_no", F.col("line_no").cast("long"))
