@@ -157,68 +157,91 @@ def _seed(pts: DataFrame, k: int, seed: int, stage: str, n_buckets: int, dim: in
     return out
 
 
-def _centre_lists(centres: DataFrame) -> DataFrame:
-    """``bucket, cs``: each bucket's centres as one array of ``(cid, c)``."""
-    return centres.groupBy("bucket").agg(F.collect_list(F.struct("cid", "c")).alias("cs"))
+def _lists(centres: DataFrame) -> DataFrame:
+    """``bucket, cs``: each bucket's centres as one array of ``(cid, c)``.
+
+    The list form is what the nearest-centre projection reads, so centre
+    tables are kept in it between Lloyd rounds (no regrouping per round).
+    """
+    return centres.groupBy("bucket").agg(
+        F.collect_list(F.struct(F.col("cid").cast("int").alias("cid"), F.col("c"))).alias("cs")
+    )
+
+
+def _unlist(lists: DataFrame) -> DataFrame:
+    """``bucket, cid, c`` from the list form."""
+    return lists.select("bucket", F.explode("cs").alias("e")).select(
+        "bucket", F.col("e.cid").alias("cid"), F.col("e.c").alias("c")
+    )
 
 
-def _assign(pts: DataFrame, centres: DataFrame, bound: int) -> DataFrame:
+def _assign(pts: DataFrame, lists: DataFrame, bound: int) -> DataFrame:
     """Adds ``cid`` (nearest centre of the point's bucket) and ``d2``."""
-    cs = broadcast_if_bounded(_centre_lists(centres), bound)
+    cs = broadcast_if_bounded(lists, bound)
     near = nearest_centre("p", "cs")
     return pts.join(cs, "bucket").withColumn("m", near).select(
-        *[c for c in pts.columns], F.col("m.cid").alias("cid"), F.col("m.d2").alias("d2")
+        *pts.columns, F.col("m.cid").alias("cid"), F.col("m.d2").alias("d2")
     )
 
 
-def _means(assigned: DataFrame) -> DataFrame:
-    """``bucket, cid, c_new``: weighted mean vector of each centre's points.
+def _update(pts: DataFrame, lists: DataFrame, bound: int) -> DataFrame:
+    """One Lloyd step inside every bucket, in list form.
 
-    Components are summed per ``(bucket, cid, pos)`` (hash aggregate with a
-    partial step, so a large cluster costs one row per task and component),
-    then put back in ``pos`` order.
+    Each centre moves to the weighted mean of its points; a centre without
+    points keeps its place. The old centres enter the same aggregate as
+    weight-0 component rows, so no join is needed: components are summed per
+    ``(bucket, cid, pos)`` (partial + final hash aggregate: a large cluster
+    costs one row per task and component), then each bucket's components,
+    sorted by ``(cid, pos)``, are cut back into one vector per centre.
     """
-    comp = assigned.select("bucket", "cid", "w", F.posexplode("p").alias("pos", "v"))
-    sums = comp.groupBy("bucket", "cid", "pos").agg(
-        F.sum(F.col("w") * F.col("v")).alias("sv"), F.sum("w").alias("sw")
+    a = _assign(pts, lists, bound)
+    moved = a.select(
+        "bucket", "cid", F.posexplode("p").alias("pos", "v"), F.col("w")
+    ).select(
+        "bucket", "cid", "pos",
+        (F.col("w") * F.col("v")).alias("wv"),
+        F.col("w").alias("ww"),
+        F.lit(None).cast("double").alias("old"),
     )
-    return sums.groupBy("bucket", "cid").agg(
-        F.sort_array(F.collect_list(F.struct("pos", (F.col("sv") / F.col("sw")).alias("v")))).alias("e")
-    ).select("bucket", "cid", F.transform("e", lambda x: x["v"]).alias("c_new"))
-
-
-def _moved(centres: DataFrame, means: DataFrame) -> DataFrame:
-    """New centres; a centre without points keeps its place."""
-    return (
-        centres.select("bucket", "cid", "c")
-        .join(means, ["bucket", "cid"], "left")
-        .select("bucket", "cid", F.coalesce(F.col("c_new"), F.col("c")).alias("c"))
+    kept = _unlist(lists).select(
+        "bucket", "cid", F.posexplode("c").alias("pos", "old")
+    ).select(
+        "bucket", "cid", "pos",
+        F.lit(0.0).alias("wv"),
+        F.lit(0).cast("long").alias("ww"),
+        F.col("old"),
     )
+    comps = moved.unionByName(kept).groupBy("bucket", "cid", "pos").agg(
+        F.sum("wv").alias("sv"), F.sum("ww").alias("sw"), F.max("old").alias("old")
+    )
+    value = F.when(F.col("sw") > 0, F.col("sv") / F.col("sw")).otherwise(F.col("old"))
+    flat = comps.groupBy("bucket").agg(
+        F.array_sort(F.collect_list(F.struct("cid", "pos", value.alias("v")))).alias("e")
+    )
+    n_cid = F.size(F.array_distinct(F.transform("e", lambda x: x["cid"])))
+    dim = (F.size("e") / n_cid).cast("int")
+    cs = F.transform(
+        F.sequence(F.lit(0), n_cid - 1),
+        lambda j: F.struct(
+            F.element_at("e", j * dim + 1)["cid"].alias("cid"),
+            F.transform(F.slice("e", j * dim + 1, dim), lambda x: x["v"]).alias("c"),
+        ),
+    )
+    return flat.select("bucket", cs.alias("cs"))
 
 
-def _update(pts: DataFrame, centres: DataFrame, bound: int) -> DataFrame:
-    """One Lloyd step inside every bucket."""
-    return _moved(centres, _means(_assign(pts, centres, bound)))
-
-
-def _lloyd(pts: DataFrame, centres: DataFrame, iters: int, bound: int, tables: ScratchTables,
+def _lloyd(pts: DataFrame, lists: DataFrame, iters: int, bound: int, tables: ScratchTables,
            stage: str) -> DataFrame:
-    centres = centres.select("bucket", "cid", "c")
     for it in range(iters):
-        centres = tables.put(_update(pts, centres, bound), f"{stage}-lloyd{it}")
-    return centres
-
-
-def _weights(pts: DataFrame, centres: DataFrame, bound: int) -> DataFrame:
-    a = _assign(pts, centres, bound)
-    return a.groupBy("bucket", "cid").agg(F.sum("w").cast("long").alias("w"))
+        lists = tables.put(_update(pts, lists, bound), f"{stage}-lloyd{it}")
+    return lists
 
 
 def _kmeanspp(pts: DataFrame, k: int, iters: int, seed: int, stage: str, n_buckets: int,
-              tables: ScratchTables) -> DataFrame:
-    dim = vector_dim(pts)
+              tables: ScratchTables, dim: int) -> DataFrame:
+    """Seeding then Lloyd in every bucket; returns the list form."""
     seeds = _seed(pts, k, seed, stage, n_buckets, dim, tables)
-    return _lloyd(pts, seeds, iters, _bound(n_buckets * k, dim), tables, stage)
+    return _lloyd(pts, _lists(seeds), iters, _bound(n_buckets * k, dim), tables, stage)
 
 
 # ---------------------------------------------------------------- public API
@@ -284,17 +307,19 @@ def cluster_weights(points: DataFrame, centres: DataFrame, weight_col: str | Non
     return a.groupBy("cid").agg(F.sum(w).cast("long").alias("w"))
 
 
+def _model_lists(centres: DataFrame) -> DataFrame:
+    """A model (``cid, c``, k rows) as the one-bucket list form."""
+    return _lists(centres.select(F.lit(0).cast("int").alias("bucket"), "cid", "c"))
+
+
+# A model is k rows; it is broadcast as one row holding its array.
+_MODEL = 0
+
+
 def centroid_update(points: DataFrame, centres: DataFrame, weight_col: str | None = None) -> DataFrame:
     """``cid, c``: one Lloyd step against fixed centres (weighted means)."""
     pts = prepare_points(points, 1, 0, weight_col)
-    cs = centres.select(F.lit(0).cast("int").alias("bucket"), F.col("cid").cast("int").alias("cid"), "c")
-    return _update_global(pts, cs).select("cid", "c")
-
-
-def _update_global(pts: DataFrame, cs: DataFrame) -> DataFrame:
-    """One Lloyd step against a model of k centres (broadcast as one row)."""
-    a = assign_nearest(pts, cs.select("cid", "c")).withColumn("bucket", F.lit(0).cast("int"))
-    return _moved(cs, _means(a))
+    return _unlist(_update(pts, _model_lists(centres), _MODEL)).select("cid", "c")
 
 
 def lloyd(points: DataFrame, centres: DataFrame, iters: int, weight_col: str | None = None) -> DataFrame:
@@ -304,13 +329,7 @@ def lloyd(points: DataFrame, centres: DataFrame, iters: int, weight_col: str | N
     tables = ScratchTables(spark, "lloyd")
     pts = prepare_points(points, 1, 0, weight_col).persist(STORAGE)
     try:
-        cs = tables.put(
-            centres.select(F.lit(0).cast("int").alias("bucket"), F.col("cid").cast("int").alias("cid"), "c"),
-            "start",
-        )
-        for it in range(iters):
-            cs = tables.put(_update_global(pts, cs), f"lloyd{it}")
-        return cs.select("cid", "c")
+        return _unlist(_lloyd(pts, _model_lists(centres), iters, _MODEL, tables, "lloyd")).select("cid", "c")
     finally:
         pts.unpersist(blocking=False)
 
@@ -329,9 +348,10 @@ def coreset(points: DataFrame, k: int, n_buckets: int, iters: int, seed: int = 0
     pts = prepare_points(points, n_buckets, seed).persist(STORAGE)
     try:
         dim = vector_dim(pts)
-        centres = _kmeanspp(pts, k, iters, seed, "coreset", n_buckets, tables)
-        w = _weights(pts, centres, _bound(n_buckets * k, dim))
-        out = centres.join(w, ["bucket", "cid"]).select("bucket", "cid", "c", "w")
+        bound = _bound(n_buckets * k, dim)
+        lists = _kmeanspp(pts, k, iters, seed, "coreset", n_buckets, tables, dim)
+        w = _assign(pts, lists, bound).groupBy("bucket", "cid").agg(F.sum("w").cast("long").alias("w"))
+        out = _unlist(lists).join(w, ["bucket", "cid"]).select("bucket", "cid", "c", "w")
         return tables.put(out, "coreset")
     finally:
         pts.unpersist(blocking=False)
@@ -352,7 +372,8 @@ def recluster(core: DataFrame, k: int, iters: int, seed: int = 0) -> DataFrame:
     )
     pts = prepare_points(rows, 1, seed, "w").persist(STORAGE)
     try:
-        return _kmeanspp(pts, k, iters, seed, "recluster", 1, tables).select("cid", "c")
+        lists = _kmeanspp(pts, k, iters, seed, "recluster", 1, tables, vector_dim(pts))
+        return _unlist(lists).select("cid", "c")
     finally:
         pts.unpersist(blocking=False)
 
@@ -370,6 +391,7 @@ def kmedian_direct(points: DataFrame, k: int, iters: int, seed: int = 0) -> Data
     tables = ScratchTables(spark, "direct")
     pts = prepare_points(points, 1, seed).persist(STORAGE)
     try:
-        return _kmeanspp(pts, k, iters, seed, "direct", 1, tables).select("cid", "c")
+        lists = _kmeanspp(pts, k, iters, seed, "direct", 1, tables, vector_dim(pts))
+        return _unlist(lists).select("cid", "c")
     finally:
         pts.unpersist(blocking=False)
