@@ -13,20 +13,30 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def split_lines(text: Column | str) -> Column:
-    """Lines of a text value, as a line-oriented file source would read them.
-
-    A terminator at the very end does not open an empty last line, and an
-    empty text has no line at all; every other piece (empty ones included) is
-    a line. The final terminator is cut by length (no regex scan), and a text
-    without ``\\r`` is split on the single character ``\\n`` (Java's fast
-    path) instead of the alternation.
-    """
+def strip_final_break(text: Column | str) -> Column:
+    """The text without one line terminator at its very end (cut by length,
+    no regex scan); NULL for an empty text, which has no line at all."""
     t = _col(text)
     cut = F.when(t.endswith("\r\n"), 2).when(t.endswith("\n") | t.endswith("\r"), 1).otherwise(0)
-    body = F.substring(t, F.lit(1), F.length(t) - cut)
-    pieces = F.when(F.instr(body, "\r") == 0, F.split(body, "\n", -1)).otherwise(F.split(body, LINE_BREAK, -1))
-    return F.when(t == "", F.array().cast("array<string>")).otherwise(pieces)
+    return F.when(t != "", F.substring(t, F.lit(1), F.length(t) - cut))
+
+
+def split_body(body: Column | str) -> Column:
+    """Lines of a ``strip_final_break`` result; every piece, empty ones
+    included, is a line. A body without ``\\r`` is split on the single
+    character ``\\n`` (Java's fast path) instead of the alternation."""
+    b = _col(body)
+    pieces = F.when(F.instr(b, "\r") == 0, F.split(b, "\n", -1)).otherwise(F.split(b, LINE_BREAK, -1))
+    return F.when(b.isNull(), F.array().cast("array<string>")).otherwise(pieces)
+
+
+def split_lines(text: Column | str) -> Column:
+    """Lines of a text value, as a line-oriented file source would read them:
+    a terminator at the very end does not open an empty last line, and an
+    empty text has no line at all. In a generator, prefer projecting
+    ``strip_final_break`` first and splitting that column with ``split_body``.
+    """
+    return split_body(strip_final_break(text))
 
 
 def tokenize(line: Column | str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.functions.text import split_lines
+from quern.functions.text import split_body, strip_final_break
 from quern.sources.layout import spread
 
 
@@ -31,7 +31,8 @@ def lines_from_table(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     is spread over the cores before the per-row text work.
     """
     docs = spread(df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")))
-    return docs.select(
+    body = docs.select("doc_id", strip_final_break("text").alias("body"))
+    return body.select(
         "doc_id",
-        F.posexplode(split_lines(F.col("text"))).alias("line_no", "line"),
+        F.posexplode(split_body("body")).alias("line_no", "line"),
     ).withColumn("line_no", F.col("line_no").cast("long"))
