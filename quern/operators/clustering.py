@@ -34,8 +34,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.random import keyed_uniform
-from quern.functions.vectors import euclidean, nearest_centre
-from quern.session import ScratchTables, broadcast_if_bounded
+from quern.functions.vectors import euclidean, nearest_centre, sqdist
+from quern.session import ScratchTables, broadcast_if_bounded, broadcast_threshold
 
 STORAGE = StorageLevel.MEMORY_AND_DISK
 CHECKPOINT_EVERY = 8  # seeding rounds between reliable checkpoints of the point frame
@@ -280,17 +280,31 @@ def _one_row(centres: DataFrame) -> DataFrame:
     return centres.agg(F.collect_list(F.struct(F.col("cid").cast("int").alias("cid"), "c")).alias("cs"))
 
 
+def model_bound(centres: DataFrame) -> int:
+    """Proven size bound of a centre model in bytes: one small aggregate
+    (number of centres and largest dimension) over the centre table."""
+    row = centres.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("c")).alias("dim")).first()
+    return _bound(int(row["n"]), int(row["dim"] or 0))
+
+
 def assign_nearest(points: DataFrame, centres: DataFrame) -> DataFrame:
     """Adds ``cid`` and ``d`` (Euclidean distance) of each point's nearest
     centre; ties go to the lowest ``cid``.
 
-    ``centres`` is a model (``cid, c``, k rows): it travels as one broadcast
-    row holding an array, so the step is a narrow projection over the points
-    with no shuffle and no k-fold join output.
+    A model that fits the broadcast threshold (checked by ``model_bound``)
+    travels as one broadcast row holding an array, so the step is a narrow
+    projection over the points: no shuffle and no k-fold join output. A larger
+    centre table is joined without broadcast and reduced per point ``id``.
     """
-    cs = F.broadcast(_one_row(centres))
-    m = nearest_centre("p", "cs")
-    return points.crossJoin(cs).withColumn("_m", m).select(
+    if model_bound(centres) <= broadcast_threshold(points.sparkSession):
+        cs = F.broadcast(_one_row(centres))
+        m = nearest_centre("p", "cs")
+        return points.crossJoin(cs).withColumn("_m", m).select(
+            *points.columns, F.col("_m.cid").alias("cid"), F.sqrt(F.col("_m.d2")).alias("d")
+        )
+    pairs = points.select("id", "p").crossJoin(centres.select(F.col("cid").cast("int").alias("cid"), "c"))
+    best = pairs.groupBy("id").agg(F.min(F.struct(sqdist("p", "c").alias("d2"), F.col("cid"))).alias("_m"))
+    return points.join(best, "id").select(
         *points.columns, F.col("_m.cid").alias("cid"), F.sqrt(F.col("_m.d2")).alias("d")
     )
 
@@ -312,14 +326,10 @@ def _model_lists(centres: DataFrame) -> DataFrame:
     return _lists(centres.select(F.lit(0).cast("int").alias("bucket"), "cid", "c"))
 
 
-# A model is k rows; it is broadcast as one row holding its array.
-_MODEL = 0
-
-
 def centroid_update(points: DataFrame, centres: DataFrame, weight_col: str | None = None) -> DataFrame:
     """``cid, c``: one Lloyd step against fixed centres (weighted means)."""
     pts = prepare_points(points, 1, 0, weight_col)
-    return _unlist(_update(pts, _model_lists(centres), _MODEL)).select("cid", "c")
+    return _unlist(_update(pts, _model_lists(centres), model_bound(centres))).select("cid", "c")
 
 
 def lloyd(points: DataFrame, centres: DataFrame, iters: int, weight_col: str | None = None) -> DataFrame:
@@ -329,7 +339,8 @@ def lloyd(points: DataFrame, centres: DataFrame, iters: int, weight_col: str | N
     tables = ScratchTables(spark, "lloyd")
     pts = prepare_points(points, 1, 0, weight_col).persist(STORAGE)
     try:
-        return _unlist(_lloyd(pts, _model_lists(centres), iters, _MODEL, tables, "lloyd")).select("cid", "c")
+        bound = model_bound(centres)
+        return _unlist(_lloyd(pts, _model_lists(centres), iters, bound, tables, "lloyd")).select("cid", "c")
     finally:
         pts.unpersist(blocking=False)
 

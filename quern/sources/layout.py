@@ -3,17 +3,24 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over the default parallelism when its scan yields
-    fewer partitions than that (e.g. one unsplittable file feeding heavy
-    per-row work such as tokenizing).
+    """Spread ``df`` over the default parallelism when its scan yields fewer
+    partitions than that (e.g. one unsplittable file feeding heavy per-row
+    work such as tokenizing).
 
-    Big inputs already arrive in many splits and are left alone, so this
-    adds no shuffle at scale. Planning only: no job runs here.
+    Rows are hash-partitioned on their position in the input, which is the
+    same on every task attempt for a file source, so a retried map task sends
+    every row to the same place; unlike a round-robin exchange this needs no
+    local sort, and unlike a key-based one it stays balanced when one key
+    (say, many copies of one document) holds a large share of the rows.
+    Big inputs already arrive in many splits and are left alone, so this adds
+    no shuffle at scale. Planning only: no job runs here.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target)
+    cols = df.columns
+    return df.withColumn("_row", F.monotonically_increasing_id()).repartition(target, "_row").select(*cols)

@@ -162,3 +162,26 @@ def test_parse_vector_bad_token(spark):
     df = spark.createDataFrame([("1 x",)], "t string")
     with pytest.raises(Exception):
         df.select(parse_vector("t")).collect()
+
+
+def test_large_model_falls_back_to_join(spark):
+    p, c = pts_df(spark, V1), centres_df(spark, [[0], [10]])
+    fast = sorted((r.id, r.cid, r.d) for r in cl.assign_nearest(p, c).collect())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        slow_df = cl.assign_nearest(p, c)
+        plan = slow_df._jdf.queryExecution().executedPlan().toString()
+        slow = sorted((r.id, r.cid, r.d) for r in slow_df.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastNestedLoopJoin" not in plan or "BroadcastExchange" not in plan
+    assert slow == fast
+
+
+def test_spread_keeps_rows(spark):
+    from quern.sources.layout import spread
+
+    df = spark.range(1000).coalesce(1)
+    s = spread(df)
+    assert s.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sorted(r.id for r in s.collect()) == list(range(1000))
