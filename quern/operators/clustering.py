@@ -115,6 +115,15 @@ def _pick(cand: DataFrame, cid: int, grouped: bool, bound: int) -> DataFrame:
     )
 
 
+def _cut(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint of a persisted frame into ``spark.checkpoint.dir``:
+    the cache feeds the checkpoint write (no second computation), the result
+    reads the checkpoint files (lineage cut) and is persisted in turn."""
+    ck = df.checkpoint(eager=True)
+    df.unpersist(blocking=False)
+    return ck.persist(STORAGE)
+
+
 def _seed(pts: DataFrame, k: int, seed: int, stage: str, n_buckets: int, dim: int,
           tables: ScratchTables) -> DataFrame:
     grouped = n_buckets > 1
@@ -130,7 +139,9 @@ def _seed(pts: DataFrame, k: int, seed: int, stage: str, n_buckets: int, dim: in
     cur = cur.withColumn("d", euclidean("p", "c")).drop("c")
     held: list[DataFrame] = []
     for r in range(1, k):
-        cur = cur.checkpoint() if r % CHECKPOINT_EVERY == 0 else cur.persist(STORAGE)
+        cur = cur.persist(STORAGE)
+        if r % CHECKPOINT_EVERY == 0:
+            cur = _cut(cur)
         held.append(cur)
         # d > 0 leaves out the chosen centres and exact copies of them.
         cand = cur.where((F.col("d") > 0) & (F.col("w") > 0)).withColumn(

@@ -185,3 +185,19 @@ def test_spread_keeps_rows(spark):
     s = spread(df)
     assert s.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert sorted(r.id for r in s.collect()) == list(range(1000))
+
+
+def test_long_seeding_matches_oracle_through_checkpoints(spark):
+    # k = 10 crosses the reliable-checkpoint cadence of the seeding frame
+    import duckdb
+
+    from quern.plans import oracle as orc
+
+    p = points_from_embeddings(spark.read.parquet(f"{SF_SMALL}/embeddings.parquet"))
+    got = sorted((r.bucket, r.cid, r.id) for r in cl.seed_centres(p, 10, seed=42, n_buckets=2).collect())
+    sql = orc._with([orc._PTS, orc._prepared(2)] + orc._seed_ctes("prep", 10, "seed", "seeds"),
+                    "SELECT bucket, cid, id FROM seeds")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{SF_SMALL}/embeddings.parquet')")
+    assert got == sorted(con.sql(sql).fetchall())
+    assert len(got) == 20
