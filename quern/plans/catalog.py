@@ -18,6 +18,7 @@ from quern.functions.vectors import euclidean, sqdist
 from quern.operators import clustering as cl
 from quern.operators import numeric as num
 from quern.operators import text as tx
+from quern.session import ScratchTables
 from quern.sources.layout import spread
 from quern.sources.numbers import numbers_from_text
 from quern.sources.text import lines_from_table
@@ -173,38 +174,43 @@ def vec_distance(spark, sf_dir):
     )
 
 
+def _fixed(spark, pts, k=K_FIXED):
+    """The k lowest-id points as a model, written once (one top-k pass) so
+    that the size check and the broadcast read a k-row table, not the points."""
+    return ScratchTables(spark, "fixed").put(cl.first_centres(pts, k).select("cid", "c"), "centres")
+
+
 def vec_assign(spark, sf_dir):
     pts = _points(spark, sf_dir)
-    a = cl.assign_nearest(pts, cl.first_centres(pts, K_FIXED))
+    a = cl.assign_nearest(pts, _fixed(spark, pts))
     return a.select(F.col("id").alias("vec_id"), _long("cid"), _r("d").alias("d"))
 
 
 def vec_objective(spark, sf_dir):
     pts = _points(spark, sf_dir)
-    return cl.objective(pts, cl.first_centres(pts, K_FIXED)).select(_r("objective").alias("objective"))
+    return cl.objective(pts, _fixed(spark, pts)).select(_r("objective").alias("objective"))
 
 
 def vec_weights(spark, sf_dir):
     pts = _points(spark, sf_dir)
-    return cl.cluster_weights(pts, cl.first_centres(pts, K_FIXED)).select(_long("cid"), _long("w"))
+    return cl.cluster_weights(pts, _fixed(spark, pts)).select(_long("cid"), _long("w"))
 
 
 def _weighted_points(spark, sf_dir):
+    """Points with weight ``1 + label``, read in one projection (no join)."""
     emb = table(spark, sf_dir, "embeddings")
-    pts = points_from_embeddings(emb)
-    w = emb.select(F.col("vec_id").alias("id"), (F.col("label") + 1).cast("long").alias("w"))
-    return pts.join(w, "id")
+    return points_from_embeddings(emb, keep=((F.col("label") + 1).cast("long").alias("w"),))
 
 
 def vec_centroid_update(spark, sf_dir):
     pts = _weighted_points(spark, sf_dir)
-    c = cl.centroid_update(pts, cl.first_centres(_points(spark, sf_dir), K_FIXED), "w")
+    c = cl.centroid_update(pts, _fixed(spark, _points(spark, sf_dir)), "w")
     return _explode_centres(c, "cid")
 
 
 def vec_lloyd(spark, sf_dir):
     pts = _points(spark, sf_dir)
-    c = cl.lloyd(pts, cl.first_centres(pts, K_FIXED), LLOYD_ROUNDS)
+    c = cl.lloyd(pts, _fixed(spark, pts), LLOYD_ROUNDS)
     return _explode_centres(c, "cid")
 
 

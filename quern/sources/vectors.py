@@ -30,11 +30,15 @@ def read_points(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def points_from_embeddings(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """Embedding table to points; FLOAT elements widen exactly to DOUBLE."""
+def points_from_embeddings(
+    df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", keep: tuple[Column, ...] = ()
+) -> DataFrame:
+    """Embedding table to points; FLOAT elements widen exactly to DOUBLE.
+    ``keep``: extra columns (e.g. a weight) computed in the same projection."""
     return df.select(
         F.col(id_col).cast("long").alias("id"),
         F.transform(vec_col, lambda x: x.cast("double")).alias("p"),
+        *keep,
     )
 
 
