@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.random import keyed_uniform
-from quern.functions.vectors import euclidean, nearest_centre, sqdist
+from quern.functions.vectors import euclidean, nearest_centre
 from quern.session import ScratchTables, broadcast_if_bounded, broadcast_threshold
 
 STORAGE = StorageLevel.MEMORY_AND_DISK
@@ -291,31 +291,52 @@ def _one_row(centres: DataFrame) -> DataFrame:
     return centres.agg(F.collect_list(F.struct(F.col("cid").cast("int").alias("cid"), "c")).alias("cs"))
 
 
+def model_stats(centres: DataFrame) -> tuple[int, int, int, int]:
+    """``(rows, dim, min cid, max cid)`` of a centre model: one small
+    aggregate over the centre table, the proof behind its broadcast."""
+    r = centres.agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.size("c")).alias("dim"),
+        F.min("cid").alias("lo"), F.max("cid").alias("hi"),
+    ).first()
+    return int(r["n"]), int(r["dim"] or 0), int(r["lo"] or 0), int(r["hi"] or 0)
+
+
 def model_bound(centres: DataFrame) -> int:
-    """Proven size bound of a centre model in bytes: one small aggregate
-    (number of centres and largest dimension) over the centre table."""
-    row = centres.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("c")).alias("dim")).first()
-    return _bound(int(row["n"]), int(row["dim"] or 0))
+    """Proven size bound of a centre model in bytes."""
+    n, dim, _, _ = model_stats(centres)
+    return _bound(n, dim)
+
+
+DEFAULT_CHUNK_BYTES = 8 << 20  # chunk size when broadcasting is switched off
 
 
 def assign_nearest(points: DataFrame, centres: DataFrame) -> DataFrame:
     """Adds ``cid`` and ``d`` (Euclidean distance) of each point's nearest
     centre; ties go to the lowest ``cid``.
 
-    A model that fits the broadcast threshold (checked by ``model_bound``)
-    travels as one broadcast row holding an array, so the step is a narrow
-    projection over the points: no shuffle and no k-fold join output. A larger
-    centre table is joined without broadcast and reduced per point ``id``.
+    The model (``cid, c``) travels as broadcast rows holding arrays, so the
+    step is a narrow projection over the points: no shuffle and no k-fold
+    join output. Its size is counted first (``model_stats``); a model over
+    the broadcast threshold is cut into ``cid`` ranges that each fit it, each
+    range is one broadcast row, and the per-range nearest centres are reduced
+    in the same projection.
     """
-    if model_bound(centres) <= broadcast_threshold(points.sparkSession):
-        cs = F.broadcast(_one_row(centres))
-        m = nearest_centre("p", "cs")
-        return points.crossJoin(cs).withColumn("_m", m).select(
-            *points.columns, F.col("_m.cid").alias("cid"), F.sqrt(F.col("_m.d2")).alias("d")
+    n, dim, lo, hi = model_stats(centres)
+    limit = broadcast_threshold(points.sparkSession)
+    if limit <= 0:
+        limit = DEFAULT_CHUNK_BYTES
+    chunks = max(1, -(-_bound(n, dim) // limit))
+    step = -(-(hi - lo + 1) // chunks)
+    out, near = points, []
+    for j in range(chunks):
+        part = centres if chunks == 1 else centres.where(
+            (F.col("cid") >= lo + j * step) & (F.col("cid") < lo + (j + 1) * step)
         )
-    pairs = points.select("id", "p").crossJoin(centres.select(F.col("cid").cast("int").alias("cid"), "c"))
-    best = pairs.groupBy("id").agg(F.min(F.struct(sqdist("p", "c").alias("d2"), F.col("cid"))).alias("_m"))
-    return points.join(best, "id").select(
+        name = f"_cs{j}"
+        out = out.crossJoin(F.broadcast(_one_row(part).withColumnRenamed("cs", name)))
+        near.append(nearest_centre("p", name))
+    m = near[0] if chunks == 1 else F.array_min(F.array(*near))
+    return out.withColumn("_m", m).select(
         *points.columns, F.col("_m.cid").alias("cid"), F.sqrt(F.col("_m.d2")).alias("d")
     )
 

@@ -164,18 +164,19 @@ def test_parse_vector_bad_token(spark):
         df.select(parse_vector("t")).collect()
 
 
-def test_large_model_falls_back_to_join(spark):
-    p, c = pts_df(spark, V1), centres_df(spark, [[0], [10]])
+def test_large_model_is_chunked_without_pairs(spark):
+    p = pts_df(spark, [[i % 7, i % 3] for i in range(40)])
+    c = centres_df(spark, [[i % 5, i % 4] for i in range(12)])
     fast = sorted((r.id, r.cid, r.d) for r in cl.assign_nearest(p, c).collect())
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "600")  # about 3 centres per chunk
     try:
-        slow_df = cl.assign_nearest(p, c)
-        plan = slow_df._jdf.queryExecution().executedPlan().toString()
-        slow = sorted((r.id, r.cid, r.d) for r in slow_df.collect())
+        df = cl.assign_nearest(p, c)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        chunked = sorted((r.id, r.cid, r.d) for r in df.collect())
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastNestedLoopJoin" not in plan or "BroadcastExchange" not in plan
-    assert slow == fast
+    assert plan.count("BroadcastExchange") >= 3 and "CartesianProduct" not in plan
+    assert chunked == fast
 
 
 def test_spread_keeps_rows(spark):
