@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Spread ``df`` over the default parallelism when its scan yields fewer
     partitions than that (e.g. one unsplittable file feeding heavy per-row
     work such as tokenizing).
@@ -17,9 +17,10 @@ def spread(df: DataFrame) -> DataFrame:
     local sort, and unlike a key-based one it stays balanced when one key
     (say, many copies of one document) holds a large share of the rows.
     Big inputs already arrive in many splits and are left alone, so this adds
-    no shuffle at scale. Planning only: no job runs here.
+    no shuffle at scale. Planning only: no job runs here. ``min_partitions``
+    raises the target (a reader's partition hint).
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
+    target = int(min_partitions or df.sparkSession.sparkContext.defaultParallelism)
     if df.rdd.getNumPartitions() >= target:
         return df
     cols = df.columns

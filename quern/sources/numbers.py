@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.sources.layout import spread
+
 # Fixed value: any run of whitespace separates two numbers, newlines included.
 WHITESPACE = r"\s+"
 
@@ -23,8 +25,10 @@ def numbers_from_text(df: DataFrame, text_col: str, keep: tuple[str, ...] = (),
     )
 
 
-def read_numbers(spark: SparkSession, path: str, out: str = "x") -> DataFrame:
+def read_numbers(spark: SparkSession, path: str, out: str = "x", min_partitions: int | None = None) -> DataFrame:
     """A text file (or directory) of numbers, parsed on the executors."""
     lines = spark.read.text(path).select(F.col("value"))
+    if min_partitions:
+        lines = spread(lines, min_partitions)
     toks = lines.select(F.explode(F.split(F.col("value"), WHITESPACE, -1)).alias("_v"))
     return toks.where(F.col("_v") != "").select(F.col("_v").cast("double").alias(out))

@@ -9,18 +9,21 @@ from quern.functions.text import split_body, strip_final_break
 from quern.sources.layout import spread
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``doc_id, line_no, line`` from text files; one line per row.
+def read_lines(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
+    """``doc_id, line_no, line`` from text files or directories; one line per row.
 
     File and offset order give ``doc_id`` (stable for a given input layout);
-    ``line_no`` is 0, as each file line is its own document.
+    ``line_no`` is 0, as each file line is its own document. ``min_partitions``
+    is a lower bound on the partitions feeding the per-line work (like a
+    minimum-splits hint of a text source); splits beyond it are kept.
     """
-    df = spark.read.text(path)
-    return df.select(
+    df = spark.read.text(path).select(
         F.monotonically_increasing_id().alias("doc_id"),
         F.lit(0).cast("long").alias("line_no"),
         F.col("value").alias("line"),
     )
+    # ids are taken on the scan, before any shuffle, so they are stable
+    return spread(df, min_partitions) if min_partitions else df
 
 
 def lines_from_table(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

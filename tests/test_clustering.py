@@ -202,3 +202,15 @@ def test_long_seeding_matches_oracle_through_checkpoints(spark):
     con.sql(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{SF_SMALL}/embeddings.parquet')")
     assert got == sorted(con.sql(sql).fetchall())
     assert len(got) == 20
+
+
+def test_read_points_directory_and_hint(spark, tmp_path):
+    d = tmp_path / "pts"
+    d.mkdir()
+    (d / "a.txt").write_text("0 0\n1 0\n")
+    (d / "b.txt").write_text("10 0\n11 0\n")
+    p = read_points(spark, str(d), min_partitions=3)
+    assert p.rdd.getNumPartitions() >= 3
+    rows = p.collect()
+    assert len({r.id for r in rows}) == 4
+    assert sorted(tuple(r.p) for r in rows) == [(0, 0), (1, 0), (10, 0), (11, 0)]

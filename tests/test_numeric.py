@@ -96,3 +96,12 @@ def test_bernoulli_sample_size(spark):
 def test_fraction_checked(spark):
     with pytest.raises(ValueError):
         num.stable_sample(spark.range(3), "id", 1.5, 1)
+
+
+def test_read_numbers_directory_with_hint(spark, tmp_path):
+    d = tmp_path / "nums"
+    d.mkdir()
+    (d / "a.txt").write_text("1 2\n")
+    (d / "b.txt").write_text("3\n\n4\n")
+    df = read_numbers(spark, str(d), min_partitions=4)
+    assert sorted(r.x for r in df.collect()) == [1.0, 2.0, 3.0, 4.0]
