@@ -77,6 +77,20 @@ def prepare_points(
     return out.where(F.col("w") > 0) if weight_col else out
 
 
+def _cluster_if_unbroadcastable(pts: DataFrame, n_buckets: int, k: int) -> tuple[DataFrame, int, int]:
+    """``(points, dim, parts)``. When the per-bucket centre lists could exceed
+    the broadcast threshold, the points are hash-partitioned by bucket into
+    ``parts`` partitions once, up front (before they are persisted), so that
+    every later join on the bucket shuffles only the small centre side and the
+    per-bucket aggregates need no exchange; ``parts`` is 0 otherwise. One
+    bucket (a global model) is never co-located this way."""
+    dim = vector_dim(pts)
+    if n_buckets > 1 and _bound(n_buckets * k, dim) > broadcast_threshold(pts.sparkSession):
+        parts = max(int(pts.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+        return pts.repartition(parts, "bucket").sortWithinPartitions("bucket"), dim, parts
+    return pts, dim, 0
+
+
 def vector_dim(points: DataFrame) -> int:
     """Dimension of the first point (one row read); 0 for an empty set."""
     row = points.select(F.size("p").alias("n")).first()
@@ -105,7 +119,12 @@ def _pick(cand: DataFrame, cid: int, grouped: bool, bound: int) -> DataFrame:
             F.col("m.p").alias("c"),
         )
     mins = cand.groupBy("bucket").agg(F.min("key").alias("kmin"))
-    hits = cand.join(broadcast_if_bounded(mins, bound), "bucket").where(F.col("key") == F.col("kmin"))
+    # Joined on the bucket alone, so a bucket-partitioned frame is not
+    # re-shuffled; ``key <= kmin`` (kmin is the minimum, so this is equality)
+    # stays a join condition instead of becoming a second join key.
+    hits = cand.join(broadcast_if_bounded(mins, bound), "bucket").where(
+        F.col("key") <= F.col("kmin")
+    )
     best = hits.groupBy("bucket").agg(F.min(F.struct("id", "p")).alias("m"))
     return best.select(
         "bucket",
@@ -125,7 +144,10 @@ def _cut(df: DataFrame) -> DataFrame:
 
 
 def _seed(pts: DataFrame, k: int, seed: int, stage: str, n_buckets: int, dim: int,
-          tables: ScratchTables) -> DataFrame:
+          tables: ScratchTables, parts: int = 0) -> DataFrame:
+    """Picks of every round, ``bucket, cid, id, c``. ``parts`` > 0: the points
+    are co-located by bucket, and each round's frame states that partitioning
+    (free, it already holds) so its cached copy is joined without a shuffle."""
     grouped = n_buckets > 1
     pick_bound = _bound(n_buckets, dim)
 
@@ -139,6 +161,8 @@ def _seed(pts: DataFrame, k: int, seed: int, stage: str, n_buckets: int, dim: in
     cur = cur.withColumn("d", euclidean("p", "c")).drop("c")
     held: list[DataFrame] = []
     for r in range(1, k):
+        if parts:
+            cur = cur.repartition(parts, "bucket")
         cur = cur.persist(STORAGE)
         if r % CHECKPOINT_EVERY == 0:
             cur = _cut(cur)
@@ -249,9 +273,9 @@ def _lloyd(pts: DataFrame, lists: DataFrame, iters: int, bound: int, tables: Scr
 
 
 def _kmeanspp(pts: DataFrame, k: int, iters: int, seed: int, stage: str, n_buckets: int,
-              tables: ScratchTables, dim: int) -> DataFrame:
+              tables: ScratchTables, dim: int, parts: int = 0) -> DataFrame:
     """Seeding then Lloyd in every bucket; returns the list form."""
-    seeds = _seed(pts, k, seed, stage, n_buckets, dim, tables)
+    seeds = _seed(pts, k, seed, stage, n_buckets, dim, tables, parts)
     return _lloyd(pts, _lists(seeds), iters, _bound(n_buckets * k, dim), tables, stage)
 
 
@@ -269,9 +293,10 @@ def seed_centres(points: DataFrame, k: int, seed: int = 0, n_buckets: int = 1,
     _check(k, 0, n_buckets)
     spark = points.sparkSession
     tables = ScratchTables(spark, stage)
-    pts = prepare_points(points, n_buckets, seed, weight_col).persist(STORAGE)
+    pts, dim, parts = _cluster_if_unbroadcastable(prepare_points(points, n_buckets, seed, weight_col), n_buckets, k)
+    pts = pts.persist(STORAGE)
     try:
-        return _seed(pts, k, seed, stage, n_buckets, vector_dim(pts), tables)
+        return _seed(pts, k, seed, stage, n_buckets, dim, tables, parts)
     finally:
         pts.unpersist(blocking=False)
 
@@ -388,11 +413,11 @@ def coreset(points: DataFrame, k: int, n_buckets: int, iters: int, seed: int = 0
     _check(k, iters, n_buckets)
     spark = points.sparkSession
     tables = ScratchTables(spark, "coreset")
-    pts = prepare_points(points, n_buckets, seed).persist(STORAGE)
+    pts, dim, parts = _cluster_if_unbroadcastable(prepare_points(points, n_buckets, seed), n_buckets, k)
+    pts = pts.persist(STORAGE)
     try:
-        dim = vector_dim(pts)
         bound = _bound(n_buckets * k, dim)
-        lists = _kmeanspp(pts, k, iters, seed, "coreset", n_buckets, tables, dim)
+        lists = _kmeanspp(pts, k, iters, seed, "coreset", n_buckets, tables, dim, parts)
         w = _assign(pts, lists, bound).groupBy("bucket", "cid").agg(F.sum("w").cast("long").alias("w"))
         out = _unlist(lists).join(w, ["bucket", "cid"]).select("bucket", "cid", "c", "w")
         return tables.put(out, "coreset")

@@ -214,3 +214,15 @@ def test_read_points_directory_and_hint(spark, tmp_path):
     rows = p.collect()
     assert len({r.id for r in rows}) == 4
     assert sorted(tuple(r.p) for r in rows) == [(0, 0), (1, 0), (10, 0), (11, 0)]
+
+
+def test_coreset_without_broadcasts_matches(spark):
+    # centre lists over the threshold: points co-located by bucket, joins shuffle only centres
+    p = points_from_embeddings(spark.read.parquet(f"{SF_SMALL}/embeddings.parquet"))
+    want = sorted((r.bucket, r.cid, r.w, tuple(r.c)) for r in cl.coreset(p, 3, 4, 1, seed=8).collect())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        got = sorted((r.bucket, r.cid, r.w, tuple(r.c)) for r in cl.coreset(p, 3, 4, 1, seed=8).collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == want
