@@ -20,18 +20,21 @@ def _key(seed: int, tag: str) -> str:
     return f"{int(seed)}|{tag}|"
 
 
-def keyed_uniform(seed: int | Column, tag: str | int, id_col: Column | str) -> Column:
+def keyed_uniform(seed: int | str, tag: str | int, id_sql: str) -> Column:
     """Uniform in (0, 1) from ``md5('<seed>|<tag>|<id>')``; never 0 or 1.
 
-    ``seed`` may be a column (one draw per seed in a single job)."""
-    idc = F.col(id_col) if isinstance(id_col, str) else id_col
-    if isinstance(seed, Column):
-        prefix = F.concat(seed.cast("long").cast("string"), F.lit(f"|{tag}|"))
+    ``id_sql`` is a SQL expression (usually a column name). ``seed`` is an
+    int, or a SQL expression for one draw per seed row in a single job. Built
+    from SQL text: one driver-to-JVM call per use in iterative jobs.
+    """
+    tag = str(tag).replace("'", "")
+    if isinstance(seed, str):
+        prefix = f"concat(CAST(CAST({seed} AS BIGINT) AS STRING), '|{tag}|')"
     else:
-        prefix = F.lit(_key(seed, str(tag)))
-    text = F.concat(prefix, idc.cast("string"))
-    bits = F.conv(F.substring(F.md5(text), 1, _HEX_DIGITS), 16, 10).cast("double")
-    return (bits + F.lit(0.5)) / F.lit(_SCALE)
+        prefix = f"'{_key(seed, tag)}'"
+    text = f"concat({prefix}, CAST({id_sql} AS STRING))"
+    bits = f"CAST(conv(substring(md5({text}), 1, {_HEX_DIGITS}), 16, 10) AS DOUBLE)"
+    return F.expr(f"(({bits} + 0.5D) / {_SCALE}D)")
 
 
 def keyed_uniform_sql(seed: int, tag: str | int, id_sql: str) -> str:

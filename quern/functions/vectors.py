@@ -1,4 +1,11 @@
-"""Vector expressions over ``ARRAY<DOUBLE>`` columns."""
+"""Vector expressions over ``ARRAY<DOUBLE>`` columns.
+
+The expressions are written as Spark SQL text (``F.expr``): the same
+Catalyst expressions as the equivalent ``F.aggregate`` / ``F.zip_with``
+builders, but built in one call instead of one driver-to-JVM round trip per
+lambda node, which matters in iterative jobs that rebuild them every round.
+Arguments are SQL expressions, usually column names.
+"""
 
 from __future__ import annotations
 
@@ -6,32 +13,27 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
+def sqdist_sql(p: str, c: str) -> str:
+    """SQL text of the squared distance; fails the task on a dimension
+    mismatch (``zip_with`` would silently pad the shorter array with NULL,
+    so the lengths are checked in the same expression, no extra pass)."""
+    return (
+        f"CASE WHEN size({p}) = size({c}) "
+        f"THEN aggregate(zip_with({p}, {c}, (_a, _b) -> (_a - _b) * (_a - _b)), 0D, (_s, _t) -> _s + _t) "
+        f"ELSE raise_error('vector dimension mismatch') END"
+    )
 
-def sqdist(p: Column | str, c: Column | str) -> Column:
-    """Squared Euclidean distance; fails the task on a dimension mismatch.
 
-    ``zip_with`` would silently pad the shorter array with NULL, so the
-    lengths are checked in the same expression (no extra pass over the data).
-    """
-    a, b = _col(p), _col(c)
-    total = F.aggregate(
-        F.zip_with(a, b, lambda x, y: (x - y) * (x - y)),
-        F.lit(0.0).cast("double"),
-        lambda acc, v: acc + v,
-    )
-    return F.when(F.size(a) == F.size(b), total).otherwise(
-        F.raise_error(F.lit("vector dimension mismatch"))
-    )
+def sqdist(p: str, c: str) -> Column:
+    """Squared Euclidean distance between two vector columns."""
+    return F.expr(sqdist_sql(p, c))
 
 
-def euclidean(p: Column | str, c: Column | str) -> Column:
-    return F.sqrt(sqdist(p, c))
+def euclidean(p: str, c: str) -> Column:
+    return F.expr(f"sqrt({sqdist_sql(p, c)})")
 
 
-def nearest_centre(p: Column | str, centres: Column | str) -> Column:
+def nearest_centre(p: str, centres: str) -> Column:
     """Nearest entry of an ``ARRAY<STRUCT<cid INT, c ARRAY<DOUBLE>>>`` column.
 
     Returns ``STRUCT<d2 DOUBLE, cid INT>``: the smallest squared distance and
@@ -39,10 +41,6 @@ def nearest_centre(p: Column | str, centres: Column | str) -> Column:
     NULL when the array is empty. A narrow projection: no shuffle and no
     k-fold row blow-up.
     """
-    pts = _col(p)
-    return F.array_min(
-        F.transform(
-            _col(centres),
-            lambda e: F.struct(sqdist(pts, e["c"]).alias("d2"), e["cid"].alias("cid")),
-        )
+    return F.expr(
+        f"array_min(transform({centres}, _e -> named_struct('d2', {sqdist_sql(p, '_e.c')}, 'cid', _e.cid)))"
     )

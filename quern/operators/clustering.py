@@ -51,12 +51,12 @@ def _check(k: int, iters: int = 0, n_buckets: int = 1) -> None:
         raise ValueError("n_buckets must be >= 1")
 
 
-def bucket_of(id_col: Column, n_buckets: int, seed: int) -> Column:
+def bucket_of(id_sql: str, n_buckets: int, seed: int) -> Column:
     """Bucket in ``[0, n_buckets)`` from a keyed hash of the id (balanced for
     any id pattern, stable under retries and re-partitioning)."""
     if n_buckets == 1:
         return F.lit(0).cast("int")
-    return F.floor(keyed_uniform(seed, "bucket", id_col) * F.lit(float(n_buckets))).cast("int")
+    return F.floor(keyed_uniform(seed, "bucket", id_sql) * F.lit(float(n_buckets))).cast("int")
 
 
 def prepare_points(
@@ -69,7 +69,7 @@ def prepare_points(
     """
     w = F.col(weight_col).cast("long") if weight_col else F.lit(1).cast("long")
     out = points.select(
-        bucket_of(F.col("id"), n_buckets, seed).alias("bucket"),
+        bucket_of("id", n_buckets, seed).alias("bucket"),
         F.col("id").cast("long").alias("id"),
         F.col("p"),
         w.alias("w"),
@@ -152,13 +152,14 @@ def _seed(pts: DataFrame, k: int, seed: int, stage: str, n_buckets: int, dim: in
     pick_bound = _bound(n_buckets, dim)
 
     def u(r: int) -> Column:
-        return keyed_uniform(seed, f"{stage}:{r}", F.col("id"))
+        return keyed_uniform(seed, f"{stage}:{r}", "id")
 
     # Round 0: uniform over the points, weights ignored.
     first = tables.put(_pick(pts.withColumn("key", -F.ln(u(0))), 0, grouped, pick_bound), f"{stage}-pick0")
     picks = [first]
-    cur = pts.join(broadcast_if_bounded(first.select("bucket", "c"), pick_bound), "bucket")
-    cur = cur.withColumn("d", euclidean("p", "c")).drop("c")
+    cur = pts.join(broadcast_if_bounded(first.select("bucket", "c"), pick_bound), "bucket").select(
+        *pts.columns, euclidean("p", "c").alias("d")
+    )
     held: list[DataFrame] = []
     for r in range(1, k):
         if parts:
@@ -168,22 +169,15 @@ def _seed(pts: DataFrame, k: int, seed: int, stage: str, n_buckets: int, dim: in
             cur = _cut(cur)
         held.append(cur)
         # d > 0 leaves out the chosen centres and exact copies of them.
-        cand = cur.where((F.col("d") > 0) & (F.col("w") > 0)).withColumn(
-            "key", -F.ln(u(r)) / (F.col("w").cast("double") * F.col("d"))
-        )
+        cand = cur.where("d > 0 AND w > 0").select("*", (-F.ln(u(r)) / (F.col("w") * F.col("d"))).alias("key"))
         pick = tables.put(_pick(cand, r, grouped, pick_bound), f"{stage}-pick{r}")
         picks.append(pick)
         if len(held) > 1:
             held.pop(0).unpersist(blocking=False)
         if r < k - 1:
-            newest = pick.select("bucket", F.col("c").alias("c_new"))
-            cur = cur.join(broadcast_if_bounded(newest, pick_bound), "bucket", "left")
-            cur = cur.withColumn(
-                "d",
-                F.when(F.col("c_new").isNull(), F.col("d")).otherwise(
-                    F.least(F.col("d"), euclidean("p", "c_new"))
-                ),
-            ).drop("c_new")
+            newest = broadcast_if_bounded(pick.select("bucket", F.col("c").alias("c_new")), pick_bound)
+            d = F.when(F.col("c_new").isNull(), F.col("d")).otherwise(F.least(F.col("d"), euclidean("p", "c_new")))
+            cur = cur.join(newest, "bucket", "left").select(*pts.columns, d.alias("d"))
     for df in held:
         df.unpersist(blocking=False)
     out = picks[0]
@@ -253,14 +247,13 @@ def _update(pts: DataFrame, lists: DataFrame, bound: int) -> DataFrame:
     flat = comps.groupBy("bucket").agg(
         F.array_sort(F.collect_list(F.struct("cid", "pos", value.alias("v")))).alias("e")
     )
-    n_cid = F.size(F.array_distinct(F.transform("e", lambda x: x["cid"])))
-    dim = (F.size("e") / n_cid).cast("int")
-    cs = F.transform(
-        F.sequence(F.lit(0), n_cid - 1),
-        lambda j: F.struct(
-            F.element_at("e", j * dim + 1)["cid"].alias("cid"),
-            F.transform(F.slice("e", j * dim + 1, dim), lambda x: x["v"]).alias("c"),
-        ),
+    # e is sorted by (cid, pos) and holds dim entries per centre: cut it back
+    n_cid = "size(array_distinct(transform(e, _x -> _x.cid)))"
+    dim = f"CAST(size(e) / {n_cid} AS INT)"
+    cs = F.expr(
+        f"transform(sequence(0, {n_cid} - 1), _j -> named_struct("
+        f"'cid', element_at(e, _j * {dim} + 1).cid, "
+        f"'c', transform(slice(e, _j * {dim} + 1, {dim}), _x -> _x.v)))"
     )
     return flat.select("bucket", cs.alias("cs"))
 

@@ -68,7 +68,7 @@ def stable_sample(df: DataFrame, id_col: str, fraction: float, seed: int, tag: s
     """Bernoulli sample keyed by row id: same rows for any file layout or retry."""
     if not 0.0 <= fraction <= 1.0:
         raise ValueError("fraction must lie in [0, 1]")
-    return df.where(keyed_uniform(seed, tag, F.col(id_col)) < F.lit(float(fraction)))
+    return df.where(keyed_uniform(seed, tag, f"`{id_col}`") < F.lit(float(fraction)))
 
 
 def bernoulli_sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:

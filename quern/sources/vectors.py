@@ -40,7 +40,7 @@ def points_from_embeddings(
     ``keep``: extra columns (e.g. a weight) computed in the same projection."""
     return df.select(
         F.col(id_col).cast("long").alias("id"),
-        F.transform(vec_col, lambda x: x.cast("double")).alias("p"),
+        F.expr(f"transform(`{vec_col}`, _v -> CAST(_v AS DOUBLE))").alias("p"),
         *keep,
     )
 

@@ -100,7 +100,7 @@ def test_race_draw_distribution(spark):
     n_seeds = 4000
     cand = spark.range(4).select(F.col("id"), (F.col("id") + 1).cast("double").alias("wd"))
     seeds = spark.range(n_seeds).withColumnRenamed("id", "s")
-    key = -F.ln(keyed_uniform(F.col("s"), "race", F.col("id"))) / F.col("wd")
+    key = -F.ln(keyed_uniform("s", "race", "id")) / F.col("wd")
     picks = seeds.crossJoin(cand).groupBy("s").agg(F.min_by("id", key).alias("pick"))
     counts = {r.pick: r.n for r in picks.groupBy("pick").agg(F.count("*").alias("n")).collect()}
     exp = {i: n_seeds * (i + 1) / 10 for i in range(4)}
