@@ -8,11 +8,14 @@ bucket of points has its own centres).
 Plan shape, per round, for any number of buckets:
 
 * The point set is prepared once (id, vector, weight, bucket) and persisted.
-  It is never shuffled: a bucket is a hash of the id, and every per-bucket
-  step is a partial + final hash aggregate on ``bucket`` (a few rows per task
-  cross the network) or a join against at most ``buckets * k`` centre rows,
-  broadcast when that bound fits the threshold. No bucket is ever gathered
-  into one task, so a large bucket costs time, not memory.
+  A bucket is a keyed hash of the id. While the per-bucket centre lists fit
+  the broadcast threshold (bound: ``buckets * k`` centres of ``dim``
+  doubles) the points are never shuffled: every per-bucket step is a partial
+  + final hash aggregate on ``bucket`` (a few rows per task cross the
+  network) or a broadcast join against the centre rows, and no bucket is
+  ever gathered into one task. Beyond that bound the points are
+  hash-partitioned by bucket once, up front, and every round's joins and
+  aggregates then shuffle only the centre side.
 * Centres live in small parquet tables under ``spark.checkpoint.dir``
   (``ScratchTables``): computed once per round, lineage cut, nothing
   collected to the driver.
