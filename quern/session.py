@@ -37,7 +37,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     private folder (tests); on a cluster a missing setting is an error,
     because a machine-local folder would not survive an executor loss.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: only the session conf is visible
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        return root.rstrip("/")
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not sc.master.startswith("local"):
