@@ -1,7 +1,6 @@
 """Vectors and clustering: golden fixtures V1-V5, seeding rules, coreset
 and k-median properties, the race draw distribution."""
 
-import math
 
 import numpy as np
 import pytest

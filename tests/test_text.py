@@ -4,7 +4,6 @@ equivalence of the word count variants."""
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from quern.functions.text import split_lines, tokenize, utf16_length
 from quern.operators import text as tx
