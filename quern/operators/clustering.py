@@ -406,6 +406,10 @@ def coreset(points: DataFrame, k: int, n_buckets: int, iters: int, seed: int = 0
     up to ``k`` centres, each weighted by the number of the bucket's points
     nearest to it. Centres that attract no point are left out.
     """
+    return _coreset(points, k, n_buckets, iters, seed)[0]
+
+
+def _coreset(points: DataFrame, k: int, n_buckets: int, iters: int, seed: int) -> tuple[DataFrame, int]:
     _check(k, iters, n_buckets)
     spark = points.sparkSession
     tables = ScratchTables(spark, "coreset")
@@ -416,15 +420,16 @@ def coreset(points: DataFrame, k: int, n_buckets: int, iters: int, seed: int = 0
         lists = _kmeanspp(pts, k, iters, seed, "coreset", n_buckets, tables, dim, parts)
         w = _assign(pts, lists, bound).groupBy("bucket", "cid").agg(F.sum("w").cast("long").alias("w"))
         out = _unlist(lists).join(w, ["bucket", "cid"]).select("bucket", "cid", "c", "w")
-        return tables.put(out, "coreset")
+        return tables.put(out, "coreset"), dim
     finally:
         pts.unpersist(blocking=False)
 
 
-def recluster(core: DataFrame, k: int, iters: int, seed: int = 0) -> DataFrame:
+def recluster(core: DataFrame, k: int, iters: int, seed: int = 0, dim: int | None = None) -> DataFrame:
     """Round 2: weighted k-means++ and Lloyd on the coreset rows: ``cid, c``.
 
     Each coreset row is a point with id ``bucket * k + cid`` and its weight.
+    ``dim``: the vector dimension when the caller knows it (saves one job).
     """
     _check(k, iters)
     spark = core.sparkSession
@@ -436,7 +441,7 @@ def recluster(core: DataFrame, k: int, iters: int, seed: int = 0) -> DataFrame:
     )
     pts = prepare_points(rows, 1, seed, "w").persist(STORAGE)
     try:
-        lists = _kmeanspp(pts, k, iters, seed, "recluster", 1, tables, vector_dim(pts))
+        lists = _kmeanspp(pts, k, iters, seed, "recluster", 1, tables, dim or vector_dim(pts))
         return _unlist(lists).select("cid", "c")
     finally:
         pts.unpersist(blocking=False)
@@ -445,7 +450,8 @@ def recluster(core: DataFrame, k: int, iters: int, seed: int = 0) -> DataFrame:
 def kmedian(points: DataFrame, k: int, n_buckets: int, iters: int, seed: int = 0) -> DataFrame:
     """Three-round k-median: coreset per bucket, reclustering of the coreset;
     returns the final centres ``cid, c``. Round 3 is ``objective``."""
-    return recluster(coreset(points, k, n_buckets, iters, seed), k, iters, seed)
+    core, dim = _coreset(points, k, n_buckets, iters, seed)
+    return recluster(core, k, iters, seed, dim)
 
 
 def kmedian_direct(points: DataFrame, k: int, iters: int, seed: int = 0) -> DataFrame:
