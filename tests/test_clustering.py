@@ -225,3 +225,15 @@ def test_coreset_without_broadcasts_matches(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert got == want
+
+
+def test_empty_point_set(spark):
+    p = spark.createDataFrame([], "id long, p array<double>")
+    assert cl.seed_centres(p, 3, seed=1).count() == 0
+    assert cl.coreset(p, 3, 2, 1, seed=1).count() == 0
+    c = cl.kmedian(p, 3, 2, 1, seed=1)
+    assert c.count() == 0
+    assert cl.objective(p, c).first().objective is None
+    q = pts_df(spark, V1)
+    a = cl.assign_nearest(q, c).collect()
+    assert [r.cid for r in a] == [None] * 4
