@@ -40,7 +40,7 @@ from quern.functions.random import keyed_uniform
 from quern.functions.vectors import euclidean, nearest_centre
 from quern.session import ScratchTables, broadcast_if_bounded, broadcast_threshold
 
-STORAGE = StorageLevel.MEMORY_AND_DISK
+STORAGE = StorageLevel.MEMORY_AND_DISK_DESER  # the DataFrame.cache() default: spills to disk, no (de)serialization in memory
 CHECKPOINT_EVERY = 8  # seeding rounds between reliable checkpoints of the point frame
 ROW_OVERHEAD = 96  # bytes per centre row besides its doubles, for size bounds
 
