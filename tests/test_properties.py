@@ -88,3 +88,39 @@ def test_coreset_weights_and_layout_independence(spark, pts, k, buckets):
         distinct_per_bucket.setdefault(b, set()).add(tuple(p))
     for b, cids in Counter(c[0] for c in core).items():
         assert cids <= min(k, len(distinct_per_bucket[b]))
+
+
+def line_source(t):
+    import re
+
+    if t == "":
+        return []
+    parts = re.split(r"\r\n|\r|\n", t)
+    return parts[:-1] if t.endswith(("\n", "\r")) else parts
+
+
+@SETTINGS
+@given(st.lists(st.text(alphabet=st.sampled_from(["a", " ", "\n", "\r", "é"]), max_size=15), min_size=1, max_size=15))
+def test_split_lines_matches_line_source(spark, texts):
+    from quern.functions.text import split_lines
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: list(r.l) for r in df.select("i", split_lines("t").alias("l")).collect()}
+    assert got == {i: line_source(t) for i, t in enumerate(texts)}
+
+
+def test_keyed_uniform_equals_duckdb_twin(spark):
+    import duckdb
+
+    from quern.functions.random import keyed_uniform, keyed_uniform_sql
+
+    ids = [0, 1, -1, 7, 123456789, -987654321, 9223372036854775807, -9223372036854775808]
+    df = spark.createDataFrame([(i,) for i in ids], "id long")
+    got = {r.id: r.u for r in df.select("id", keyed_uniform(42, "coreset:3", "id").alias("u")).collect()}
+    con = duckdb.connect()
+    rows = con.sql(
+        "SELECT id, " + keyed_uniform_sql(42, "coreset:3", "id") + " AS u FROM (SELECT unnest(?::BIGINT[]) AS id)",
+        params=[ids],
+    ).fetchall()
+    assert got == dict(rows)
+    assert all(0.0 < u < 1.0 for u in got.values())
