@@ -43,6 +43,7 @@ from quern.session import ScratchTables, broadcast_if_bounded, broadcast_thresho
 STORAGE = StorageLevel.MEMORY_AND_DISK_DESER  # the DataFrame.cache() default: spills to disk, no (de)serialization in memory
 CHECKPOINT_EVERY = 8  # seeding rounds between reliable checkpoints of the point frame
 ROW_OVERHEAD = 96  # bytes per centre row besides its doubles, for size bounds
+MAX_MODEL_BYTES = 1 << 30  # a single (one-bucket) model larger than this is refused
 
 
 def _check(k: int, iters: int = 0, n_buckets: int = 1) -> None:
@@ -153,6 +154,7 @@ def _seed(pts: DataFrame, k: int, seed: int, stage: str, n_buckets: int, dim: in
     (free, it already holds) so its cached copy is joined without a shuffle."""
     grouped = n_buckets > 1
     pick_bound = _bound(n_buckets, dim)
+    small = broadcast_if_bounded if grouped else _model_broadcast  # one bucket: always broadcast
 
     def u(r: int) -> Column:
         return keyed_uniform(seed, f"{stage}:{r}", "id")
@@ -160,7 +162,7 @@ def _seed(pts: DataFrame, k: int, seed: int, stage: str, n_buckets: int, dim: in
     # Round 0: uniform over the points, weights ignored.
     first = tables.put(_pick(pts.withColumn("key", -F.ln(u(0))), 0, grouped, pick_bound), f"{stage}-pick0")
     picks = [first]
-    cur = pts.join(broadcast_if_bounded(first.select("bucket", "c"), pick_bound), "bucket").select(
+    cur = pts.join(small(first.select("bucket", "c"), pick_bound), "bucket").select(
         *pts.columns, euclidean("p", "c").alias("d")
     )
     held: list[DataFrame] = []
@@ -178,7 +180,7 @@ def _seed(pts: DataFrame, k: int, seed: int, stage: str, n_buckets: int, dim: in
         if len(held) > 1:
             held.pop(0).unpersist(blocking=False)
         if r < k - 1:
-            newest = broadcast_if_bounded(pick.select("bucket", F.col("c").alias("c_new")), pick_bound)
+            newest = small(pick.select("bucket", F.col("c").alias("c_new")), pick_bound)
             d = F.when(F.col("c_new").isNull(), F.col("d")).otherwise(F.least(F.col("d"), euclidean("p", "c_new")))
             cur = cur.join(newest, "bucket", "left").select(*pts.columns, d.alias("d"))
     for df in held:
@@ -207,16 +209,26 @@ def _unlist(lists: DataFrame) -> DataFrame:
     )
 
 
-def _assign(pts: DataFrame, lists: DataFrame, bound: int) -> DataFrame:
+def _model_broadcast(lists: DataFrame, bound: int) -> DataFrame:
+    """A one-bucket model is always broadcast (its size is proven by
+    ``bound``): a join on a constant bucket would put every point in one
+    partition, and a cross join would emit all pairs. Refused beyond
+    ``MAX_MODEL_BYTES``."""
+    if bound > MAX_MODEL_BYTES:
+        raise ValueError(f"a single model of ~{bound} bytes is too large to broadcast; use buckets")
+    return F.broadcast(lists)
+
+
+def _assign(pts: DataFrame, lists: DataFrame, bound: int, grouped: bool = True) -> DataFrame:
     """Adds ``cid`` (nearest centre of the point's bucket) and ``d2``."""
-    cs = broadcast_if_bounded(lists, bound)
+    cs = broadcast_if_bounded(lists, bound) if grouped else _model_broadcast(lists, bound)
     near = nearest_centre("p", "cs")
     return pts.join(cs, "bucket").withColumn("m", near).select(
         *pts.columns, F.col("m.cid").alias("cid"), F.col("m.d2").alias("d2")
     )
 
 
-def _update(pts: DataFrame, lists: DataFrame, bound: int) -> DataFrame:
+def _update(pts: DataFrame, lists: DataFrame, bound: int, grouped: bool = True) -> DataFrame:
     """One Lloyd step inside every bucket, in list form.
 
     Each centre moves to the weighted mean of its points; a centre without
@@ -226,7 +238,7 @@ def _update(pts: DataFrame, lists: DataFrame, bound: int) -> DataFrame:
     costs one row per task and component), then each bucket's components,
     sorted by ``(cid, pos)``, are cut back into one vector per centre.
     """
-    a = _assign(pts, lists, bound)
+    a = _assign(pts, lists, bound, grouped)
     moved = a.select(
         "bucket", "cid", F.posexplode("p").alias("pos", "v"), F.col("w")
     ).select(
@@ -262,9 +274,9 @@ def _update(pts: DataFrame, lists: DataFrame, bound: int) -> DataFrame:
 
 
 def _lloyd(pts: DataFrame, lists: DataFrame, iters: int, bound: int, tables: ScratchTables,
-           stage: str) -> DataFrame:
+           stage: str, grouped: bool = True) -> DataFrame:
     for it in range(iters):
-        lists = tables.put(_update(pts, lists, bound), f"{stage}-lloyd{it}")
+        lists = tables.put(_update(pts, lists, bound, grouped), f"{stage}-lloyd{it}")
     return lists
 
 
@@ -272,7 +284,7 @@ def _kmeanspp(pts: DataFrame, k: int, iters: int, seed: int, stage: str, n_bucke
               tables: ScratchTables, dim: int, parts: int = 0) -> DataFrame:
     """Seeding then Lloyd in every bucket; returns the list form."""
     seeds = _seed(pts, k, seed, stage, n_buckets, dim, tables, parts)
-    return _lloyd(pts, _lists(seeds), iters, _bound(n_buckets * k, dim), tables, stage)
+    return _lloyd(pts, _lists(seeds), iters, _bound(n_buckets * k, dim), tables, stage, n_buckets > 1)
 
 
 # ---------------------------------------------------------------- public API
@@ -382,7 +394,7 @@ def _model_lists(centres: DataFrame) -> DataFrame:
 def centroid_update(points: DataFrame, centres: DataFrame, weight_col: str | None = None) -> DataFrame:
     """``cid, c``: one Lloyd step against fixed centres (weighted means)."""
     pts = prepare_points(points, 1, 0, weight_col)
-    return _unlist(_update(pts, _model_lists(centres), model_bound(centres))).select("cid", "c")
+    return _unlist(_update(pts, _model_lists(centres), model_bound(centres), grouped=False)).select("cid", "c")
 
 
 def lloyd(points: DataFrame, centres: DataFrame, iters: int, weight_col: str | None = None) -> DataFrame:
@@ -393,7 +405,8 @@ def lloyd(points: DataFrame, centres: DataFrame, iters: int, weight_col: str | N
     pts = prepare_points(points, 1, 0, weight_col).persist(STORAGE)
     try:
         bound = model_bound(centres)
-        return _unlist(_lloyd(pts, _model_lists(centres), iters, bound, tables, "lloyd")).select("cid", "c")
+        lists = _lloyd(pts, _model_lists(centres), iters, bound, tables, "lloyd", grouped=False)
+        return _unlist(lists).select("cid", "c")
     finally:
         pts.unpersist(blocking=False)
 
@@ -418,7 +431,7 @@ def _coreset(points: DataFrame, k: int, n_buckets: int, iters: int, seed: int) -
     try:
         bound = _bound(n_buckets * k, dim)
         lists = _kmeanspp(pts, k, iters, seed, "coreset", n_buckets, tables, dim, parts)
-        w = _assign(pts, lists, bound).groupBy("bucket", "cid").agg(F.sum("w").cast("long").alias("w"))
+        w = _assign(pts, lists, bound, n_buckets > 1).groupBy("bucket", "cid").agg(F.sum("w").cast("long").alias("w"))
         out = _unlist(lists).join(w, ["bucket", "cid"]).select("bucket", "cid", "c", "w")
         return tables.put(out, "coreset"), dim
     finally:

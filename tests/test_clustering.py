@@ -237,3 +237,22 @@ def test_empty_point_set(spark):
     q = pts_df(spark, V1)
     a = cl.assign_nearest(q, c).collect()
     assert [r.cid for r in a] == [None] * 4
+
+
+def test_single_model_is_broadcast_even_over_threshold(spark):
+    # one bucket: a join on the constant bucket would put all points in one partition
+    p = points_from_embeddings(spark.read.parquet(f"{SF_SMALL}/embeddings.parquet"))
+    want_l = sorted((r.cid, tuple(r.c)) for r in cl.lloyd(p, cl.first_centres(p, 4), 1).collect())
+    want_d = sorted((r.cid, tuple(r.c)) for r in cl.kmedian_direct(p, 3, 1, seed=2).collect())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        got_l = sorted((r.cid, tuple(r.c)) for r in cl.lloyd(p, cl.first_centres(p, 4), 1).collect())
+        got_d = sorted((r.cid, tuple(r.c)) for r in cl.kmedian_direct(p, 3, 1, seed=2).collect())
+        pts = cl.prepare_points(p)
+        plan = cl._assign(pts, cl._model_lists(cl.first_centres(p, 4)), 10**6, grouped=False)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got_l == want_l and got_d == want_d
+    assert "SortMergeJoin" not in plan and "Broadcast" in plan
+    with pytest.raises(ValueError):
+        cl._model_broadcast(cl._model_lists(cl.first_centres(p, 4)), cl.MAX_MODEL_BYTES + 1)
