@@ -83,14 +83,20 @@ def prepare_points(
 
 def _cluster_if_unbroadcastable(pts: DataFrame, n_buckets: int, k: int) -> tuple[DataFrame, int, int]:
     """``(points, dim, parts)``. When the per-bucket centre lists could exceed
-    the broadcast threshold, the points are hash-partitioned by bucket into
-    ``parts`` partitions once, up front (before they are persisted), so that
-    every later join on the bucket shuffles only the small centre side and the
-    per-bucket aggregates need no exchange; ``parts`` is 0 otherwise. One
-    bucket (a global model) is never co-located this way."""
+    the broadcast threshold and there are at least as many buckets as shuffle
+    partitions, the points are hash-partitioned by bucket into ``parts``
+    partitions once, up front (before they are persisted), so that every later
+    join on the bucket shuffles only the small centre side and the per-bucket
+    aggregates need no exchange. Otherwise ``parts`` is 0 and every centre-side
+    table is broadcast with its proven bound (``_model_broadcast``); with few
+    buckets that keeps all tasks busy, where co-location would not."""
     dim = vector_dim(pts)
-    if n_buckets > 1 and _bound(n_buckets * k, dim) > broadcast_threshold(pts.sparkSession):
-        parts = max(int(pts.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    bound = _bound(n_buckets * k, dim)
+    parts = max(int(pts.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    # enough buckets to keep every partition busy, or too big to broadcast at all
+    if n_buckets > 1 and bound > broadcast_threshold(pts.sparkSession) and (
+        n_buckets >= parts or bound > MAX_MODEL_BYTES
+    ):
         return pts.repartition(parts, "bucket").sortWithinPartitions("bucket"), dim, parts
     return pts, dim, 0
 
@@ -105,7 +111,7 @@ def _bound(rows: int, dim: int) -> int:
     return rows * (8 * dim + ROW_OVERHEAD)
 
 
-def _pick(cand: DataFrame, cid: int, grouped: bool, bound: int) -> DataFrame:
+def _pick(cand: DataFrame, cid: int, grouped: bool, bound: int, small=None) -> DataFrame:
     """Per bucket, the row with the smallest ``key`` (lowest id on ties):
     ``bucket, cid, id, c``.
 
@@ -126,7 +132,7 @@ def _pick(cand: DataFrame, cid: int, grouped: bool, bound: int) -> DataFrame:
     # Joined on the bucket alone, so a bucket-partitioned frame is not
     # re-shuffled; ``key <= kmin`` (kmin is the minimum, so this is equality)
     # stays a join condition instead of becoming a second join key.
-    hits = cand.join(broadcast_if_bounded(mins, bound), "bucket").where(
+    hits = cand.join((small or broadcast_if_bounded)(mins, bound), "bucket").where(
         F.col("key") <= F.col("kmin")
     )
     best = hits.groupBy("bucket").agg(F.min(F.struct("id", "p")).alias("m"))
@@ -154,13 +160,14 @@ def _seed(pts: DataFrame, k: int, seed: int, stage: str, n_buckets: int, dim: in
     (free, it already holds) so its cached copy is joined without a shuffle."""
     grouped = n_buckets > 1
     pick_bound = _bound(n_buckets, dim)
-    small = broadcast_if_bounded if grouped else _model_broadcast  # one bucket: always broadcast
+    # co-located: joins may shuffle the small side; otherwise always broadcast (bounded)
+    small = broadcast_if_bounded if parts else _model_broadcast
 
     def u(r: int) -> Column:
         return keyed_uniform(seed, f"{stage}:{r}", "id")
 
     # Round 0: uniform over the points, weights ignored.
-    first = tables.put(_pick(pts.withColumn("key", -F.ln(u(0))), 0, grouped, pick_bound), f"{stage}-pick0")
+    first = tables.put(_pick(pts.withColumn("key", -F.ln(u(0))), 0, grouped, pick_bound, small), f"{stage}-pick0")
     picks = [first]
     cur = pts.join(small(first.select("bucket", "c"), pick_bound), "bucket").select(
         *pts.columns, euclidean("p", "c").alias("d")
@@ -175,7 +182,7 @@ def _seed(pts: DataFrame, k: int, seed: int, stage: str, n_buckets: int, dim: in
         held.append(cur)
         # d > 0 leaves out the chosen centres and exact copies of them.
         cand = cur.where("d > 0 AND w > 0").select("*", (-F.ln(u(r)) / (F.col("w") * F.col("d"))).alias("key"))
-        pick = tables.put(_pick(cand, r, grouped, pick_bound), f"{stage}-pick{r}")
+        pick = tables.put(_pick(cand, r, grouped, pick_bound, small), f"{stage}-pick{r}")
         picks.append(pick)
         if len(held) > 1:
             held.pop(0).unpersist(blocking=False)
@@ -210,25 +217,26 @@ def _unlist(lists: DataFrame) -> DataFrame:
 
 
 def _model_broadcast(lists: DataFrame, bound: int) -> DataFrame:
-    """A one-bucket model is always broadcast (its size is proven by
-    ``bound``): a join on a constant bucket would put every point in one
-    partition, and a cross join would emit all pairs. Refused beyond
-    ``MAX_MODEL_BYTES``."""
+    """Broadcast a centre-side table whose size is proven by ``bound``, even
+    over the auto-broadcast threshold: for points that are not co-located by
+    bucket any other join would shuffle every point each round (or, for one
+    bucket, put every point in one partition; a cross join would emit all
+    pairs). Refused beyond ``MAX_MODEL_BYTES``."""
     if bound > MAX_MODEL_BYTES:
         raise ValueError(f"a single model of ~{bound} bytes is too large to broadcast; use buckets")
     return F.broadcast(lists)
 
 
-def _assign(pts: DataFrame, lists: DataFrame, bound: int, grouped: bool = True) -> DataFrame:
+def _assign(pts: DataFrame, lists: DataFrame, bound: int, colocated: bool = False) -> DataFrame:
     """Adds ``cid`` (nearest centre of the point's bucket) and ``d2``."""
-    cs = broadcast_if_bounded(lists, bound) if grouped else _model_broadcast(lists, bound)
+    cs = broadcast_if_bounded(lists, bound) if colocated else _model_broadcast(lists, bound)
     near = nearest_centre("p", "cs")
     return pts.join(cs, "bucket").withColumn("m", near).select(
         *pts.columns, F.col("m.cid").alias("cid"), F.col("m.d2").alias("d2")
     )
 
 
-def _update(pts: DataFrame, lists: DataFrame, bound: int, grouped: bool = True) -> DataFrame:
+def _update(pts: DataFrame, lists: DataFrame, bound: int, colocated: bool = False) -> DataFrame:
     """One Lloyd step inside every bucket, in list form.
 
     Each centre moves to the weighted mean of its points; a centre without
@@ -238,7 +246,7 @@ def _update(pts: DataFrame, lists: DataFrame, bound: int, grouped: bool = True)
     costs one row per task and component), then each bucket's components,
     sorted by ``(cid, pos)``, are cut back into one vector per centre.
     """
-    a = _assign(pts, lists, bound, grouped)
+    a = _assign(pts, lists, bound, colocated)
     moved = a.select(
         "bucket", "cid", F.posexplode("p").alias("pos", "v"), F.col("w")
     ).select(
@@ -274,9 +282,9 @@ def _update(pts: DataFrame, lists: DataFrame, bound: int, grouped: bool = True)
 
 
 def _lloyd(pts: DataFrame, lists: DataFrame, iters: int, bound: int, tables: ScratchTables,
-           stage: str, grouped: bool = True) -> DataFrame:
+           stage: str, colocated: bool = False) -> DataFrame:
     for it in range(iters):
-        lists = tables.put(_update(pts, lists, bound, grouped), f"{stage}-lloyd{it}")
+        lists = tables.put(_update(pts, lists, bound, colocated), f"{stage}-lloyd{it}")
     return lists
 
 
@@ -284,7 +292,7 @@ def _kmeanspp(pts: DataFrame, k: int, iters: int, seed: int, stage: str, n_bucke
               tables: ScratchTables, dim: int, parts: int = 0) -> DataFrame:
     """Seeding then Lloyd in every bucket; returns the list form."""
     seeds = _seed(pts, k, seed, stage, n_buckets, dim, tables, parts)
-    return _lloyd(pts, _lists(seeds), iters, _bound(n_buckets * k, dim), tables, stage, n_buckets > 1)
+    return _lloyd(pts, _lists(seeds), iters, _bound(n_buckets * k, dim), tables, stage, parts > 0)
 
 
 # ---------------------------------------------------------------- public API
@@ -394,7 +402,7 @@ def _model_lists(centres: DataFrame) -> DataFrame:
 def centroid_update(points: DataFrame, centres: DataFrame, weight_col: str | None = None) -> DataFrame:
     """``cid, c``: one Lloyd step against fixed centres (weighted means)."""
     pts = prepare_points(points, 1, 0, weight_col)
-    return _unlist(_update(pts, _model_lists(centres), model_bound(centres), grouped=False)).select("cid", "c")
+    return _unlist(_update(pts, _model_lists(centres), model_bound(centres))).select("cid", "c")
 
 
 def lloyd(points: DataFrame, centres: DataFrame, iters: int, weight_col: str | None = None) -> DataFrame:
@@ -405,7 +413,7 @@ def lloyd(points: DataFrame, centres: DataFrame, iters: int, weight_col: str | N
     pts = prepare_points(points, 1, 0, weight_col).persist(STORAGE)
     try:
         bound = model_bound(centres)
-        lists = _lloyd(pts, _model_lists(centres), iters, bound, tables, "lloyd", grouped=False)
+        lists = _lloyd(pts, _model_lists(centres), iters, bound, tables, "lloyd")
         return _unlist(lists).select("cid", "c")
     finally:
         pts.unpersist(blocking=False)
@@ -431,7 +439,7 @@ def _coreset(points: DataFrame, k: int, n_buckets: int, iters: int, seed: int) -
     try:
         bound = _bound(n_buckets * k, dim)
         lists = _kmeanspp(pts, k, iters, seed, "coreset", n_buckets, tables, dim, parts)
-        w = _assign(pts, lists, bound, n_buckets > 1).groupBy("bucket", "cid").agg(F.sum("w").cast("long").alias("w"))
+        w = _assign(pts, lists, bound, parts > 0).groupBy("bucket", "cid").agg(F.sum("w").cast("long").alias("w"))
         out = _unlist(lists).join(w, ["bucket", "cid"]).select("bucket", "cid", "c", "w")
         return tables.put(out, "coreset"), dim
     finally:

@@ -249,10 +249,23 @@ def test_single_model_is_broadcast_even_over_threshold(spark):
         got_l = sorted((r.cid, tuple(r.c)) for r in cl.lloyd(p, cl.first_centres(p, 4), 1).collect())
         got_d = sorted((r.cid, tuple(r.c)) for r in cl.kmedian_direct(p, 3, 1, seed=2).collect())
         pts = cl.prepare_points(p)
-        plan = cl._assign(pts, cl._model_lists(cl.first_centres(p, 4)), 10**6, grouped=False)._jdf.queryExecution().executedPlan().toString()
+        plan = cl._assign(pts, cl._model_lists(cl.first_centres(p, 4)), 10**6)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert got_l == want_l and got_d == want_d
     assert "SortMergeJoin" not in plan and "Broadcast" in plan
     with pytest.raises(ValueError):
         cl._model_broadcast(cl._model_lists(cl.first_centres(p, 4)), cl.MAX_MODEL_BYTES + 1)
+
+
+def test_few_buckets_over_threshold_stay_broadcast(spark):
+    # 2 buckets < shuffle partitions: broadcasting keeps every task busy, co-location would not
+    p = points_from_embeddings(spark.read.parquet(f"{SF_SMALL}/embeddings.parquet"))
+    want = sorted((r.bucket, r.cid, r.w, tuple(r.c)) for r in cl.coreset(p, 3, 2, 1, seed=8).collect())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        pts, _, parts = cl._cluster_if_unbroadcastable(cl.prepare_points(p, 2, 8), 2, 3)
+        got = sorted((r.bucket, r.cid, r.w, tuple(r.c)) for r in cl.coreset(p, 3, 2, 1, seed=8).collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert parts == 0 and got == want
