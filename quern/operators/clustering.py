@@ -13,9 +13,11 @@ Plan shape, per round, for any number of buckets:
   doubles) the points are never shuffled: every per-bucket step is a partial
   + final hash aggregate on ``bucket`` (a few rows per task cross the
   network) or a broadcast join against the centre rows, and no bucket is
-  ever gathered into one task. Beyond that bound the points are
-  hash-partitioned by bucket once, up front, and every round's joins and
-  aggregates then shuffle only the centre side.
+  ever gathered into one task. Beyond that bound, with at least as many
+  buckets as shuffle partitions, the points are hash-partitioned by bucket
+  once, up front, and every round's joins and aggregates then shuffle only
+  the centre side; with fewer buckets (or one) the bounded centre tables are
+  broadcast regardless of the threshold (``_model_broadcast``).
 * Centres live in small parquet tables under ``spark.checkpoint.dir``
   (``ScratchTables``): computed once per round, lineage cut, nothing
   collected to the driver.
