@@ -246,7 +246,9 @@ def vec_kmedian(spark, sf_dir):
     pts = _points(spark, sf_dir)
     centres = cl.kmedian(pts, K, BUCKETS, ITERS, SEED)
     sizes = cl.cluster_weights(pts, centres)
-    return _explode_centres(centres.join(sizes, "cid"), "cid", "w")
+    # every centre is kept; one that attracts no point has size 0
+    sized = centres.join(sizes, "cid", "left").select("cid", "c", F.coalesce("w", F.lit(0)).cast("long").alias("w"))
+    return _explode_centres(sized, "cid", "w")
 
 
 def vec_kmedian_objective(spark, sf_dir):

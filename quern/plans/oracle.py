@@ -263,7 +263,7 @@ FROM embeddings"""
             upts,
             _nearest("upts", "fin_b", "fin_asg"),
             "sizes AS (SELECT cid, count(*)::BIGINT AS w FROM fin_asg GROUP BY cid)",
-            "fin_w AS (SELECT f.cid, f.c, s.w FROM final f JOIN sizes s USING (cid))",
+            "fin_w AS (SELECT f.cid, f.c, coalesce(s.w, 0)::BIGINT AS w FROM final f LEFT JOIN sizes s USING (cid))",
         ],
         _explode("fin_w", "cid::BIGINT AS cid, w"),
     )
