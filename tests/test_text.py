@@ -101,3 +101,14 @@ def test_read_lines_file(spark, tmp_path):
     lines = read_lines(spark, str(p))
     assert sorted(r.line for r in lines.collect()) == sorted(T1)
     assert {r.word: r.n for r in tx.word_count(lines).collect()} == {"a": 2, "b": 2, "c": 1, "": 2}
+
+
+def test_hot_word_counts_agree(spark):
+    # one word holds most tokens: partial aggregation and salting must keep exact counts
+    rows = [(i, 0, ("hot " * 50 + f"w{i % 7} cold{i}").strip()) for i in range(400)]
+    lines = spark.createDataFrame(rows, "doc_id long, line_no long, line string").repartition(5)
+    plain = {r.word: r.n for r in tx.word_count(lines).collect()}
+    assert plain["hot"] == 400 * 50 and plain["w0"] == 58 and len(plain) == 1 + 7 + 400
+    for salts in (1, 4, 13):
+        assert {r.word: r.n for r in tx.word_count_salted(lines, salts, seed=salts).collect()} == plain
+    assert {r.word: r.n for r in tx.word_count_from_term_counts(tx.doc_term_counts(lines)).collect()} == plain
