@@ -41,9 +41,10 @@ def doc_term_counts(lines: DataFrame) -> DataFrame:
 def word_count(lines: DataFrame) -> DataFrame:
     """``word, n`` over the whole collection (partial + final hash aggregate).
 
-    This one plan covers the combine-then-reduce count, the group-then-sum
-    count and the per-partition pre-aggregated count: Catalyst's partial
-    aggregate is the per-partition combine.
+    This one plan covers the combine-then-reduce count and the
+    group-then-sum count: Catalyst's partial aggregate combines each task's
+    words (so each document's too) before the shuffle. The count built on
+    explicit per-document counts is ``word_count_from_term_counts``.
     """
     return _words(lines).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
@@ -66,7 +67,9 @@ def word_count_salted(lines: DataFrame, salts: int, seed: int = 0) -> DataFrame:
 
 
 def word_count_from_term_counts(term_counts: DataFrame) -> DataFrame:
-    """``word, n`` from per-document counts (``doc_term_counts`` rows)."""
+    """``word, n`` from per-document counts (``doc_term_counts`` rows): the
+    pre-aggregated count. The per-document step is its own exchange, then
+    the partial aggregate combines per task before the exchange on the word."""
     return term_counts.groupBy("word").agg(F.sum("n").cast("long").alias("n"))
 
 
