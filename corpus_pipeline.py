@@ -1,5 +1,5 @@
 """The corpus pipeline: documents pass the quality classifier, line dedup,
-benchmark decontamination and BPE encoding.
+near-duplicate removal, benchmark decontamination and BPE encoding.
 
 Each stage is ``(spark, docs, sf_dir) -> DataFrame``; ``run`` writes what a
 stage returns as Parquet and reads it again as the next one's ``docs``.
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, decontam, line_dedup, quality
+from quern.llm import bpe, decontam, line_dedup, minhash, quality
 from quern.llm.catalog import PATTERN, RANKS
 from quern.llm.common import table
 from quern.session import ScratchTables
@@ -31,6 +31,11 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return line_dedup.clean(docs)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: that of the lowest id."""
+    return minhash.dedup(docs)
+
+
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of the benchmark."""
     return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
@@ -45,6 +50,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality", keep_quality),
     ("line_dedup", drop_boilerplate),
+    ("near_duplicates", drop_near_duplicates),
     ("decontamination", cut_benchmark),
     ("encoding", encode),
 ]

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm.common import packed, slices
+from quern.llm.common import map_arrow, packed, slices
 
 CHUNK_CHARS = 1 << 16
 SLICE_BYTES = 8 << 20
@@ -113,7 +113,7 @@ def encode(docs: DataFrame, path: str, pattern: str, *, text_col: str = "text",
     kinds = "ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>"
     inp = packed(docs, text=F.col(text_col))
     schema = f"row {inp.schema['row'].dataType.simpleString()}, n_tokens bigint, {kinds}"
-    return inp.mapInArrow(partial(_encode, _shared(docs.sparkSession, path, pattern), digests), schema)
+    return map_arrow(inp, partial(_encode, _shared(docs.sparkSession, path, pattern), digests), schema)
 
 
 def decode(tokens: DataFrame, path: str, pattern: str, *, ids_col: str = "ids") -> DataFrame:
@@ -121,4 +121,4 @@ def decode(tokens: DataFrame, path: str, pattern: str, *, ids_col: str = "ids")
     ids (they need not be whole UTF-8); null ids give null."""
     inp = packed(tokens, ids=F.col(ids_col))
     schema = f"row {inp.schema['row'].dataType.simpleString()}, data binary"
-    return inp.mapInArrow(partial(_decode, _shared(tokens.sparkSession, path, pattern)), schema)
+    return map_arrow(inp, partial(_decode, _shared(tokens.sparkSession, path, pattern)), schema)

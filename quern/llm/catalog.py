@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, decontam, html_text, license_scan, line_dedup, quality, repetition, substring_dedup, wordpiece
+from quern.llm import bpe, decontam, html_text, license_scan, line_dedup, minhash, quality, repetition, substring_dedup, wordpiece
 from quern.llm.common import table
 
 #: Parameters of the registered queries.
@@ -44,6 +44,10 @@ def op7_token_counts(spark, sf_dir):
     return wordpiece.token_counts(table(spark, sf_dir, "documents"), *wordpiece.sentencepiece_vocabulary(PIECES))
 
 
+def op8_minhash(spark, sf_dir):
+    return minhash.classes(table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs, table(spark, sf_dir, "labels"))
@@ -69,6 +73,7 @@ QUERIES = {
         op5_html_text,
         op6_decontamination,
         op7_token_counts,
+        op8_minhash,
         op9_quality,
         op10_line_dedup,
     )

@@ -3,7 +3,11 @@ and the slicing of Arrow batches into pieces of bounded size."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import atexit
+import os
+import shutil
+import tempfile
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -121,5 +125,22 @@ def packed(docs: DataFrame, **more: Column) -> DataFrame:
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[v.alias(k) for k, v in more.items()])
 
 
+_shipped: set[str] = set()
+
+
+def map_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` with this package sent to the executors, which need
+    not have it installed."""
+    context = df.sparkSession.sparkContext
+    if context.applicationId not in _shipped:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        root, name = os.path.split(package)
+        folder = tempfile.mkdtemp(prefix=f"{name}-package-")  # of the driver; executors fetch the file from it
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.addPyFile(shutil.make_archive(f"{folder}/{name}", "zip", root, name))
+        _shipped.add(context.applicationId)
+    return df.mapInArrow(function, schema)
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

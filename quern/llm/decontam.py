@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import FOLDED_WORD, cut_spans, folded_words, packed, slices, texts
+from quern.llm.common import FOLDED_WORD, cut_spans, folded_words, map_arrow, packed, slices, texts
 
 SAMPLE = 8
 _WORD = re.compile(FOLDED_WORD.encode())
@@ -319,7 +319,7 @@ def find(
     )
     n, parts = blocks(benchmark, item_col, item_text_col, window, block_bytes)
     for b, phrases in enumerate(parts):  # every block sees every document; what was found goes along
-        out = out.mapInArrow(partial(_search, context.broadcast(phrases), b == n - 1, shard_bytes), out.schema)
+        out = map_arrow(out, partial(_search, context.broadcast(phrases), b == n - 1, shard_bytes), out.schema)
     return out
 
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import slices
+from quern.llm.common import map_arrow, slices
 
 SLICE_BYTES = 8 << 20
 SIGMA = 1.0  # of the smoothing, in lines
@@ -224,4 +224,4 @@ def main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url"
     """
     inp = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     kinds = [f"{c} {inp.schema[c].dataType.simpleString()}" for c in ("page_id", "url")]
-    return inp.mapInArrow(_extract, f"{', '.join(kinds)}, text string, n_chars bigint")
+    return map_arrow(inp, _extract, f"{', '.join(kinds)}, text string, n_chars bigint")

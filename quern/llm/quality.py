@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import mix, packed, slices, spaced_words, texts
+from quern.llm.common import map_arrow, mix, packed, slices, spaced_words, texts
 
 DIM = 32  # of index vectors and of context vectors
 BUCKETS = 1 << 14
@@ -103,7 +103,7 @@ def context_table(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """Normalised context vectors of all buckets, from all documents. The
     driver gets ``BUCKETS`` rows at most."""
     schema = "bucket bigint, " + ", ".join(f"v{d} bigint" for d in range(DIM))
-    parts = docs.select(F.col(text_col).alias("text")).mapInArrow(_contexts, schema)
+    parts = map_arrow(docs.select(F.col(text_col).alias("text")), _contexts, schema)
     sums = parts.groupBy("bucket").agg(*[F.sum(f"v{d}").alias(f"v{d}") for d in range(DIM)]).toArrow()
     out = np.zeros((BUCKETS, DIM))
     if sums.num_rows:
@@ -256,8 +256,7 @@ def train(
     shared = docs.sparkSession.sparkContext.broadcast(table)
     some = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(known), "id")
     got = (
-        some.select("key", "label", "text")
-        .mapInArrow(partial(_features, shared), "key bigint, label double, x array<double>")
+        map_arrow(some.select("key", "label", "text"), partial(_features, shared), "key bigint, label double, x array<double>")
         .orderBy("key")
         .limit(max_train)
         .toArrow()
@@ -274,4 +273,4 @@ def score(docs: DataFrame, model: tuple[np.ndarray, Network], *, text_col: str =
     are scored as documents without words; one row out for each row in."""
     inp = packed(docs, text=F.col(text_col))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return inp.mapInArrow(partial(_scores, shared), f"row {inp.schema['row'].dataType.simpleString()}, score double")
+    return map_arrow(inp, partial(_scores, shared), f"row {inp.schema['row'].dataType.simpleString()}, score double")

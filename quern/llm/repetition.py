@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from quern.llm.common import WordHashes, mix, rolling, slices, spaced_words, texts, two
+from quern.llm.common import WordHashes, map_arrow, mix, rolling, slices, spaced_words, texts, two
 
 #: Largest share of word characters inside repeated n-grams, by n, and inside
 #: lines that equal an earlier one. The share of lines counts only in what is
@@ -154,4 +154,4 @@ def rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     """
     inp = two(docs, id_col, text_col)
     kind = inp.schema["doc_id"].dataType.simpleString()
-    return inp.mapInArrow(_rules, SCHEMA.replace("doc_id bigint", f"doc_id {kind}"))
+    return map_arrow(inp, _rules, SCHEMA.replace("doc_id bigint", f"doc_id {kind}"))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.llm.common import WordHashes, cut_spans, folded_words, mix, row_key, slices, texts
+from quern.llm.common import WordHashes, cut_spans, folded_words, map_arrow, mix, row_key, slices, texts
 from quern.session import ScratchTables
 
 WINNOW = 15
@@ -127,7 +127,7 @@ def units_of(docs: DataFrame, id_col: str, text_col: str, winnow: int, unit_word
     )
     kind = inp.schema["doc_id"].dataType.simpleString()
     schema = f"r1 bigint, r2 bigint, doc_id {kind}, d1 bigint, d2 bigint, start int, end int, again boolean"
-    return inp.mapInArrow(lambda batches: _units(winnow, unit_words, batches), schema)
+    return map_arrow(inp, lambda batches: _units(winnow, unit_words, batches), schema)
 
 
 def _removed(docs: DataFrame, id_col: str, text_col: str, winnow: int, unit_words: int) -> DataFrame:

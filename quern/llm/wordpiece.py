@@ -15,7 +15,7 @@ from functools import lru_cache, partial
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from quern.llm.common import slices, texts, two
+from quern.llm.common import map_arrow, slices, texts, two
 
 SLICE_BYTES = 8 << 20
 MEMO = 1 << 19  # words whose counts a task remembers
@@ -138,4 +138,4 @@ def token_counts(
     inp = two(docs, id_col, text_col)
     kind = inp.schema["doc_id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    return inp.mapInArrow(partial(_count, shared), f"doc_id {kind}, n_words bigint, n_pieces bigint, n_unknown bigint")
+    return map_arrow(inp, partial(_count, shared), f"doc_id {kind}, n_words bigint, n_pieces bigint, n_unknown bigint")
