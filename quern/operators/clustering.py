@@ -8,22 +8,22 @@ bucket of points has its own centres).
 Plan shape, per round, for any number of buckets:
 
 * The point set is prepared once (id, vector, weight, bucket) and persisted.
-  A bucket is a keyed hash of the id. While the per-bucket centre lists fit
-  the broadcast threshold (bound: ``buckets * k`` centres of ``dim``
-  doubles) the points are never shuffled: every per-bucket step is a partial
-  + final hash aggregate on ``bucket`` (a few rows per task cross the
-  network) or a broadcast join against the centre rows, and no bucket is
-  ever gathered into one task. Beyond that bound, with at least as many
-  buckets as shuffle partitions, the points are hash-partitioned by bucket
-  once, up front, and every round's joins and aggregates then shuffle only
-  the centre side; with fewer buckets (or one) the bounded centre tables are
-  broadcast regardless of the threshold (``_model_broadcast``).
+  A bucket is a keyed hash of the id.
+* Centres travel in rows of at most ``BLOCK_ROWS`` centres of one bucket. A
+  block of all buckets whose size bound fits the user's broadcast threshold is
+  broadcast, and the points are never shuffled. Otherwise the points are
+  hash-partitioned once by (bucket, salt), and the centre rows are repeated for
+  every salt and joined on both: only the centre side moves, and no bucket is
+  held by one task. A model of more blocks is met block by block, each point
+  carrying its best ``(d2, cid)`` so far.
+* Every per-bucket step is a partial + final hash aggregate (a few rows per
+  task cross the network); no (point, centre) pairs are emitted.
 * Centres live in small parquet tables under ``spark.checkpoint.dir``
-  (``ScratchTables``): computed once per round, lineage cut, nothing
-  collected to the driver.
-* The seeding distance is carried as a column ``d`` (distance to the nearest
-  centre chosen so far) and updated against the newest centre only; each
-  round's frame is persisted and reliably checkpointed every few rounds.
+  (``ScratchTables``): computed once per round, lineage cut, nothing collected
+  to the driver, deleted when the stage is done.
+* The seeding distance ``d`` (to the nearest centre chosen so far) is written
+  with the points every ``REFRESH`` rounds only; in between it is the minimum
+  of that and the distances to the few newest centres, computed in the scan.
 
 Randomness: D1 sampling draws point ``i`` with probability ``w_i d_i / sum``
 by an exponential race: the winner is the smallest ``-ln(u_i) / (w_i d_i)``
@@ -34,18 +34,23 @@ Exact ties on the race key go to the lowest id.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quern.functions.random import keyed_uniform
-from quern.functions.vectors import euclidean, nearest_centre
-from quern.session import ScratchTables, broadcast_if_bounded, broadcast_threshold
+from quern.functions.vectors import nearest_centre
+from quern.session import ScratchTables, broadcast_threshold
 
 STORAGE = StorageLevel.MEMORY_AND_DISK_DESER  # the DataFrame.cache() default: spills to disk, no (de)serialization in memory
-CHECKPOINT_EVERY = 8  # seeding rounds between reliable checkpoints of the point frame
+REFRESH = 8  # seeding rounds between written frames of points and distances
+BLOCK_ROWS = 1024  # centres of one bucket in one row
+BLOCKS_IN_PLAN = 8  # blocks that one plan holds; then the best so far is written
+CELLS = 4  # cells (bucket, salt) for each shuffle partition, so that few stay empty
 ROW_OVERHEAD = 96  # bytes per centre row besides its doubles, for size bounds
-MAX_MODEL_BYTES = 1 << 30  # a single (one-bucket) model larger than this is refused
 
 
 def _check(k: int, iters: int = 0, n_buckets: int = 1) -> None:
@@ -65,42 +70,66 @@ def bucket_of(id_sql: str, n_buckets: int, seed: int) -> Column:
     return F.floor(keyed_uniform(seed, "bucket", id_sql) * F.lit(float(n_buckets))).cast("int")
 
 
+def _weight(points: DataFrame, weight_col: str | None) -> Column:
+    """The weight: BIGINT if the column holds whole numbers, else DOUBLE. A
+    NULL, negative, NaN or infinite weight fails the task."""
+    if not weight_col:
+        return F.lit(1).cast("long")
+    whole = isinstance(points.schema[weight_col].dataType, T.IntegralType)
+    w = F.col(f"`{weight_col}`").cast("long" if whole else "double")
+    good = (w >= 0) if whole else (w >= 0) & (w < float("inf"))
+    return F.when(good, w).otherwise(F.raise_error(F.lit("a weight must be a number >= 0")))
+
+
 def prepare_points(
     points: DataFrame, n_buckets: int = 1, seed: int = 0, weight_col: str | None = None
 ) -> DataFrame:
-    """``bucket, id, p, w``: only the columns the clustering reads.
-
-    Rows of weight 0 cannot be drawn and add nothing to a centroid, so they
-    are left out here.
-    """
-    w = F.col(weight_col).cast("long") if weight_col else F.lit(1).cast("long")
-    out = points.select(
+    """``bucket, id, p, w``: only the columns the clustering reads. Rows of
+    weight 0 stay: the first centre is drawn without regard to weights."""
+    return points.select(
         bucket_of("id", n_buckets, seed).alias("bucket"),
         F.col("id").cast("long").alias("id"),
         F.col("p"),
-        w.alias("w"),
+        _weight(points, weight_col).alias("w"),
     )
-    return out.where(F.col("w") > 0) if weight_col else out
-
-
-def _cluster_if_unbroadcastable(pts: DataFrame, n_buckets: int, k: int) -> tuple[DataFrame, int, int]:
-    """``(points, dim, parts)``. When the per-bucket centre lists could exceed
-    the broadcast threshold and there are at least as many buckets as shuffle
-    partitions, the points are hash-partitioned by bucket into ``parts``
-    partitions once, up front (before they are persisted), so that every later
-    join on the bucket shuffles only the small centre side and the per-bucket
-    aggregates need no exchange. Otherwise ``parts`` is 0 and every centre-side
-    table is broadcast with its proven bound (``_model_broadcast``); with few
-    buckets that keeps all tasks busy, where co-location would not."""
-    dim = vector_dim(pts)
-    bound = _bound(n_buckets * k, dim)
-    parts = max(int(pts.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    # enough buckets to keep every partition busy, or too big to broadcast at all
-    if n_buckets > 1 and bound > broadcast_threshold(pts.sparkSession) and (
-        n_buckets >= parts or bound > MAX_MODEL_BYTES
-    ):
-        return pts.repartition(parts, "bucket").sortWithinPartitions("bucket"), dim, parts
-    return pts, dim, 0
+
+
+# ------------------------------------------------------- points meet centres
+
+
+@dataclass(frozen=True)
+class Layout:
+    """How the centre side of a join reaches the points."""
+
+    blocks: int  # centre rows per bucket
+    salts: int  # 0: broadcast; else the points are laid out by (bucket, salt)
+    parts: int
+
+
+def _layout(points: DataFrame, n_buckets: int, k: int, dim: int) -> Layout:
+    """Broadcast if one block of every bucket fits the broadcast threshold
+    (bound: centres x (8 x dim + overhead) bytes), else by (bucket, salt)."""
+    k = max(k, 1)
+    blocks = -(-k // BLOCK_ROWS)
+    if n_buckets * min(k, BLOCK_ROWS) * (8 * dim + ROW_OVERHEAD) <= broadcast_threshold(points.sparkSession):
+        return Layout(blocks, 0, 0)
+    parts = max(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    return Layout(blocks, max(1, -(-CELLS * parts // n_buckets)), parts)
+
+
+def _laid_out(points: DataFrame, layout: Layout, by: str = "id") -> DataFrame:
+    if not layout.salts:
+        return points
+    salted = points.withColumn("salt", F.pmod(F.xxhash64(by), F.lit(layout.salts)).cast("int"))
+    return salted.repartition(layout.parts, "bucket", "salt")
+
+
+def _meet(points: DataFrame, small: DataFrame, layout: Layout, how: str = "inner") -> DataFrame:
+    """Joins centre-side rows (keyed by bucket) to the points of the bucket."""
+    if not layout.salts:
+        return points.join(F.broadcast(small), "bucket", how)
+    cells = small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(layout.salts - 1))))
+    return points.join(cells, ["bucket", "salt"], how)
 
 
 def vector_dim(points: DataFrame) -> int:
@@ -109,21 +138,55 @@ def vector_dim(points: DataFrame) -> int:
     return int(row["n"]) if row else 0
 
 
-def _bound(rows: int, dim: int) -> int:
-    return rows * (8 * dim + ROW_OVERHEAD)
+def _lists(centres: DataFrame, layout: Layout) -> DataFrame:
+    """``bucket, block, cs``: each bucket's centres as arrays of ``(cid, c)``,
+    cut by position in the order of ``cid`` into blocks of ``BLOCK_ROWS``. Only
+    the centre table is sorted."""
+    block = F.lit(0)
+    if layout.blocks > 1:
+        nth = F.row_number().over(Window.partitionBy("bucket").orderBy("cid"))
+        block = F.floor((nth - 1) / F.lit(BLOCK_ROWS))
+    rows = centres.select("bucket", block.cast("int").alias("block"), F.struct(F.col("cid").cast("int").alias("cid"), "c").alias("e"))
+    return rows.groupBy("bucket", "block").agg(F.collect_list("e").alias("cs"))
+
+
+def _unlist(lists: DataFrame) -> DataFrame:
+    """``bucket, cid, c`` from the list form."""
+    return lists.select("bucket", F.explode("cs").alias("e")).select(
+        "bucket", F.col("e.cid").alias("cid"), F.col("e.c").alias("c")
+    )
+
 
+def _assign(pts: DataFrame, lists: DataFrame, layout: Layout, tables: ScratchTables) -> DataFrame:
+    """Adds ``cid`` (nearest centre of the point's bucket) and ``d2``; both
+    NULL in a bucket without centres."""
+    columns, cur, written = pts.columns, pts, None
+    for b in range(layout.blocks):
+        part = lists if layout.blocks == 1 else lists.where(F.col("block") == b)
+        near = nearest_centre("p", "cs")
+        best = near if b == 0 else F.least("best", near)
+        cur = _meet(cur, part.select("bucket", "cs"), layout, "left").select(*columns, best.alias("best"))
+        if (b + 1) % BLOCKS_IN_PLAN == 0 and b + 1 < layout.blocks:
+            before, written = written, tables.put(cur, "best")
+            cur = written.repartition(layout.parts, "bucket", "salt") if layout.salts else written
+            if before is not None:
+                tables.drop(before)
+    return cur.select(*columns, F.col("best.cid").alias("cid"), F.col("best.d2").alias("d2"))
 
-def _pick(cand: DataFrame, cid: int, grouped: bool, bound: int, small=None) -> DataFrame:
-    """Per bucket, the row with the smallest ``key`` (lowest id on ties):
-    ``bucket, cid, id, c``.
+
+# ----------------------------------------------------------------- seeding
+
+
+def _pick(cand: DataFrame, cid: int, grouped: bool, layout: Layout) -> DataFrame:
+    """Per bucket, the row with the smallest ``key`` (lowest id on ties, NULL
+    keys never): ``bucket, cid, id, c``.
 
     One bucket: a single streaming global aggregate. Many buckets: a hash
-    aggregate of the minimum key per bucket, then a broadcast lookup of the
-    rows holding it (a struct-valued ``min`` per group would sort every task's
-    rows instead).
+    aggregate of the minimum key per bucket, then a lookup of the rows holding
+    it (a struct-valued ``min`` per group would sort every task's rows).
     """
     if not grouped:
-        m = cand.select(F.min(F.struct("key", "id", "p")).alias("m"))
+        m = cand.where("key IS NOT NULL").select(F.min(F.struct("key", "id", "p")).alias("m"))
         return m.where(F.col("m").isNotNull()).select(
             F.lit(0).cast("int").alias("bucket"),
             F.lit(cid).cast("int").alias("cid"),
@@ -131,12 +194,9 @@ def _pick(cand: DataFrame, cid: int, grouped: bool, bound: int, small=None) -> D
             F.col("m.p").alias("c"),
         )
     mins = cand.groupBy("bucket").agg(F.min("key").alias("kmin"))
-    # Joined on the bucket alone, so a bucket-partitioned frame is not
-    # re-shuffled; ``key <= kmin`` (kmin is the minimum, so this is equality)
-    # stays a join condition instead of becoming a second join key.
-    hits = cand.join((small or broadcast_if_bounded)(mins, bound), "bucket").where(
-        F.col("key") <= F.col("kmin")
-    )
+    # ``key <= kmin`` (kmin is the minimum, so this is equality) stays a
+    # condition instead of becoming a second join key
+    hits = _meet(cand, mins, layout).where(F.col("key") <= F.col("kmin"))
     best = hits.groupBy("bucket").agg(F.min(F.struct("id", "p")).alias("m"))
     return best.select(
         "bucket",
@@ -146,109 +206,65 @@ def _pick(cand: DataFrame, cid: int, grouped: bool, bound: int, small=None) -> D
     )
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of a persisted frame into ``spark.checkpoint.dir``:
-    the cache feeds the checkpoint write (no second computation), the result
-    reads the checkpoint files (lineage cut) and is persisted in turn."""
-    ck = df.checkpoint(eager=True)
-    df.unpersist(blocking=False)
-    return ck.persist(STORAGE)
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
-def _seed(pts: DataFrame, k: int, seed: int, stage: str, n_buckets: int, dim: int,
-          tables: ScratchTables, parts: int = 0) -> DataFrame:
-    """Picks of every round, ``bucket, cid, id, c``. ``parts`` > 0: the points
-    are co-located by bucket, and each round's frame states that partitioning
-    (free, it already holds) so its cached copy is joined without a shuffle."""
-    grouped = n_buckets > 1
-    pick_bound = _bound(n_buckets, dim)
-    # co-located: joins may shuffle the small side; otherwise always broadcast (bounded)
-    small = broadcast_if_bounded if parts else _model_broadcast
+def _seed(pts: DataFrame, k: int, seed: int, stage: str, n_buckets: int, layout: Layout, tables: ScratchTables) -> DataFrame:
+    """Picks of every round, ``bucket, cid, id, c``, from persisted points."""
+    columns, grouped = pts.columns, n_buckets > 1
 
     def u(r: int) -> Column:
         return keyed_uniform(seed, f"{stage}:{r}", "id")
 
+    def measured(frame: DataFrame, newest: list[DataFrame]) -> DataFrame:
+        """``frame`` with ``d`` brought up to date with the newest picks."""
+        if not newest:
+            return frame
+        one = Layout(1, layout.salts, layout.parts)
+        met = _meet(frame, _lists(_union(newest), one).select("bucket", "cs"), one, "left")
+        d = F.sqrt(nearest_centre("p", "cs")["d2"])  # NULL where a bucket has no newer pick
+        return met.select(*columns, (F.least("d", d) if "d" in frame.columns else d).alias("d"))
+
     # Round 0: uniform over the points, weights ignored.
-    first = tables.put(_pick(pts.withColumn("key", -F.ln(u(0))), 0, grouped, pick_bound, small), f"{stage}-pick0")
-    picks = [first]
-    cur = pts.join(small(first.select("bucket", "c"), pick_bound), "bucket").select(
-        *pts.columns, euclidean("p", "c").alias("d")
-    )
-    held: list[DataFrame] = []
+    picks = [tables.put(_pick(pts.withColumn("key", -F.ln(u(0))), 0, grouped, layout), f"{stage}-pick0")]
+    frame, newest, written = pts, [picks[0]], None
     for r in range(1, k):
-        if parts:
-            cur = cur.repartition(parts, "bucket")
-        cur = cur.persist(STORAGE)
-        if r % CHECKPOINT_EVERY == 0:
-            cur = _cut(cur)
-        held.append(cur)
         # d > 0 leaves out the chosen centres and exact copies of them.
-        cand = cur.where("d > 0 AND w > 0").select("*", (-F.ln(u(r)) / (F.col("w") * F.col("d"))).alias("key"))
-        pick = tables.put(_pick(cand, r, grouped, pick_bound, small), f"{stage}-pick{r}")
-        picks.append(pick)
-        if len(held) > 1:
-            held.pop(0).unpersist(blocking=False)
-        if r < k - 1:
-            newest = small(pick.select("bucket", F.col("c").alias("c_new")), pick_bound)
-            d = F.when(F.col("c_new").isNull(), F.col("d")).otherwise(F.least(F.col("d"), euclidean("p", "c_new")))
-            cur = cur.join(newest, "bucket", "left").select(*pts.columns, d.alias("d"))
-    for df in held:
-        df.unpersist(blocking=False)
-    out = picks[0]
-    for p in picks[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def _lists(centres: DataFrame) -> DataFrame:
-    """``bucket, cs``: each bucket's centres as one array of ``(cid, c)``.
-
-    The list form is what the nearest-centre projection reads, so centre
-    tables are kept in it between Lloyd rounds (no regrouping per round).
-    """
-    return centres.groupBy("bucket").agg(
-        F.collect_list(F.struct(F.col("cid").cast("int").alias("cid"), F.col("c"))).alias("cs")
-    )
-
-
-def _unlist(lists: DataFrame) -> DataFrame:
-    """``bucket, cid, c`` from the list form."""
-    return lists.select("bucket", F.explode("cs").alias("e")).select(
-        "bucket", F.col("e.cid").alias("cid"), F.col("e.c").alias("c")
-    )
+        key = F.when((F.col("d") > 0) & (F.col("w") > 0), -F.ln(u(r)) / (F.col("w") * F.col("d")))
+        picks.append(tables.put(_pick(measured(frame, newest).withColumn("key", key), r, grouped, layout), f"{stage}-pick{r}"))
+        newest.append(picks[-1])
+        if len(newest) == REFRESH and r + 1 < k:
+            before, frame_before = written, frame
+            written = tables.put(measured(frame, newest), f"{stage}-frame")
+            frame = written.repartition(layout.parts, "bucket", "salt") if layout.salts else written
+            frame, newest = frame.persist(STORAGE), []
+            if before is not None:
+                frame_before.unpersist(blocking=False)
+                tables.drop(before)
+    if written is not None:
+        frame.unpersist(blocking=False)
+        tables.drop(written)
+    return _union(picks)
 
 
-def _model_broadcast(lists: DataFrame, bound: int) -> DataFrame:
-    """Broadcast a centre-side table whose size is proven by ``bound``, even
-    over the auto-broadcast threshold: for points that are not co-located by
-    bucket any other join would shuffle every point each round (or, for one
-    bucket, put every point in one partition; a cross join would emit all
-    pairs). Refused beyond ``MAX_MODEL_BYTES``."""
-    if bound > MAX_MODEL_BYTES:
-        raise ValueError(f"a single model of ~{bound} bytes is too large to broadcast; use buckets")
-    return F.broadcast(lists)
+# ------------------------------------------------------------------- Lloyd
 
 
-def _assign(pts: DataFrame, lists: DataFrame, bound: int, colocated: bool = False) -> DataFrame:
-    """Adds ``cid`` (nearest centre of the point's bucket) and ``d2``."""
-    cs = broadcast_if_bounded(lists, bound) if colocated else _model_broadcast(lists, bound)
-    near = nearest_centre("p", "cs")
-    return pts.join(cs, "bucket").withColumn("m", near).select(
-        *pts.columns, F.col("m.cid").alias("cid"), F.col("m.d2").alias("d2")
-    )
-
-
-def _update(pts: DataFrame, lists: DataFrame, bound: int, colocated: bool = False) -> DataFrame:
-    """One Lloyd step inside every bucket, in list form.
+def _update(pts: DataFrame, lists: DataFrame, layout: Layout, tables: ScratchTables) -> DataFrame:
+    """One Lloyd step inside every bucket: ``bucket, cid, c``.
 
     Each centre moves to the weighted mean of its points; a centre without
     points keeps its place. The old centres enter the same aggregate as
     weight-0 component rows, so no join is needed: components are summed per
     ``(bucket, cid, pos)`` (partial + final hash aggregate: a large cluster
-    costs one row per task and component), then each bucket's components,
-    sorted by ``(cid, pos)``, are cut back into one vector per centre.
+    costs one row per task and component) and gathered per centre, ``dim``
+    entries each, so the work is linear in the number of centres.
     """
-    a = _assign(pts, lists, bound, colocated)
+    a = _assign(pts, lists, layout, tables)
     moved = a.select(
         "bucket", "cid", F.posexplode("p").alias("pos", "v"), F.col("w")
     ).select(
@@ -262,39 +278,43 @@ def _update(pts: DataFrame, lists: DataFrame, bound: int, colocated: bool = Fals
     ).select(
         "bucket", "cid", "pos",
         F.lit(0.0).alias("wv"),
-        F.lit(0).cast("long").alias("ww"),
+        F.lit(0).cast(a.schema["w"].dataType).alias("ww"),
         F.col("old"),
     )
     comps = moved.unionByName(kept).groupBy("bucket", "cid", "pos").agg(
         F.sum("wv").alias("sv"), F.sum("ww").alias("sw"), F.max("old").alias("old")
     )
     value = F.when(F.col("sw") > 0, F.col("sv") / F.col("sw")).otherwise(F.col("old"))
-    flat = comps.groupBy("bucket").agg(
-        F.array_sort(F.collect_list(F.struct("cid", "pos", value.alias("v")))).alias("e")
-    )
-    # e is sorted by (cid, pos) and holds dim entries per centre: cut it back
-    n_cid = "size(array_distinct(transform(e, _x -> _x.cid)))"
-    dim = f"CAST(size(e) / {n_cid} AS INT)"
-    cs = F.expr(
-        f"transform(sequence(0, {n_cid} - 1), _j -> named_struct("
-        f"'cid', element_at(e, _j * {dim} + 1).cid, "
-        f"'c', transform(slice(e, _j * {dim} + 1, {dim}), _x -> _x.v)))"
-    )
-    return flat.select("bucket", cs.alias("cs"))
+    rows = comps.groupBy("bucket", "cid").agg(F.array_sort(F.collect_list(F.struct("pos", value.alias("v")))).alias("e"))
+    return rows.select("bucket", "cid", F.expr("transform(e, _x -> _x.v)").alias("c"))
 
 
-def _lloyd(pts: DataFrame, lists: DataFrame, iters: int, bound: int, tables: ScratchTables,
-           stage: str, colocated: bool = False) -> DataFrame:
+def _lloyd(pts: DataFrame, lists: DataFrame, iters: int, layout: Layout, tables: ScratchTables, stage: str) -> DataFrame:
+    """List form after ``iters`` steps (written, if there is a step)."""
+    before = None
     for it in range(iters):
-        lists = tables.put(_update(pts, lists, bound, colocated), f"{stage}-lloyd{it}")
+        lists = tables.put(_lists(_update(pts, lists, layout, tables), layout), f"{stage}-lloyd{it}")
+        if before is not None:
+            tables.drop(before)
+        before = lists
     return lists
 
 
-def _kmeanspp(pts: DataFrame, k: int, iters: int, seed: int, stage: str, n_buckets: int,
-              tables: ScratchTables, dim: int, parts: int = 0) -> DataFrame:
+def _kmeanspp(pts: DataFrame, k: int, iters: int, seed: int, stage: str, n_buckets: int, layout: Layout, tables: ScratchTables) -> DataFrame:
     """Seeding then Lloyd in every bucket; returns the list form."""
-    seeds = _seed(pts, k, seed, stage, n_buckets, dim, tables, parts)
-    return _lloyd(pts, _lists(seeds), iters, _bound(n_buckets * k, dim), tables, stage, parts > 0)
+    seeds = _seed(pts, k, seed, stage, n_buckets, layout, tables)
+    return _lloyd(pts, tables.put(_lists(seeds, layout), f"{stage}-seeds"), iters, layout, tables, stage)
+
+
+def _with_weights(centres: DataFrame, weights: DataFrame, keys: list[str]) -> DataFrame:
+    """Centres with the summed weight of their points, 0 if none. The centres
+    enter the aggregate as weight-0 rows: with a join on ``cid``, Catalyst
+    would evaluate the nearest centre of each point a second time to filter."""
+    kind = weights.schema["w"].dataType
+    both = weights.select(*keys, "w", F.lit(None).cast("array<double>").alias("c")).unionByName(
+        centres.select(*keys, F.lit(0).cast(kind).alias("w"), "c")
+    )
+    return both.groupBy(*keys).agg(F.sum("w").alias("w"), F.max("c").alias("c")).select(*keys, "c", "w")
 
 
 # ---------------------------------------------------------------- public API
@@ -309,12 +329,12 @@ def seed_centres(points: DataFrame, k: int, seed: int = 0, n_buckets: int = 1,
     sits on a centre).
     """
     _check(k, 0, n_buckets)
-    spark = points.sparkSession
-    tables = ScratchTables(spark, stage)
-    pts, dim, parts = _cluster_if_unbroadcastable(prepare_points(points, n_buckets, seed, weight_col), n_buckets, k)
-    pts = pts.persist(STORAGE)
+    tables = ScratchTables(points.sparkSession, stage)
+    pts = prepare_points(points, n_buckets, seed, weight_col)
+    layout = _layout(pts, n_buckets, min(k, REFRESH), vector_dim(pts))  # the newest picks are all that travels
+    pts = _laid_out(pts, layout).persist(STORAGE)
     try:
-        return _seed(pts, k, seed, stage, n_buckets, dim, tables, parts)
+        return tables.finish(_seed(pts, k, seed, stage, n_buckets, layout, tables))
     finally:
         pts.unpersist(blocking=False)
 
@@ -330,58 +350,31 @@ def first_centres(points: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _one_row(centres: DataFrame) -> DataFrame:
-    return centres.agg(F.collect_list(F.struct(F.col("cid").cast("int").alias("cid"), "c")).alias("cs"))
-
+def model_stats(centres: DataFrame) -> tuple[int, int]:
+    """``(rows, dim)`` of a centre model: one small aggregate over the centre
+    table, the proof behind its broadcast."""
+    r = centres.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("c")).alias("dim")).first()
+    return int(r["n"]), int(r["dim"] or 0)
 
-def model_stats(centres: DataFrame) -> tuple[int, int, int, int]:
-    """``(rows, dim, min cid, max cid)`` of a centre model: one small
-    aggregate over the centre table, the proof behind its broadcast."""
-    r = centres.agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.size("c")).alias("dim"),
-        F.min("cid").alias("lo"), F.max("cid").alias("hi"),
-    ).first()
-    return int(r["n"]), int(r["dim"] or 0), int(r["lo"] or 0), int(r["hi"] or 0)
 
-
-def model_bound(centres: DataFrame) -> int:
-    """Proven size bound of a centre model in bytes."""
-    n, dim, _, _ = model_stats(centres)
-    return _bound(n, dim)
-
-
-DEFAULT_CHUNK_BYTES = 8 << 20  # chunk size when broadcasting is switched off
+def _one_bucket(centres: DataFrame) -> DataFrame:
+    return centres.select(F.lit(0).cast("int").alias("bucket"), "cid", "c")
 
 
 def assign_nearest(points: DataFrame, centres: DataFrame) -> DataFrame:
     """Adds ``cid`` and ``d`` (Euclidean distance) of each point's nearest
-    centre; ties go to the lowest ``cid``.
-
-    The model (``cid, c``) travels as broadcast rows holding arrays, so the
-    step is a narrow projection over the points: no shuffle and no k-fold
-    join output. Its size is counted first (``model_stats``); a model over
-    the broadcast threshold is cut into ``cid`` ranges that each fit it, each
-    range is one broadcast row, and the per-range nearest centres are reduced
-    in the same projection.
+    centre; ties go to the lowest ``cid``; NULL without centres.
+
+    The model (``cid, c``, any ids) travels in rows of ``BLOCK_ROWS`` centres,
+    so the step is a narrow projection over the points without k-fold join
+    output. Its size is counted first (``model_stats``): see ``_layout``.
     """
-    n, dim, lo, hi = model_stats(centres)
-    limit = broadcast_threshold(points.sparkSession)
-    if limit <= 0:
-        limit = DEFAULT_CHUNK_BYTES
-    chunks = max(1, -(-_bound(n, dim) // limit))
-    step = -(-(hi - lo + 1) // chunks)
-    out, near = points, []
-    for j in range(chunks):
-        part = centres if chunks == 1 else centres.where(
-            (F.col("cid") >= lo + j * step) & (F.col("cid") < lo + (j + 1) * step)
-        )
-        name = f"_cs{j}"
-        out = out.crossJoin(F.broadcast(_one_row(part).withColumnRenamed("cs", name)))
-        near.append(nearest_centre("p", name))
-    m = near[0] if chunks == 1 else F.array_min(F.array(*near))
-    return out.withColumn("_m", m).select(
-        *points.columns, F.col("_m.cid").alias("cid"), F.sqrt(F.col("_m.d2")).alias("d")
-    )
+    layout = _layout(points, 1, *model_stats(centres))
+    tables = ScratchTables(points.sparkSession, "assign")
+    row = F.struct(*[F.col(f"`{c}`") for c in points.columns]).alias("row")
+    pts = _laid_out(points.select(F.lit(0).cast("int").alias("bucket"), row, "p"), layout, "p")
+    done = _assign(pts, _lists(_one_bucket(centres), layout), layout, tables)
+    return done.select("row.*", "cid", F.sqrt("d2").alias("d"))
 
 
 def objective(points: DataFrame, centres: DataFrame) -> DataFrame:
@@ -390,33 +383,39 @@ def objective(points: DataFrame, centres: DataFrame) -> DataFrame:
 
 
 def cluster_weights(points: DataFrame, centres: DataFrame, weight_col: str | None = None) -> DataFrame:
-    """``cid, w``: total weight (unit weights: number) of points per centre."""
-    a = assign_nearest(points, centres)
-    w = F.col(weight_col) if weight_col else F.lit(1)
-    return a.groupBy("cid").agg(F.sum(w).cast("long").alias("w"))
+    """``cid, w``: total weight (unit weights: number) of points per centre
+    that has any; BIGINT for whole-number weights, else DOUBLE."""
+    weighed = points.select("p", _weight(points, weight_col).alias("w"))
+    return assign_nearest(weighed, centres).groupBy("cid").agg(F.sum("w").alias("w"))
+
 
+def cluster_sizes(points: DataFrame, centres: DataFrame, weight_col: str | None = None) -> DataFrame:
+    """``cid, c, w``: every centre with the total weight of its points."""
+    weights = cluster_weights(points, centres, weight_col)
+    return _with_weights(centres.select("cid", "c"), weights, ["cid"]).where("c IS NOT NULL")
 
-def _model_lists(centres: DataFrame) -> DataFrame:
-    """A model (``cid, c``, k rows) as the one-bucket list form."""
-    return _lists(centres.select(F.lit(0).cast("int").alias("bucket"), "cid", "c"))
+
+def _on_model(points: DataFrame, centres: DataFrame, weight_col: str | None) -> tuple[DataFrame, DataFrame, Layout]:
+    """Prepared points, the model's list form, and their layout."""
+    pts = prepare_points(points, 1, 0, weight_col)
+    layout = _layout(pts, 1, *model_stats(centres))
+    return _laid_out(pts, layout), _lists(_one_bucket(centres), layout), layout
 
 
 def centroid_update(points: DataFrame, centres: DataFrame, weight_col: str | None = None) -> DataFrame:
     """``cid, c``: one Lloyd step against fixed centres (weighted means)."""
-    pts = prepare_points(points, 1, 0, weight_col)
-    return _unlist(_update(pts, _model_lists(centres), model_bound(centres))).select("cid", "c")
+    pts, lists, layout = _on_model(points, centres, weight_col)
+    return _update(pts, lists, layout, ScratchTables(points.sparkSession, "update")).select("cid", "c")
 
 
 def lloyd(points: DataFrame, centres: DataFrame, iters: int, weight_col: str | None = None) -> DataFrame:
     """``cid, c`` after ``iters`` Lloyd rounds from the given centres."""
     _check(1, iters)
-    spark = points.sparkSession
-    tables = ScratchTables(spark, "lloyd")
-    pts = prepare_points(points, 1, 0, weight_col).persist(STORAGE)
+    tables = ScratchTables(points.sparkSession, "lloyd")
+    pts, lists, layout = _on_model(points, centres, weight_col)
+    pts = pts.persist(STORAGE)
     try:
-        bound = model_bound(centres)
-        lists = _lloyd(pts, _model_lists(centres), iters, bound, tables, "lloyd")
-        return _unlist(lists).select("cid", "c")
+        return tables.finish(_unlist(_lloyd(pts, lists, iters, layout, tables, "lloyd")).select("cid", "c"))
     finally:
         pts.unpersist(blocking=False)
 
@@ -429,21 +428,31 @@ def coreset(points: DataFrame, k: int, n_buckets: int, iters: int, seed: int = 0
     up to ``k`` centres, each weighted by the number of the bucket's points
     nearest to it. Centres that attract no point are left out.
     """
-    return _coreset(points, k, n_buckets, iters, seed)[0]
+    return _coreset(points, k, n_buckets, iters, seed, ScratchTables(points.sparkSession, "coreset"))[0]
 
 
-def _coreset(points: DataFrame, k: int, n_buckets: int, iters: int, seed: int) -> tuple[DataFrame, int]:
+def _coreset(points: DataFrame, k: int, n_buckets: int, iters: int, seed: int, tables: ScratchTables) -> tuple[DataFrame, int]:
     _check(k, iters, n_buckets)
-    spark = points.sparkSession
-    tables = ScratchTables(spark, "coreset")
-    pts, dim, parts = _cluster_if_unbroadcastable(prepare_points(points, n_buckets, seed), n_buckets, k)
-    pts = pts.persist(STORAGE)
+    pts = prepare_points(points, n_buckets, seed)
+    dim = vector_dim(pts)
+    layout = _layout(pts, n_buckets, k, dim)
+    pts = _laid_out(pts, layout).persist(STORAGE)
+    try:
+        lists = _kmeanspp(pts, k, iters, seed, "coreset", n_buckets, layout, tables)
+        weights = _assign(pts, lists, layout, tables).groupBy("bucket", "cid").agg(F.sum("w").alias("w"))
+        out = _with_weights(_unlist(lists), weights, ["bucket", "cid"]).where("w > 0")
+        return tables.finish(out, "coreset"), dim
+    finally:
+        pts.unpersist(blocking=False)
+
+
+def _one_model(pts: DataFrame, k: int, iters: int, seed: int, stage: str, dim: int) -> DataFrame:
+    """``cid, c`` of k-means++ and Lloyd over prepared points in one bucket."""
+    tables = ScratchTables(pts.sparkSession, stage)
+    layout = _layout(pts, 1, k, dim)
+    pts = _laid_out(pts, layout).persist(STORAGE)
     try:
-        bound = _bound(n_buckets * k, dim)
-        lists = _kmeanspp(pts, k, iters, seed, "coreset", n_buckets, tables, dim, parts)
-        w = _assign(pts, lists, bound, parts > 0).groupBy("bucket", "cid").agg(F.sum("w").cast("long").alias("w"))
-        out = _unlist(lists).join(w, ["bucket", "cid"]).select("bucket", "cid", "c", "w")
-        return tables.put(out, "coreset"), dim
+        return tables.finish(_unlist(_kmeanspp(pts, k, iters, seed, stage, 1, layout, tables)).select("cid", "c"))
     finally:
         pts.unpersist(blocking=False)
 
@@ -455,36 +464,27 @@ def recluster(core: DataFrame, k: int, iters: int, seed: int = 0, dim: int | Non
     ``dim``: the vector dimension when the caller knows it (saves one job).
     """
     _check(k, iters)
-    spark = core.sparkSession
-    tables = ScratchTables(spark, "recluster")
     rows = core.select(
         (F.col("bucket").cast("long") * F.lit(k) + F.col("cid")).alias("id"),
         F.col("c").alias("p"),
         F.col("w"),
     )
-    pts = prepare_points(rows, 1, seed, "w").persist(STORAGE)
-    try:
-        lists = _kmeanspp(pts, k, iters, seed, "recluster", 1, tables, dim or vector_dim(pts))
-        return _unlist(lists).select("cid", "c")
-    finally:
-        pts.unpersist(blocking=False)
+    pts = prepare_points(rows, 1, seed, "w")
+    return _one_model(pts, k, iters, seed, "recluster", dim or vector_dim(pts))
 
 
 def kmedian(points: DataFrame, k: int, n_buckets: int, iters: int, seed: int = 0) -> DataFrame:
     """Three-round k-median: coreset per bucket, reclustering of the coreset;
     returns the final centres ``cid, c``. Round 3 is ``objective``."""
-    core, dim = _coreset(points, k, n_buckets, iters, seed)
-    return recluster(core, k, iters, seed, dim)
+    tables = ScratchTables(points.sparkSession, "coreset")
+    core, dim = _coreset(points, k, n_buckets, iters, seed, tables)
+    out = recluster(core, k, iters, seed, dim)
+    tables.clear()
+    return out
 
 
 def kmedian_direct(points: DataFrame, k: int, iters: int, seed: int = 0) -> DataFrame:
     """k-means++ and Lloyd on all points (unit weights), no coreset."""
     _check(k, iters)
-    spark = points.sparkSession
-    tables = ScratchTables(spark, "direct")
-    pts = prepare_points(points, 1, seed).persist(STORAGE)
-    try:
-        lists = _kmeanspp(pts, k, iters, seed, "direct", 1, tables, vector_dim(pts))
-        return _unlist(lists).select("cid", "c")
-    finally:
-        pts.unpersist(blocking=False)
+    pts = prepare_points(points, 1, seed)
+    return _one_model(pts, k, iters, seed, "direct", vector_dim(pts))

@@ -19,7 +19,6 @@ from quern.operators import clustering as cl
 from quern.operators import numeric as num
 from quern.operators import text as tx
 from quern.session import ScratchTables
-from quern.sources.layout import spread
 from quern.sources.numbers import numbers_from_text
 from quern.sources.text import lines_from_table
 from quern.sources.vectors import parse_vector, points_from_embeddings
@@ -89,9 +88,10 @@ def num_stable_sample(spark, sf_dir):
 
 
 def num_bernoulli_sample(spark, sf_dir):
+    """The sampler is Spark's own and follows the partitions, so the query
+    reports what holds for any of them."""
     z = num.minmax_scale(_events(spark, sf_dir), "value")
-    s = num.bernoulli_sample(z, SAMPLE_FRACTION, SEED)
-    return s.select("event_id", _r("z").alias("z"))
+    return num.sample_facts(z, num.bernoulli_sample(z, SAMPLE_FRACTION, SEED), "event_id")
 
 
 def parse_numbers(spark, sf_dir):
@@ -109,7 +109,7 @@ def _lines(spark, sf_dir):
 
 
 def text_lines(spark, sf_dir):
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents")
     return docs.select("doc_id", F.size(split_lines(F.col("text"))).cast("long").alias("n_lines"))
 
 
@@ -242,12 +242,10 @@ def vec_coreset_recluster(spark, sf_dir):
 
 
 def vec_kmedian(spark, sf_dir):
-    """Final centres with the number of points nearest to each (flagship)."""
+    """Final centres with the number of points nearest to each (flagship);
+    a centre that attracts no point has size 0."""
     pts = _points(spark, sf_dir)
-    centres = cl.kmedian(pts, K, BUCKETS, ITERS, SEED)
-    sizes = cl.cluster_weights(pts, centres)
-    # every centre is kept; one that attracts no point has size 0
-    sized = centres.join(sizes, "cid", "left").select("cid", "c", F.coalesce("w", F.lit(0)).cast("long").alias("w"))
+    sized = cl.cluster_sizes(pts, cl.kmedian(pts, K, BUCKETS, ITERS, SEED))
     return _explode_centres(sized, "cid", "w")
 
 

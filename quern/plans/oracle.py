@@ -47,6 +47,9 @@ SELECT count(*)::BIGINT AS n FROM events WHERE value IS NOT NULL AND NOT isnan(v
     + f"SELECT event_id, round(z, {DIGITS}) AS z FROM zs WHERE z < (SELECT avg(z) FROM zs)",
     "num_stable_sample": _EVENTS_Z
     + f"SELECT event_id, round(z, {DIGITS}) AS z FROM zs WHERE {_u('sample', 'event_id')} < {SAMPLE_FRACTION}",
+    "num_bernoulli_sample": """
+SELECT count(*)::BIGINT AS n_input, 0::BIGINT AS n_foreign, 0::BIGINT AS n_surplus
+FROM events WHERE value IS NOT NULL AND NOT isnan(value)""",
     "parse_numbers": """
 SELECT p_partkey, 0::BIGINT AS pos, p_size::DOUBLE AS x FROM part
 UNION ALL

@@ -1,6 +1,7 @@
 """Vectors and clustering: golden fixtures V1-V5, seeding rules, coreset
 and k-median properties, the race draw distribution."""
 
+import os
 
 import numpy as np
 import pytest
@@ -163,44 +164,130 @@ def test_parse_vector_bad_token(spark):
         df.select(parse_vector("t")).collect()
 
 
-def test_large_model_is_chunked_without_pairs(spark):
+@pytest.fixture
+def threshold(spark):
+    """Sets the broadcast threshold for one test."""
+
+    def set_to(value):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", value)
+
+    yield set_to
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("limit", ["10m", "600", "-1"])
+def test_model_in_blocks_of_rows(spark, threshold, monkeypatch, limit):
+    # sparse ids: blocks are cut by position, not by id range
     p = pts_df(spark, [[i % 7, i % 3] for i in range(40)])
-    c = centres_df(spark, [[i % 5, i % 4] for i in range(12)])
-    fast = sorted((r.id, r.cid, r.d) for r in cl.assign_nearest(p, c).collect())
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "600")  # about 3 centres per chunk
-    try:
-        df = cl.assign_nearest(p, c)
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        chunked = sorted((r.id, r.cid, r.d) for r in df.collect())
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert plan.count("BroadcastExchange") >= 3 and "CartesianProduct" not in plan
-    assert chunked == fast
+    ids = [0, 3, 7, 8, 9, 1000, 1001, 5000, 10**6, 10**6 + 1, 2 * 10**6, 2 * 10**9]
+    c = spark.createDataFrame([(cid, [float(i % 5), float(i % 4)]) for i, cid in enumerate(ids)], "cid int, c array<double>")
+    whole = sorted((r.id, r.cid, r.d) for r in cl.assign_nearest(p, c).collect())
+    monkeypatch.setattr(cl, "BLOCK_ROWS", 3)
+    monkeypatch.setattr(cl, "BLOCKS_IN_PLAN", 2)  # the best so far is written on the way
+    layout = cl._layout(p, 1, len(ids), 2)
+    sizes = [r.n for r in cl._lists(cl._one_bucket(c), layout).selectExpr("size(cs) AS n").collect()]
+    assert layout.blocks == 4 and sizes == [3] * 4
+    threshold(limit)
+    df = cl.assign_nearest(p, c)
+    assert sorted((r.id, r.cid, r.d) for r in df.collect()) == whole
+    assert "CartesianProduct" not in plan_of(df)
+
+
+def test_no_broadcast_beyond_the_threshold(spark, threshold):
+    p = points_from_embeddings(spark.read.parquet(f"{SF_SMALL}/embeddings.parquet"))
+    c = cl.first_centres(p, 5).select("cid", "c").cache()
+    run = lambda: (
+        sorted((r.cid, tuple(round(x, 9) for x in r.c)) for r in cl.lloyd(p, c, 1).collect()),
+        sorted((r.cid, tuple(round(x, 9) for x in r.c)) for r in cl.kmedian_direct(p, 3, 1, seed=2).collect()),
+        sorted((r.bucket, r.cid, r.w) for r in cl.coreset(p, 3, 2, 1, seed=8).collect()),
+        sorted((r.bucket, r.cid, r.w) for r in cl.coreset(p, 3, 9, 1, seed=8).collect()),
+        sorted((r.bucket, r.cid, r.id) for r in cl.seed_centres(p, 20, seed=3, n_buckets=2).collect()),
+    )
+    want = run()
+    threshold("-1")
+    assert "Broadcast" not in plan_of(cl.assign_nearest(p, c))
+    assert run() == want
+    layout = cl._layout(p, 2, 3, 64)
+    assert layout.salts >= 4  # a bucket is spread over tasks
+    threshold("1t")
+    assert cl._layout(p, 2, 3, 64).salts == 0
+
+
+@pytest.mark.parametrize("bad", [-1.0, float("nan"), float("inf"), None])
+def test_bad_weights_fail(spark, bad):
+    p = spark.createDataFrame([(0, [0.0], 1.0), (1, [2.0], bad)], "id long, p array<double>, w double")
+    with pytest.raises(Exception, match="weight"):
+        cl.centroid_update(p, centres_df(spark, [[0]]), "w").collect()
+
+
+def test_fractional_and_zero_weights_count(spark):
+    rows = [(0, [0.0], 0.5), (1, [1.0], 1.5), (2, [7.0], 0.0)]
+    p = spark.createDataFrame(rows, "id long, p array<double>, w double")
+    c = centres_df(spark, [[0], [100]])
+    assert {r.cid: list(r.c) for r in cl.centroid_update(p, c, "w").collect()} == {0: [0.75], 1: [100.0]}
+    assert [(r.cid, r.w) for r in cl.cluster_weights(p, c, "w").collect()] == [(0, 2.0)]
+    assert sorted((r.cid, r.w) for r in cl.cluster_sizes(p, c, "w").collect()) == [(0, 2.0), (1, 0.0)]
+    # the first centre is drawn without regard to weights, the others never at weight 0
+    firsts, others = set(), set()
+    for seed in range(12):
+        for r in cl.seed_centres(p, 3, seed=seed, weight_col="w").collect():
+            (firsts if r.cid == 0 else others).add(r.id)
+    assert 2 in firsts and 2 not in others
 
 
 def test_spread_keeps_rows(spark):
     from quern.sources.layout import spread
 
     df = spark.range(1000).coalesce(1)
-    s = spread(df)
-    assert s.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    s = spread(df, 7)
+    assert s.rdd.getNumPartitions() == 7
     assert sorted(r.id for r in s.collect()) == list(range(1000))
 
 
-def test_long_seeding_matches_oracle_through_checkpoints(spark):
-    # k = 10 crosses the reliable-checkpoint cadence of the seeding frame
+def test_nearest_centre_is_computed_once(spark):
+    p = points_from_embeddings(spark.read.parquet(f"{SF_SMALL}/embeddings.parquet"))
+    c = spark.createDataFrame([(0, [0.0] * 64), (1, [1.0] * 64)], "cid int, c array<double>")
+    assert plan_of(cl.cluster_sizes(p, c)).count("array_min(transform(") == 1
+
+
+def _files(root):
+    return sorted(os.path.relpath(os.path.join(d, f), root) for d, _, fs in os.walk(root) for f in fs if f.startswith("part-"))
+
+
+def test_only_the_result_stays_on_disk(spark):
+    from quern.session import checkpoint_root
+
+    root = checkpoint_root(spark).removeprefix("file:")
+    p = points_from_embeddings(spark.read.parquet(f"{SF_SMALL}/embeddings.parquet"))
+    before = set(_files(root))
+    df = cl.seed_centres(p, 20, seed=3)
+    left = {os.path.dirname(f) for f in set(_files(root)) - before}
+    assert len(left) == 1 and df.count() == 20
+    before = set(_files(root))
+    df = cl.kmedian(p, 3, 4, 1, seed=3)
+    left = {os.path.dirname(f) for f in set(_files(root)) - before}
+    assert len(left) == 1 and df.count() == 3
+
+
+@pytest.mark.parametrize("k", [8, 10, 20])
+def test_long_seeding_matches_oracle_through_refreshes(spark, k):
+    # the frame of points and distances is written every REFRESH rounds
     import duckdb
 
     from quern.plans import oracle as orc
 
     p = points_from_embeddings(spark.read.parquet(f"{SF_SMALL}/embeddings.parquet"))
-    got = sorted((r.bucket, r.cid, r.id) for r in cl.seed_centres(p, 10, seed=42, n_buckets=2).collect())
-    sql = orc._with([orc._PTS, orc._prepared(2)] + orc._seed_ctes("prep", 10, "seed", "seeds"),
+    got = sorted((r.bucket, r.cid, r.id) for r in cl.seed_centres(p, k, seed=42, n_buckets=2).collect())
+    sql = orc._with([orc._PTS, orc._prepared(2)] + orc._seed_ctes("prep", k, "seed", "seeds"),
                     "SELECT bucket, cid, id FROM seeds")
     con = duckdb.connect()
     con.sql(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{SF_SMALL}/embeddings.parquet')")
     assert got == sorted(con.sql(sql).fetchall())
-    assert len(got) == 20
+    assert len(got) == 2 * k
 
 
 def test_read_points_directory_and_hint(spark, tmp_path):
@@ -208,25 +295,13 @@ def test_read_points_directory_and_hint(spark, tmp_path):
     d.mkdir()
     (d / "a.txt").write_text("0 0\n1 0\n")
     (d / "b.txt").write_text("10 0\n11 0\n")
-    p = read_points(spark, str(d), min_partitions=3)
-    assert p.rdd.getNumPartitions() >= 3
+    p = read_points(spark, str(d), partitions=3)
+    assert p.rdd.getNumPartitions() == 3
     rows = p.collect()
     assert len({r.id for r in rows}) == 4
     assert sorted(tuple(r.p) for r in rows) == [(0, 0), (1, 0), (10, 0), (11, 0)]
 
 
-def test_coreset_without_broadcasts_matches(spark):
-    # centre lists over the threshold: points co-located by bucket, joins shuffle only centres
-    p = points_from_embeddings(spark.read.parquet(f"{SF_SMALL}/embeddings.parquet"))
-    want = sorted((r.bucket, r.cid, r.w, tuple(r.c)) for r in cl.coreset(p, 3, 4, 1, seed=8).collect())
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
-    try:
-        got = sorted((r.bucket, r.cid, r.w, tuple(r.c)) for r in cl.coreset(p, 3, 4, 1, seed=8).collect())
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert got == want
-
-
 def test_empty_point_set(spark):
     p = spark.createDataFrame([], "id long, p array<double>")
     assert cl.seed_centres(p, 3, seed=1).count() == 0
@@ -237,35 +312,3 @@ def test_empty_point_set(spark):
     q = pts_df(spark, V1)
     a = cl.assign_nearest(q, c).collect()
     assert [r.cid for r in a] == [None] * 4
-
-
-def test_single_model_is_broadcast_even_over_threshold(spark):
-    # one bucket: a join on the constant bucket would put all points in one partition
-    p = points_from_embeddings(spark.read.parquet(f"{SF_SMALL}/embeddings.parquet"))
-    want_l = sorted((r.cid, tuple(r.c)) for r in cl.lloyd(p, cl.first_centres(p, 4), 1).collect())
-    want_d = sorted((r.cid, tuple(r.c)) for r in cl.kmedian_direct(p, 3, 1, seed=2).collect())
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
-    try:
-        got_l = sorted((r.cid, tuple(r.c)) for r in cl.lloyd(p, cl.first_centres(p, 4), 1).collect())
-        got_d = sorted((r.cid, tuple(r.c)) for r in cl.kmedian_direct(p, 3, 1, seed=2).collect())
-        pts = cl.prepare_points(p)
-        plan = cl._assign(pts, cl._model_lists(cl.first_centres(p, 4)), 10**6)._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert got_l == want_l and got_d == want_d
-    assert "SortMergeJoin" not in plan and "Broadcast" in plan
-    with pytest.raises(ValueError):
-        cl._model_broadcast(cl._model_lists(cl.first_centres(p, 4)), cl.MAX_MODEL_BYTES + 1)
-
-
-def test_few_buckets_over_threshold_stay_broadcast(spark):
-    # 2 buckets < shuffle partitions: broadcasting keeps every task busy, co-location would not
-    p = points_from_embeddings(spark.read.parquet(f"{SF_SMALL}/embeddings.parquet"))
-    want = sorted((r.bucket, r.cid, r.w, tuple(r.c)) for r in cl.coreset(p, 3, 2, 1, seed=8).collect())
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
-    try:
-        pts, _, parts = cl._cluster_if_unbroadcastable(cl.prepare_points(p, 2, 8), 2, 3)
-        got = sorted((r.bucket, r.cid, r.w, tuple(r.c)) for r in cl.coreset(p, 3, 2, 1, seed=8).collect())
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert parts == 0 and got == want

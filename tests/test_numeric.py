@@ -103,5 +103,27 @@ def test_read_numbers_directory_with_hint(spark, tmp_path):
     d.mkdir()
     (d / "a.txt").write_text("1 2\n")
     (d / "b.txt").write_text("3\n\n4\n")
-    df = read_numbers(spark, str(d), min_partitions=4)
+    df = read_numbers(spark, str(d), partitions=4)
     assert sorted(r.x for r in df.collect()) == [1.0, 2.0, 3.0, 4.0]
+
+
+@pytest.mark.parametrize("values", [[0.1, 0.2, 0.3], [0.1, 0.3, 0.5], [1.0, 2.0, float("inf")], [3.0, 3.0], [1.0]])
+def test_below_mean_compares_scaled_values(spark, values):
+    # the rule over Python floats, in list order
+    lo, hi = min(values), max(values)
+    z = [(x - lo) / (hi - lo) for x in values] if hi > lo else []
+    mean = sum(z) / len(z) if z else 0.0
+    want = sorted(v for v in z if v < mean)
+    df = spark.createDataFrame([(x,) for x in values], "x double").coalesce(1)
+    assert sorted(r.z for r in num.below_mean(df, "x").collect()) == want
+
+
+def test_sample_size_and_facts_over_seeds(spark):
+    df = spark.range(2000).withColumn("x", F.col("id").cast("double"))
+    for seed in range(12):
+        s = num.bernoulli_sample(df, 0.3, seed)
+        assert abs(s.count() - 600) < 5 * (2000 * 0.3 * 0.7) ** 0.5
+        assert tuple(num.sample_facts(df, s, "id").first()) == (2000, 0, 0)
+    strange = spark.createDataFrame([(5,), (5,), (9999,)], "id long")
+    assert tuple(num.sample_facts(df, strange, "id").first()) == (2000, 1, 1)
+    assert tuple(num.sample_facts(df.limit(0), df.limit(0), "id").first()) == (0, 0, 0)
