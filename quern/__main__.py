@@ -1,5 +1,5 @@
-"""Command line for the four programs; prints small results, writes large
-ones as parquet when ``--out`` is given.
+"""Command line for the four programs: prints every row of every result, tab
+separated, or writes them as parquet when ``--out`` is given.
 
   python -m quern numbers FILE [--fraction F] [--seed S]
   python -m quern words SALTS FILE [--seed S]
@@ -14,8 +14,6 @@ import argparse
 from quern.plans import programs
 from quern.session import local_session
 
-SHOW_ROWS = 20
-
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="quern")
@@ -53,8 +51,9 @@ def main(argv: list[str] | None = None) -> None:
         if args.out:
             df.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{name}")
         else:
-            print(f"== {name}")
-            df.show(SHOW_ROWS, truncate=80)
+            print(f"== {name}\t" + "\t".join(df.columns))
+            for row in df.toLocalIterator():  # one partition at a time
+                print(*row, sep="\t")
 
 
 if __name__ == "__main__":

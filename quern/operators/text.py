@@ -33,9 +33,21 @@ def _words(lines: DataFrame) -> DataFrame:
 
 
 def doc_term_counts(lines: DataFrame) -> DataFrame:
-    """``doc_id, line_no, word, n``: occurrences of each word in each line."""
-    toks = lines.select("doc_id", "line_no", F.explode(tokenize(F.col("line"))).alias("word"))
-    return toks.groupBy("doc_id", "line_no", "word").agg(F.count(F.lit(1)).alias("n"))
+    """``doc_id, line_no, word, n``: occurrences of each word in each line.
+
+    A line is one row, so it is counted inside the row (sorted tokens, lengths
+    of their runs) and nothing is shuffled.
+    """
+    toks = lines.select("doc_id", "line_no", F.array_sort(tokenize(F.col("line"))).alias("t"))
+    runs = toks.select(
+        "doc_id", "line_no", "t",
+        F.expr("filter(sequence(0, size(t)), i -> i = size(t) OR i = 0 OR t[i] != t[i - 1])").alias("cut"),
+    ).where("size(t) > 0")
+    counts = F.expr(
+        "transform(slice(cut, 1, size(cut) - 1), "
+        "(at, k) -> named_struct('word', t[at], 'n', CAST(cut[k + 1] - at AS BIGINT)))"
+    )
+    return runs.select("doc_id", "line_no", F.inline(counts))
 
 
 def word_count(lines: DataFrame) -> DataFrame:
@@ -68,8 +80,8 @@ def word_count_salted(lines: DataFrame, salts: int, seed: int = 0) -> DataFrame:
 
 def word_count_from_term_counts(term_counts: DataFrame) -> DataFrame:
     """``word, n`` from per-document counts (``doc_term_counts`` rows): the
-    pre-aggregated count. The per-document step is its own exchange, then
-    the partial aggregate combines per task before the exchange on the word."""
+    pre-aggregated count. The per-document step stays in the row, the partial
+    aggregate combines per task, and one exchange on the word follows."""
     return term_counts.groupBy("word").agg(F.sum("n").cast("long").alias("n"))
 
 

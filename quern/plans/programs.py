@@ -47,7 +47,7 @@ def word_statistics(spark: SparkSession, path: str, salts: int, seed: int = 0) -
 def kmedian_program(spark: SparkSession, path: str, k: int, n_buckets: int, iters: int, seed: int = 0) -> dict[str, DataFrame]:
     """Three-round k-median of a point file: final centres, their cluster
     sizes and the objective (mean distance to the nearest centre)."""
-    pts = read_points(spark, path, min_partitions=n_buckets)
+    pts = read_points(spark, path, partitions=n_buckets)
     centres = cl.kmedian(pts, k, n_buckets, iters, seed)
     return {
         "centres": centres,

@@ -1,31 +1,49 @@
-"""Input layout: make sure per-row work can use every core."""
+"""Input layout: an even number of partitions on request, and line numbers
+that do not follow the splits of the files."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quern.session import ScratchTables, broadcast_threshold
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread ``df`` over the default parallelism when its scan yields fewer
-    partitions than that (e.g. one unsplittable file feeding heavy per-row
-    work such as tokenizing).
+SPLIT_ROW_BYTES = 512  # bound of a split's row (path, start, offset) in a broadcast
 
-    Rows are hash-partitioned on their position in the input, which is the
-    same on every task attempt for a file source, so a retried map task sends
-    every row to the same place; unlike a round-robin exchange this needs no
-    local sort, and unlike a key-based one it stays balanced when one key
-    (say, many copies of one document) holds a large share of the rows.
-    Big inputs already arrive in many splits and are left alone, so this adds
-    no shuffle at scale. Planning only: no job runs here. ``min_partitions``
-    raises the target (a reader's partition hint).
-    """
-    try:
-        target = int(min_partitions or df.sparkSession.sparkContext.defaultParallelism)
-        current = df.rdd.getNumPartitions()
-    except Exception:  # a Spark Connect session exposes no partition counts: leave the layout alone
-        return df
-    if current >= target:
-        return df
+
+def spread(df: DataFrame, partitions: int) -> DataFrame:
+    """``df`` in ``partitions`` partitions: a full shuffle of its rows, for a
+    caller who wants it (say, one unsplittable file before heavy work on each
+    row). Rows are hash-partitioned on their position in the input, which is
+    the same on every task attempt for a file source, so retries agree; unlike
+    a round-robin exchange this needs no local sort, and unlike a key-based
+    one it stays balanced when one key holds many rows. No job runs here."""
     cols = df.columns
-    return df.withColumn("_row", F.monotonically_increasing_id()).repartition(target, "_row").select(*cols)
+    return df.withColumn("_row", F.monotonically_increasing_id()).repartition(partitions, "_row").select(*cols)
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``id, value``: the lines of text files or directories, numbered from 0
+    in the order of file path and place in the file, however the files are
+    split.
+
+    The lines of every split are counted first (one extra scan without
+    shuffling a line); a line's number is the count before its split plus its
+    place in it. The table of splits is one small row for each and is written
+    to the scratch folder; it is broadcast if its rows fit the broadcast
+    threshold.
+    """
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_m"),
+    )
+    counted = lines.groupBy("_file", "_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_first"))
+    before = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")
+    splits = ScratchTables(spark, "splits").put(counted.select("_file", "_start", offset.alias("_offset")), "splits")
+    fits = splits.count() * SPLIT_ROW_BYTES <= broadcast_threshold(spark)
+    return lines.join(F.broadcast(splits) if fits else splits, ["_file", "_start"]).select(
+        (F.col("_m") + F.col("_offset")).alias("id"), "value"
+    )

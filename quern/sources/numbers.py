@@ -25,10 +25,8 @@ def numbers_from_text(df: DataFrame, text_col: str, keep: tuple[str, ...] = (),
     )
 
 
-def read_numbers(spark: SparkSession, path: str, out: str = "x", min_partitions: int | None = None) -> DataFrame:
-    """A text file (or directory) of numbers, parsed on the executors."""
-    lines = spark.read.text(path).select(F.col("value"))
-    if min_partitions:
-        lines = spread(lines, min_partitions)
-    toks = lines.select(F.explode(F.split(F.col("value"), WHITESPACE, -1)).alias("_v"))
-    return toks.where(F.col("_v") != "").select(F.col("_v").cast("double").alias(out))
+def read_numbers(spark: SparkSession, path: str, out: str = "x", partitions: int | None = None) -> DataFrame:
+    """A text file (or directory) of numbers, parsed on the executors;
+    ``partitions``: see ``layout.spread``."""
+    lines = spark.read.text(path).select("value")
+    return numbers_from_text(spread(lines, partitions) if partitions else lines, "value", out=out).select(out)

@@ -6,35 +6,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions.text import split_body, strip_final_break
-from quern.sources.layout import spread
+from quern.sources.layout import numbered_lines, spread
 
 
-def read_lines(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
+def read_lines(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
     """``doc_id, line_no, line`` from text files or directories; one line per row.
 
-    File and offset order give ``doc_id`` (stable for a given input layout);
-    ``line_no`` is 0, as each file line is its own document. ``min_partitions``
-    is a lower bound on the partitions feeding the per-line work (like a
-    minimum-splits hint of a text source); splits beyond it are kept.
+    ``doc_id`` is the line's number over all files (``layout.numbered_lines``);
+    ``line_no`` is 0, as each file line is its own document. ``partitions``:
+    see ``layout.spread``.
     """
-    df = spark.read.text(path).select(
-        F.monotonically_increasing_id().alias("doc_id"),
-        F.lit(0).cast("long").alias("line_no"),
-        F.col("value").alias("line"),
+    df = numbered_lines(spark, path).select(
+        F.col("id").alias("doc_id"), F.lit(0).cast("long").alias("line_no"), F.col("value").alias("line")
     )
-    # ids are taken on the scan, before any shuffle, so they are stable
-    return spread(df, min_partitions) if min_partitions else df
+    return spread(df, partitions) if partitions else df
 
 
 def lines_from_table(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, line_no, line`` from a table whose rows hold whole texts.
 
     Each text is cut at ``\\r\\n``, ``\\r`` or ``\\n``, like a text file; only
-    the two needed columns are read from the scan, and an under-split scan
-    is spread over the cores before the per-row text work.
+    the two needed columns are read from the scan, and nothing is shuffled.
     """
-    docs = spread(df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")))
-    body = docs.select("doc_id", strip_final_break("text").alias("body"))
+    body = df.select(F.col(id_col).cast("long").alias("doc_id"), strip_final_break(F.col(text_col)).alias("body"))
     return body.select(
         "doc_id",
         F.posexplode(split_body("body")).alias("line_no", "line"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions.text import tokenize
-from quern.sources.layout import spread
+from quern.sources.layout import numbered_lines, spread
 
 
 def parse_vector(line: Column | str) -> Column:
@@ -19,18 +19,12 @@ def points_from_text(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("id"), parse_vector(text_col).alias("p"))
 
 
-def read_points(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
-    """One point per line of a text file or directory.
-
-    Lines carry no identity, so ``id`` is the line's position in the input
-    (``monotonically_increasing_id``: stable for a given file layout), taken
-    before any spreading to ``min_partitions``.
-    """
-    df = spark.read.text(path)
-    df = df.select(F.monotonically_increasing_id().alias("id"), F.col("value"))
-    if min_partitions:
-        df = spread(df, min_partitions)
-    return df.select("id", parse_vector("value").alias("p"))
+def read_points(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+    """One point per line of a text file or directory; ``id`` is the line's
+    number over all files (``layout.numbered_lines``). ``partitions``: see
+    ``layout.spread``."""
+    df = numbered_lines(spark, path)
+    return (spread(df, partitions) if partitions else df).select("id", parse_vector("value").alias("p"))
 
 
 def points_from_embeddings(

@@ -18,7 +18,4 @@ def word_counts(spark: SparkSession, path: str, max_files_per_trigger: int | Non
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    lines = reader.load(path).select(
-        F.lit(0).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("line_no"), F.col("value").alias("line")
-    )
-    return word_count(lines)
+    return word_count(reader.load(path).select(F.col("value").alias("line")))

@@ -3,8 +3,9 @@ makes task retries and cluster sizes irrelevant to the answers."""
 
 import pytest
 
-from __spark_entry__ import queries
 from conftest import SF_SMALL
+from quern.plans import programs
+from quern.plans.catalog import QUERIES
 
 NAMES = ["text_wordcount_salted", "text_doc_term_counts", "vec_seed_bucketed", "vec_kmedian", "num_stable_sample"]
 
@@ -15,7 +16,7 @@ def _rows(df):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_same_answer_for_any_shuffle_partitioning(spark, name):
-    fn = queries()[name]
+    fn = QUERIES[name]
     base = _rows(fn(spark, SF_SMALL))
     old = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "3")
@@ -26,3 +27,40 @@ def test_same_answer_for_any_shuffle_partitioning(spark, name):
         spark.conf.set("spark.sql.shuffle.partitions", old)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert other == base and base
+
+
+@pytest.fixture
+def split_size(spark):
+    def set_to(value):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", value)
+
+    yield set_to
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_programs_do_not_follow_the_splits(spark, tmp_path, split_size):
+    points = tmp_path / "points"
+    points.mkdir()
+    for f in range(3):
+        (points / f"{f}.txt").write_text("".join(f"{(i * 37 + f) % 101} {(i * i + f) % 89}\n" for i in range(150 + f)))
+    docs = tmp_path / "docs.txt"
+    docs.write_text("".join(f"w{i % 7} w{i % 5}  x{i}\n" for i in range(400)))
+    seen = []
+    for size in ("128m", "700b", "97b"):
+        split_size(size)
+        km = programs.kmedian_program(spark, str(points), 3, 2, 1, seed=5)
+        ws = programs.word_statistics(spark, str(docs), 3)
+        centres = sorted((r.cid, tuple(round(x, 9) for x in r.c)) for r in km["centres"].collect())
+        seen.append((centres, _rows(km["sizes"]), *(_rows(ws[k]) for k in sorted(ws))))
+    assert seen[0] == seen[1] == seen[2]
+
+
+def test_line_numbers_are_those_of_the_files(spark, tmp_path, split_size):
+    from quern.sources.layout import numbered_lines
+
+    for name, n in (("a", 50), ("b", 0), ("c", 31)):
+        (tmp_path / f"{name}.txt").write_text("".join(f"{name}{i}\n" for i in range(n)))
+    want = [(i, f"a{i}") for i in range(50)] + [(50 + i, f"c{i}") for i in range(31)]
+    for size in ("128m", "40b"):
+        split_size(size)
+        assert _rows(numbered_lines(spark, str(tmp_path))) == want

@@ -46,3 +46,14 @@ def test_command_line_writes_results(spark, tmp_path):
     main(["words", "2", str(f), "--out", str(out)])
     got = {r.word: r.n for r in spark.read.parquet(str(out / "wordcount")).collect()}
     assert got == {"x": 2, "y": 1}
+
+
+def test_command_line_prints_every_row(spark, tmp_path, capsys):
+    from quern.__main__ import main
+
+    f = tmp_path / "numbers.txt"
+    f.write_text(" ".join(f"{i}.5" for i in range(300)))
+    main(["numbers", str(f), "--fraction", "1"])
+    out = capsys.readouterr().out
+    scaled = out.split("== scaled")[1].split("== ")[0].strip().split("\n")
+    assert len(scaled) == 301 and out.split("== sample")[1].strip().count("\n") == 300

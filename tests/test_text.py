@@ -112,3 +112,10 @@ def test_hot_word_counts_agree(spark):
     for salts in (1, 4, 13):
         assert {r.word: r.n for r in tx.word_count_salted(lines, salts, seed=salts).collect()} == plain
     assert {r.word: r.n for r in tx.word_count_from_term_counts(tx.doc_term_counts(lines)).collect()} == plain
+
+
+def test_counts_inside_the_row_and_one_exchange(spark):
+    from quern.plans.catalog import QUERIES
+
+    exchanges = lambda name: QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+    assert exchanges("text_doc_term_counts") == 0 and exchanges("text_wordcount_preagg") == 1
