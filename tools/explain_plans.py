@@ -13,7 +13,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import quern.session as qs  # noqa: E402
-from __spark_entry__ import queries  # noqa: E402
+from quern.plans.catalog import QUERIES  # noqa: E402
 
 WIDTH = 170
 _seen: dict[str, str] = {}
@@ -54,7 +54,7 @@ def main() -> None:
     print("For the iterative operators the returned DataFrame only reads the last scratch table, so")
     print("each kind of round (seeding pick, Lloyd update, coreset weights) is shown once, as planned")
     print("in its first occurrence.\n")
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         _seen.clear()
         df = fn(spark, sf_dir)
         print(f"## {name}\n")
@@ -66,9 +66,9 @@ def main() -> None:
 
 
 def colocated_appendix(spark, sf_dir, orig) -> None:
-    """Plans of the coreset rounds (taken after each round ran) when the
-    centre lists do not fit the broadcast threshold: points co-located by
-    bucket, only centre-side tables exchanged."""
+    """Plans of the coreset rounds (taken after each round ran) when a block of
+    centres does not fit the broadcast threshold: points laid out by (bucket,
+    salt), only centre-side tables exchanged."""
     from quern.operators import clustering as cl
     from quern.sources.vectors import points_from_embeddings
 
@@ -80,7 +80,7 @@ def colocated_appendix(spark, sf_dir, orig) -> None:
         return out
 
     qs.ScratchTables.put = put
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     try:
         pts = points_from_embeddings(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
@@ -88,13 +88,11 @@ def colocated_appendix(spark, sf_dir, orig) -> None:
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.shuffle.partitions", "16")
-    print("## Appendix: coreset rounds, co-located mode\n")
-    print("Broadcast threshold 100 bytes, 4 buckets, 4 shuffle partitions: the points are")
-    print("hash-partitioned by bucket once. In the plans below (taken after each round ran) the")
-    print("`REPARTITION_BY_NUM` exchange inside the cached point frame is that one-time co-location")
-    print("shuffle, read from the cache afterwards; every `ENSURE_REQUIREMENTS` exchange is over a")
-    print("centre-side table (pick tables, centre lists, per-centre aggregates), never over the")
-    print("persisted point frames.\n")
+    print("## Appendix: coreset rounds without broadcasts\n")
+    print("Broadcast threshold -1, 4 buckets, 4 shuffle partitions: the points are hash-partitioned")
+    print("by (bucket, salt) once. In the plans below (taken after each round ran) the")
+    print("`REPARTITION_BY_NUM` exchange inside the cached point frame is that one shuffle, read from")
+    print("the cache afterwards; every `ENSURE_REQUIREMENTS` exchange is over a centre-side table.\n")
     for key, plan in plans.items():
         if key in ("pick1", "lloyd0", "coreset"):
             print(f"round `{key}`:\n\n```\n{plan}\n```\n")
