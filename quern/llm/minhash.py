@@ -14,8 +14,8 @@ buckets. In each bucket every text is compared exactly (Jaccard of the shingle
 sets) with the bucket's most central text, so a bucket costs as many rows as it
 has texts. Links make components. Where a bucket still holds more than one
 component, texts whose shared shingles cannot reach the threshold with any
-other are ruled out, and the rest is compared in further rounds, up to ``SLOTS``
-texts of a bucket with all its others at a time, until each pair of a bucket is
+other are ruled out, and up to ``SLOTS`` of the texts outside the bucket's main component
+are compared with all its others at a time, until each pair of a bucket is
 compared, ruled out or known to be connected. No link within a bucket is lost,
 and no round makes all pairs.
 """
@@ -160,75 +160,96 @@ def components(links: DataFrame, tables: ScratchTables) -> DataFrame:
 # -------------------------------------------------------------------- linking
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The pairs ``a, b`` whose sets reach the threshold. One set of each pair
-    crosses the network with it; the other is joined where the pair ends."""
+def _common(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``a, b, both, s`` of the pairs: the sizes of the two sets
+    together, and of what they share. One set of each pair crosses the network
+    with it; the other is joined where the pair ends."""
     one = pairs.join(sets.select(F.col("c").alias("b"), F.col("set").alias("y")), "b")
     two = one.join(sets.select(F.col("c").alias("a"), F.col("set").alias("x")), "a")
-    near = two.where(F.least(F.size("x"), F.size("y")) >= threshold * F.greatest(F.size("x"), F.size("y")))
-    shared = near.select("a", "b", (F.size("x") + F.size("y")).alias("both"), F.size(F.array_intersect("x", "y")).alias("s"))
-    return shared.where(F.col("s") >= threshold * (F.col("both") - F.col("s"))).select("a", "b")
+    return two.select("a", "b", (F.size("x") + F.size("y")).alias("both"), F.size(F.array_intersect("x", "y")).alias("s"))
 
 
-def _star_pairs(members: DataFrame, tables: ScratchTables) -> DataFrame:
-    """Each text of a bucket with the bucket's most central one: that whose
-    own buckets hold the most texts (``a`` the centre)."""
+def _links(common: DataFrame, threshold: float) -> DataFrame:
+    return common.where(F.col("s") >= threshold * (F.col("both") - F.col("s"))).select("a", "b")
+
+
+def _centred(members: DataFrame, tables: ScratchTables) -> DataFrame:
+    """``key, c, n, a``: members with the most central text ``a`` of their
+    bucket, that whose own buckets hold the most texts."""
     score = tables.put(members.groupBy("c").agg(F.sum("size").alias("score")), "scores")
     centre = members.join(score, "c").groupBy("key").agg(F.max(F.struct("score", "c")).alias("top"))
     centre = tables.put(centre.select("key", F.col("top.c").alias("a")), "centres")
-    return members.join(centre, "key").where("c != a").select("a", F.col("c").alias("b")).distinct()
+    return tables.put(members.select("key", "c", "n").join(centre, "key"), "centred")
 
 
 def _open(members: DataFrame, tables: ScratchTables) -> DataFrame:
-    """Members of the buckets with more than one component, and the least set
-    size in the bucket."""
-    keys = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("n").alias("least"))
-    keys = tables.put(keys.where("lo != hi").select("key", "least"), "open-keys")
-    return tables.put(members.select("key", "c", "n", "comp").join(keys, "key"), "open")
+    """Members of the buckets with more than one component, with the bucket's
+    main component (that of the most members) and its least set size."""
+    each = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("n"))
+    keys = each.groupBy("key").agg(
+        F.count(F.lit(1)).alias("comps"), F.max(F.struct("k", "comp"))["comp"].alias("main"), F.min("n").alias("least")
+    )
+    keys = tables.put(keys.where("comps > 1").drop("comps"), "open-keys")
+    return tables.put(members.join(keys, "key"), "open")
 
 
 def _linkable(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Members that may still link. A partner has at least ``threshold`` times
-    a text's shingles, and at least the bucket's least number, and by this
-    shares so many with it; a shingle that no other open text has is shared
-    with none."""
-    asked = members.select("c").distinct()
+    """Members that may still link, and how many of their shingles some other
+    open text, or the centre of an open bucket, has (``shared``). A partner has
+    at least ``threshold`` times a text's shingles, and at least the bucket's
+    least number, and by this shares so many with it; a shingle that no other
+    of these texts has is shared with none."""
+    asked = members.select("c").unionByName(members.select(F.col("a").alias("c"))).distinct()
     each = sets.join(asked, "c", "left_semi").select("c", F.explode("set").alias("s"))
     alone = each.groupBy("s").agg(F.count(F.lit(1)).alias("k"), F.min("c").alias("c")).where("k = 1").groupBy("c").agg(F.count(F.lit(1)).alias("alone"))
-    needed = F.lit(threshold / (1 + threshold)) * (F.col("n") + F.greatest(threshold * F.col("n"), F.col("least"))) - 1e-6
-    return members.join(alone, "c", "left").where(F.col("n") - F.coalesce("alone", F.lit(0)) >= needed).select("key", "c", "n", "comp")
+    known = members.join(alone, "c", "left").withColumn("shared", F.col("n") - F.coalesce("alone", F.lit(0)))
+    needed = F.lit(threshold / (1 + threshold)) * (F.col("n") + F.greatest(threshold * F.col("n"), F.col("least")))
+    return known.where(F.col("shared") >= needed - 1e-6).select("key", "c", "n", "s", "shared", "comp")
 
 
 def _with_components(members: DataFrame, comps: DataFrame) -> DataFrame:
-    return members.select("key", "c", "n").join(comps, "c", "left").select("key", "c", "n", F.coalesce("comp", "c").alias("comp"))
+    own = [c for c in members.columns if c != "comp"]
+    return members.select(own).join(comps, "c", "left").select(*own, F.coalesce("comp", "c").alias("comp"))
 
 
 def linked(members: DataFrame, sets: DataFrame, tables: ScratchTables, threshold: float) -> DataFrame:
     """``c, comp`` of every text that has a link."""
-    links = tables.put(_verified(_star_pairs(members, tables), sets, threshold), "links")
+    centred = _centred(members, tables)
+    stars = centred.where("c != a").select("a", F.col("c").alias("b")).distinct()
+    stars = tables.put(_common(stars, sets), "stars")
+    links = tables.put(_links(stars, threshold), "links")
     comps = components(links, tables)
-    left = _open(_with_components(members, comps), tables)
+
+    with_s = centred.join(stars.select("a", F.col("b").alias("c"), "s"), ["a", "c"], "left")
+    with_s = with_s.select("key", "c", "n", "a", F.coalesce("s", "n").alias("s"))  # s: shared with the centre
+    left = _open(_with_components(with_s, comps), tables)
     left = _open(tables.put(_linkable(left, sets, threshold), "linkable"), tables)
+    # what two texts share at most: inside the centre's set, and outside it, where it must be shared with some text
+    reach = F.least("s", "hs") + F.greatest(F.lit(0), F.least(F.col("shared") - F.col("s"), F.col("hshared") - F.col("hs")))
     turn = 0
     while not left.isEmpty():
+        # a pair of two components has one text at least that is not of the main one
         turn += 1
         slot = F.pmod(F.xxhash64("c", F.lit(turn)), F.lit(SLOTS))
-        heads = left.groupBy("key", slot.alias("slot")).agg(F.min(F.struct("c", "n", "comp")).alias("h"))
-        heads = tables.put(heads.select("key", F.col("h.c").alias("hc"), F.col("h.n").alias("hn"), F.col("h.comp").alias("hcomp")), "heads")
+        own = ("c", "n", "s", "shared", "comp")
+        heads = left.where("comp != main").groupBy("key", slot.alias("slot")).agg(F.min(F.struct(*own)).alias("h"))
+        heads = tables.put(heads.select("key", *[F.col(f"h.{x}").alias(f"h{x}") for x in own]), "heads")
+        needed = F.lit(threshold / (1 + threshold)) * (F.col("n") + F.col("hn")) - 1e-6
         pairs = (
             left.join(heads, "key")
             .where("comp != hcomp")
             .where(F.least("n", "hn") >= threshold * F.greatest("n", "hn"))
+            .where((F.least("shared", "hshared") >= needed) & (reach >= needed))
             .select(F.least("c", "hc").alias("a"), F.greatest("c", "hc").alias("b"))
             .distinct()
         )
-        more = tables.put(_verified(pairs, sets, threshold), "more-links")
-        rest = left.join(heads.select("key", F.col("hc").alias("c")), ["key", "c"], "left_anti")
+        more = tables.put(_links(_common(pairs, sets), threshold), "more-links")
+        rest = left.drop("main", "least").join(heads.select("key", F.col("hc").alias("c")), ["key", "c"], "left_anti")
         if not more.isEmpty():
             links = links.unionByName(more)
             comps = components(links, tables)
             rest = _with_components(rest, comps)
-        left = _open(tables.put(rest.select("key", "c", "n", "comp"), "rest"), tables)
+        left = _open(tables.put(rest.select("key", *own), "rest"), tables)
     return comps
 
 
@@ -259,6 +280,7 @@ def _classified(docs: DataFrame, id_col: str, text_col: str, threshold: float) -
     named = nodes.select("c", "first").join(comps, "c", "left").select("c", "first", F.coalesce("comp", "c").alias("comp"))
     firsts = named.groupBy("comp").agg(F.min("first").alias("class_first"))
     classes = tables.put(named.join(firsts, "comp").select("c", F.col("class_first").alias("first")), "classes")
+    tables.keep(rows, classes)
     return rows.select("r1", "r2", "doc_id", "c").join(classes, "c", "left").select(
         "r1", "r2", "doc_id", F.coalesce("first", F.struct("doc_id", "r1", "r2")).alias("first")
     )
