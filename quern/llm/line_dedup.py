@@ -19,12 +19,11 @@ from quern.session import ScratchTables
 MIN_SITES = 10
 LG_K = 12  # of the sketches: a relative standard error of 1.6 %
 MARGIN = 0.1  # six standard errors
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def normal(line: Column) -> Column:
-    """A line as it is compared: trimmed of blanks, A-Z lower-cased."""
-    return F.translate(F.btrim(line, F.lit(" \t\r")), _UPPER, _LOWER)
+    """A line as it is compared: trimmed of blanks and lower-cased."""
+    return F.lower(F.btrim(line, F.lit(" \t\r")))
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> DataFrame:
@@ -49,10 +48,9 @@ def spread(lines: DataFrame) -> DataFrame:
     )
 
 
-def boilerplate(lines: DataFrame, min_sites: int) -> DataFrame:
+def boilerplate(lines: DataFrame, min_sites: int, tables: ScratchTables) -> DataFrame:
     """``h1, h2, first`` of the lines on at least ``min_sites`` sites."""
     low, high = min_sites * (1 - MARGIN) - 1, min_sites * (1 + MARGIN) + 1
-    tables = ScratchTables(lines.sparkSession, "line-dedup")
     wide = spread(lines).withColumn("sites", F.hll_sketch_estimate("sketch")).where(F.col("sites") >= low)
     wide = tables.put(wide.select("h1", "h2", "first", (F.col("sites") <= high).alias("near")), "wide")
     near = wide.where("near").select("h1", "h2")
@@ -78,14 +76,17 @@ def dedup(
     """``row`` (all columns of ``docs`` as a struct), ``text`` without the
     removed lines, ``n_lines`` and ``n_removed``.
 
-    Lines are cut at ``\\n`` and compared trimmed, with A-Z lower-cased; blank
+    Lines are cut at ``\\n`` and compared trimmed and lower-cased; blank
     lines are never removed. The earliest occurrence is that of the lowest
     (doc_id, line number), a null id first; rows of one id rank alike. A null
     site is no site. A null text stays null and has no lines. Equal rows are
     treated alike.
     """
-    lines = lines_of(docs, id_col, text_col, site_col)
-    flagged = boilerplate(lines, min_sites)
+    tables = ScratchTables(docs.sparkSession, "line-dedup")
+    # hashes and places only, written once: the text is cut into lines a single time
+    lines = tables.put(lines_of(docs, id_col, text_col, site_col), "lines")
+    flagged = boilerplate(lines, min_sites, tables)
+    tables.keep(lines, flagged)
     drops = (
         lines.drop("site")
         .join(flagged, ["h1", "h2"])
@@ -135,7 +136,7 @@ WITH l AS (
   SELECT doc_id, text, source, unnest(string_split(text, chr(10))) AS line,
          unnest(range(len(string_split(text, chr(10))))) AS line_no
   FROM documents),
-n AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM l),
+n AS (SELECT *, lower(trim(line, ' ' || chr(9) || chr(13))) AS k FROM l),
 b AS (SELECT k, min((doc_id, line_no)) AS first FROM n WHERE k <> '' GROUP BY k HAVING count(DISTINCT source) >= 10),
 m AS (SELECT n.*, b.k IS NOT NULL AND (n.doc_id, n.line_no) IS DISTINCT FROM b.first AS gone FROM n LEFT JOIN b ON n.k = b.k)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
