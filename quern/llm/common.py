@@ -3,19 +3,21 @@ and the slicing of Arrow batches into pieces of bounded size."""
 
 from __future__ import annotations
 
-import atexit
-import os
-import shutil
-import tempfile
+import io
+import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.session import checkpoint_root
+
 #: A-Z to a-z, every other ASCII character but a-z and 0-9 to a space.
 _FOLD = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256)
@@ -128,17 +130,29 @@ def packed(docs: DataFrame, **more: Column) -> DataFrame:
 _shipped: set[str] = set()
 
 
+def _ship(spark: SparkSession) -> None:
+    """Puts this package in the shared folder, from where executors that do not
+    have it installed get it, once for each application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    target = f"{checkpoint_root(spark)}/{package.name}-{uuid.uuid4().hex[:12]}/{package.name}.zip"
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    out.write(data.getvalue())
+    out.close()
+    context.addPyFile(target)
+    _shipped.add(context.applicationId)
+
+
 def map_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
-    """``df.mapInArrow`` with this package sent to the executors, which need
-    not have it installed."""
-    context = df.sparkSession.sparkContext
-    if context.applicationId not in _shipped:
-        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-        root, name = os.path.split(package)
-        folder = tempfile.mkdtemp(prefix=f"{name}-package-")  # of the driver; executors fetch the file from it
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        context.addPyFile(shutil.make_archive(f"{folder}/{name}", "zip", root, name))
-        _shipped.add(context.applicationId)
+    """``df.mapInArrow`` with this package sent along."""
+    _ship(df.sparkSession)
     return df.mapInArrow(function, schema)
 
 
