@@ -58,10 +58,12 @@ _NAMES = frozenset(
     "sidebar sidenav nav navbar navigation menu breadcrumb breadcrumbs footer masthead toolbar topbar "
     "cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe signup "
     "login comment comments commentlist disqus reply replies respond share sharing social related recommended "
-    "pagination pager widget widgets skip".split()
+    "pagination pager widget widgets skip aside announcement disclaimer toast copyright outbrain taboola".split()
 )
 #: Name parts that only make an element boilerplate when two of them meet.
-_PAIRS = (("site", "header"), ("page", "header"), ("top", "header"), ("main", "header"), ("side", "bar"), ("side", "column"))
+_PAIRS = (("side", "bar"), ("side", "column"), ("side", "menu"))
+#: With these a header, outside an article too, is that of the text.
+_OF_TEXT = frozenset("article entry post story content section".split())
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 _OPENS = re.compile(r"<[a-zA-Z/!?]")
@@ -105,6 +107,8 @@ class Lines(HTMLParser):
                 names = _WORD.findall(value.lower())
                 if not _NAMES.isdisjoint(names) or any(x in names and y in names for x, y in _PAIRS):
                     return True
+                if "header" in names and not inside and _OF_TEXT.isdisjoint(names):
+                    return True
         return False
 
     def handle_starttag(self, tag: str, attrs) -> None:
