@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from quern.llm.common import WordHashes, cut_spans, folded_words, map_arrow, mix, row_key, slices, texts
 from quern.session import ScratchTables
 
-WINNOW = 15
+WINNOW = 10
 UNIT_WORDS = 16
 SLICE_BYTES = 8 << 20
 _POSITION_BITS = np.uint64(26)  # of a slice's words, in the order that winnowing sees
