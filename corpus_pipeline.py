@@ -57,9 +57,10 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``; only what the last stage reads is kept."""
     tables = ScratchTables(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = tables.put(stage(spark, docs, sf_dir), name)
+        tables.keep(docs)
     return STAGES[-1][1](spark, docs, sf_dir)
