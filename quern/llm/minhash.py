@@ -161,7 +161,7 @@ def components(links: DataFrame, tables: ScratchTables) -> DataFrame:
 
 
 def _common(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``a, b, both, s`` of the pairs: the sizes of the two sets
+    """``a, b, both, s`` of the (written) pairs: the sizes of the two sets
     together, and of what they share. One set of each pair crosses the network
     with it; the other is joined where the pair ends."""
     one = pairs.join(sets.select(F.col("c").alias("b"), F.col("set").alias("y")), "b")
@@ -215,7 +215,7 @@ def _with_components(members: DataFrame, comps: DataFrame) -> DataFrame:
 def linked(members: DataFrame, sets: DataFrame, tables: ScratchTables, threshold: float) -> DataFrame:
     """``c, comp`` of every text that has a link."""
     centred = _centred(members, tables)
-    stars = centred.where("c != a").select("a", F.col("c").alias("b")).distinct()
+    stars = tables.put(centred.where("c != a").select("a", F.col("c").alias("b")).distinct(), "star-pairs")
     stars = tables.put(_common(stars, sets), "stars")
     links = tables.put(_links(stars, threshold), "links")
     comps = components(links, tables)
@@ -224,6 +224,7 @@ def linked(members: DataFrame, sets: DataFrame, tables: ScratchTables, threshold
     with_s = with_s.select("key", "c", "n", "a", F.coalesce("s", "n").alias("s"))  # s: shared with the centre
     left = _open(_with_components(with_s, comps), tables)
     left = _open(tables.put(_linkable(left, sets, threshold), "linkable"), tables)
+    sets = tables.put(sets.join(left.select("c").distinct(), "c", "left_semi"), "open-sets")
     # what two texts share at most: inside the centre's set, and outside it, where it must be shared with some text
     reach = F.least("s", "hs") + F.greatest(F.lit(0), F.least(F.col("shared") - F.col("s"), F.col("hshared") - F.col("hs")))
     turn = 0
@@ -243,7 +244,7 @@ def linked(members: DataFrame, sets: DataFrame, tables: ScratchTables, threshold
             .select(F.least("c", "hc").alias("a"), F.greatest("c", "hc").alias("b"))
             .distinct()
         )
-        more = tables.put(_links(_common(pairs, sets), threshold), "more-links")
+        more = tables.put(_links(_common(tables.put(pairs, "pairs"), sets), threshold), "more-links")
         rest = left.drop("main", "least").join(heads.select("key", F.col("hc").alias("c")), ["key", "c"], "left_anti")
         if not more.isEmpty():
             links = links.unionByName(more)
@@ -274,7 +275,8 @@ def _classified(docs: DataFrame, id_col: str, text_col: str, threshold: float) -
         nodes.join(members.select("c").distinct(), "c", "left_semi").select(F.col("first.r1").alias("r1"), F.col("first.r2").alias("r2"), "c"),
         "wanted",
     )
-    read = inp.select("r1", "r2", "text").join(wanted, ["r1", "r2"]).dropDuplicates(["r1", "r2"])  # rows that repeat
+    # merged at every size: the wanted texts are a share of all, never a small table
+    read = inp.select("r1", "r2", "text").join(wanted.hint("merge"), ["r1", "r2"]).dropDuplicates(["r1", "r2"])  # rows that repeat
     sets = map_arrow(read.select("c", "text"), _sets, "c binary, set array<bigint>")
     comps = linked(members, tables.put(sets, "sets"), tables, threshold)
     named = nodes.select("c", "first").join(comps, "c", "left").select("c", "first", F.coalesce("comp", "c").alias("comp"))
