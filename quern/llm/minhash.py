@@ -36,7 +36,7 @@ from quern.session import ScratchTables
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 5  # at a similarity of 0.8 a pair shares a band with 99.99 %
-SLOTS = 16
+SLOTS = 64
 SLICE_BYTES = 4 << 20
 
 

@@ -136,7 +136,7 @@ def test_decontamination_on_odd_rows(spark, odd):
         [(None, "shared line"), (7, None), (8, ""), (9, "one TWO three, four five six seven eight nine ten"), (9, "one two three four five six seven eight nine ten")],
         "item_id long, text string",
     )
-    for options in ({}, {"block_bytes": 1}):
+    for options in ({}, {"block_bytes": 40}):
         got = decontam.find(odd, items, **options).select("row.doc_id", "text", "items", "spans", F.expr(decontam.N_HIT).alias("n")).collect()
         assert len(got) == len(ROWS)
         by = {r.doc_id: r for r in got}
