@@ -2,18 +2,21 @@
 grouped over the whole corpus, the earliest ranked occurrence stays, and the
 others are removed by spans of the original text.
 
-Lines alone do not find a passage that is set into another paragraph, so the
-units are paragraphs cut by content. Words (A-Z lower-cased, punctuation out)
+Units are lines and paragraphs (cut at blank lines) of ``LINE_WORDS`` words or
+more, each taken whole. They do not find a passage that is set into another
+paragraph, so paragraphs cut by content are units too. Words (A-Z lower-cased, punctuation out)
 are winnowed: of every ``WINNOW`` words in sequence, the one with the lowest
 hash begins a unit, as does the first word of a text. A unit runs over at least
 ``UNIT_WORDS`` words to where the next one begins, or to the end. Where units
 begin depends on nearby words only, so two texts that share a passage of
 ``2 * WINNOW + UNIT_WORDS + 1`` words or more share a unit, wherever the passage
-stands, and at most ``WINNOW`` words at either end of it are missed.
+stands, and at most ``WINNOW`` words at either end of it are missed if it is no
+whole line or paragraph.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,10 +29,13 @@ from quern.session import ScratchTables
 
 WINNOW = 10
 UNIT_WORDS = 16
+LINE_WORDS = 3  # shorter lines (headings, answers) are no units
 SLICE_BYTES = 8 << 20
 _POSITION_BITS = np.uint64(26)  # of a slice's words, in the order that winnowing sees
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+_BREAK = re.compile(rb"[\r\n]")
+_BLANK = re.compile(rb"(?:\n|\r(?!\n))[ \t\r]*(?:\n|\r(?!\n))")
 
 
 def cuts(h: np.ndarray, left: np.ndarray, winnow: int) -> np.ndarray:
@@ -58,9 +64,35 @@ def _sums(h: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([[np.uint64(0)], np.add.accumulate(h * powers[:n])]), back
 
 
-def units(words: list[list[bytes]], hashes: WordHashes, winnow: int, unit_words: int) -> tuple[np.ndarray, ...]:
+def lines(data: bytes, line_words: int) -> np.ndarray:
+    """First word, word after the last, first byte and byte after the last of
+    each line and of each paragraph of several lines, in that order in rows."""
+    starts, _ = _edges(data)
+    if len(starts) < line_words:
+        return np.empty((0, 4), np.int64)
+    breaks = np.array([-1, *(m.start() for m in _BREAK.finditer(data)), len(data)], np.int64)
+    blanks = np.array([m.end() - 1 for m in _BLANK.finditer(data)], np.int64)
+    line = np.searchsorted(breaks, starts) - 1
+    new = np.concatenate([[True], line[1:] != line[:-1]])
+    paragraph = np.searchsorted(blanks, starts)
+    found = []
+    for of in (new, np.concatenate([[True], paragraph[1:] != paragraph[:-1]])):
+        a = np.flatnonzero(of)
+        b = np.append(a[1:], len(starts))
+        found.append(np.stack([a, b, breaks[line[a]] + 1, breaks[line[b - 1] + 1]], axis=1))
+    own, more = found
+    more = more[line[more[:, 0]] != line[more[:, 1] - 1]]
+    out = np.concatenate([own, more])
+    return out[out[:, 1] - out[:, 0] >= line_words]
+
+
+def units(
+    words: list[list[bytes]], hashes: WordHashes, winnow: int, unit_words: int, whole: list[np.ndarray] | None = None
+) -> tuple[np.ndarray, ...]:
     """Of all units: document, first word, word after the last (counted within
-    the document), two digests, and whether the document has had it before."""
+    the document), two digests, and whether the document has had it before.
+    ``whole``: each document's units (first word, word after the last) besides
+    those cut by content."""
     sizes = np.array([len(w) for w in words], np.int64)
     starts = np.concatenate([[0], np.cumsum(sizes)])
     total = int(starts[-1])
@@ -74,6 +106,9 @@ def units(words: list[list[bytes]], hashes: WordHashes, winnow: int, unit_words:
     after = np.searchsorted(at, a + unit_words)
     ends = starts[1:][doc[a]]
     b = np.minimum(np.append(at, total)[after], ends)
+    if whole is not None:  # in order of place, each place once
+        more = np.concatenate([x[:, :2] + n for x, n in zip(whole, starts[:-1], strict=True)])
+        a, b = np.unique(np.concatenate([np.stack([a, b], axis=1), more]), axis=0).T
     digests = []
     for base in _BASES:
         sums, back = _sums(mix(h ^ np.uint64(base)), base)
@@ -84,28 +119,42 @@ def units(words: list[list[bytes]], hashes: WordHashes, winnow: int, unit_words:
     return doc[a], a - starts[doc[a]], b - starts[doc[a]], *digests, ~first
 
 
-def _points(data: bytes, words: list[bytes], some: np.ndarray, end: bool) -> np.ndarray:
-    """Code point offsets at which the given words begin, or end."""
+def _edges(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes at which words begin, and after which they end."""
     raw = np.frombuffer(data.translate(_FOLD), np.uint8)
     solid = (raw >= 128) | ((raw >= 48) & (raw <= 57)) | ((raw >= 97) & (raw <= 122))
     edge = np.flatnonzero(np.diff(np.concatenate([[0], solid.view(np.int8), [0]])))
-    at = edge[1::2][some] if end else edge[::2][some]
-    points = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
-    return points[at]
+    return edge[::2], edge[1::2]
+
+
+def _places(data: bytes, a: np.ndarray, b: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code point offsets of the units from word ``a`` to before word ``b``;
+    whole lines and paragraphs with all that stands in them."""
+    starts, ends = _edges(data)
+    start, end = starts[a], ends[b - 1]
+    if len(whole):
+        n = len(starts) + 1
+        whole = whole[np.argsort(whole[:, 0] * n + whole[:, 1], kind="stable")]
+        keys, own = whole[:, 0] * n + whole[:, 1], a * n + b
+        i = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+        is_whole = keys[i] == own
+        start, end = np.where(is_whole, whole[i, 2], start), np.where(is_whole, whole[i, 3], end)
+    points = np.concatenate([[0], np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)])
+    return points[start], points[end]
 
 
-def _units(winnow: int, unit_words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _units(winnow: int, unit_words: int, line_words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in slices(batches, "text", SLICE_BYTES):
         data = texts(batch.column("text"))
         words = [folded_words(x) for x in data]
-        doc, a, b, d1, d2, again = units(words, hashes, winnow, unit_words)
+        whole = [lines(x, line_words) for x in data]
+        doc, a, b, d1, d2, again = units(words, hashes, winnow, unit_words, whole)
         start, end = np.empty(len(a), np.int64), np.empty(len(a), np.int64)
         edges = np.searchsorted(doc, np.arange(len(data) + 1))
         for i, (lo, hi) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
             if lo < hi:
-                start[lo:hi] = _points(data[i], words[i], a[lo:hi], False)
-                end[lo:hi] = _points(data[i], words[i], b[lo:hi] - 1, True)
+                start[lo:hi], end[lo:hi] = _places(data[i], a[lo:hi], b[lo:hi], whole[i])
         rows = pa.array(doc)
         yield pa.RecordBatch.from_arrays(
             [
@@ -120,19 +169,19 @@ def _units(winnow: int, unit_words: int, batches: Iterator[pa.RecordBatch]) -> I
         )
 
 
-def units_of(docs: DataFrame, id_col: str, text_col: str, winnow: int, unit_words: int) -> DataFrame:
+def units_of(docs: DataFrame, id_col: str, text_col: str, winnow: int, unit_words: int, line_words: int) -> DataFrame:
     """``r1, r2, doc_id, d1, d2, start, end, again`` of every unit."""
     inp = docs.select(
         *row_key(F.col(id_col), F.col(text_col)), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")
     )
     kind = inp.schema["doc_id"].dataType.simpleString()
     schema = f"r1 bigint, r2 bigint, doc_id {kind}, d1 bigint, d2 bigint, start int, end int, again boolean"
-    return map_arrow(inp, lambda batches: _units(winnow, unit_words, batches), schema)
+    return map_arrow(inp, lambda batches: _units(winnow, unit_words, line_words, batches), schema)
 
 
-def _removed(docs: DataFrame, id_col: str, text_col: str, winnow: int, unit_words: int) -> DataFrame:
+def _removed(docs: DataFrame, id_col: str, text_col: str, winnow: int, unit_words: int, line_words: int) -> DataFrame:
     """``r1, r2, doc_id, start, end, kept_doc_id`` of the merged spans."""
-    found = units_of(docs, id_col, text_col, winnow, unit_words)
+    found = units_of(docs, id_col, text_col, winnow, unit_words, line_words)
     # a digest costs a task one row, however often it occurs
     groups = found.groupBy("d1", "d2").agg(F.min("doc_id").alias("kept_doc_id"), F.count(F.lit(1)).alias("n"))
     # written out, so that both sides of the join come straight from an exchange and hot digests can be split
@@ -160,7 +209,13 @@ def _removed(docs: DataFrame, id_col: str, text_col: str, winnow: int, unit_word
 
 
 def spans(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", winnow: int = WINNOW, unit_words: int = UNIT_WORDS
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    winnow: int = WINNOW,
+    unit_words: int = UNIT_WORDS,
+    line_words: int = LINE_WORDS,
 ) -> DataFrame:
     """``doc_id, start, end, kept_doc_id`` of every span to remove: code points
     of the original text, end exclusive, and the lowest id that keeps a unit
@@ -168,20 +223,27 @@ def spans(
 
     Occurrences rank by (doc_id, place in the text). Documents of one id rank
     alike; a null id comes last, and null ids do not remove from each other.
-    Null and empty texts, and texts under ``unit_words`` words, have no units.
+    Null and empty texts, and texts under ``line_words`` words, have no units.
+    A whole line or paragraph goes with its punctuation, without its last break.
     Rows that repeat in id and text give their spans once.
     """
-    return _removed(docs, id_col, text_col, winnow, unit_words).select("doc_id", "start", "end", "kept_doc_id")
+    return _removed(docs, id_col, text_col, winnow, unit_words, line_words).select("doc_id", "start", "end", "kept_doc_id")
 
 
 def dedup(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", winnow: int = WINNOW, unit_words: int = UNIT_WORDS
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    winnow: int = WINNOW,
+    unit_words: int = UNIT_WORDS,
+    line_words: int = LINE_WORDS,
 ) -> DataFrame:
     """``row`` (all columns of ``docs`` as a struct), ``text`` without the
     removed spans (each leaves one line break), and ``spans``, their offsets in
     the original text (empty if none)."""
     lists = (
-        _removed(docs, id_col, text_col, winnow, unit_words)
+        _removed(docs, id_col, text_col, winnow, unit_words, line_words)
         .groupBy("r1", "r2")
         .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
     )

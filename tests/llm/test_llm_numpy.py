@@ -259,6 +259,13 @@ def test_a_shared_passage_always_shares_a_unit():
         assert all(len(w) >= substring_dedup.UNIT_WORDS for w in words.values())
 
 
+def test_lines_and_paragraphs_are_units():
+    text = "Éa b c.\r\n- d e f!\n \t\n\ng h\ni\n--\nj k l"
+    found = [(text.encode()[s:e].decode(), b - a) for a, b, s, e in substring_dedup.lines(text.encode(), 3).tolist()]
+    assert found == [("Éa b c.", 3), ("- d e f!", 3), ("j k l", 3), ("Éa b c.\r\n- d e f!", 6), ("g h\ni\n--\nj k l", 6)]
+    assert not len(substring_dedup.lines(b"\n a b\n", 3))
+
+
 # -------------------------------------------------------------------- quality
 
 

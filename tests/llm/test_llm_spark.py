@@ -236,6 +236,26 @@ def test_planted_passages_are_found(spark):
         assert cut == sorted((a, b) for a, b, _ in found.get(r.row.doc_id, []))
 
 
+def test_short_lines_and_paragraphs_are_removed(spark):
+    rows = [
+        (1, "first own words here\n\nÉine kurze Zeile.\nanother of the first"),
+        (2, "* éine KURZE zeile\nsecond own words here"),
+        (3, "Éine kurze Zeile. and more of the third"),
+        (4, "éine KURZE\nzeile\n\nonly in the fourth\nonly in the fourth"),
+        (5, "second own words here"),
+    ]
+    rows = [(i, t.replace("éine", "Éine")) for i, t in rows]  # other letters than A-Z keep their case
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    text = dict(rows)
+    got = sorted((r.doc_id, text[r.doc_id][r.start : r.end], r.kept_doc_id) for r in substring_dedup.spans(docs).collect())
+    assert got == [
+        (2, "* Éine KURZE zeile", 1),
+        (4, "only in the fourth", 4),
+        (4, "Éine KURZE\nzeile", 1),
+        (5, "second own words here", 2),
+    ]
+
+
 # ------------------------------------------------------------ near duplicates
 
 
