@@ -1,13 +1,14 @@
 """MinHash near-dedup with ProbMinHash signatures.
 
-A text's shingles (five words each, A-Z lower-cased, punctuation out) are
-weighted by how often it has them. Every shingle is a Poisson process whose
-rate is its weight, drawn by hash so that all texts agree on it; each arrival
-goes to a random register, and a register keeps the shingle that arrives first.
-Two signatures agree in a register with the probability Jaccard similarity of
-the weighted shingles. Arrivals are made up to a time by which all registers
-are usually filled; later ones cannot matter, and only texts with an empty
-register go on.
+Every shingle of a text (five words, A-Z lower-cased, punctuation out) is a
+Poisson process whose rate is its weight, drawn by hash so that all texts agree
+on it; each arrival goes to a random register, and a register keeps the shingle
+that arrives first. Two signatures agree in a register with the probability
+Jaccard similarity of the weighted shingles. A link is a Jaccard similarity of
+sets, so each distinct shingle has weight one here, however often a text has
+it, and that similarity is the Jaccard similarity itself. Arrivals are made up
+to a time by which all registers are usually filled; later ones cannot matter,
+and only texts with an empty register go on.
 
 Equal texts are one node from here on. Bands of registers put texts in
 buckets. In each bucket every text is compared exactly (Jaccard of the shingle
@@ -111,9 +112,9 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in slices(batches, "text", SLICE_BYTES):
         words = [folded_words(x) for x in texts(batch.column("text"))]
-        doc, element, count = shingles(words, hashes)
+        doc, element, _ = shingles(words, hashes)  # a link is a similarity of sets, so each weighs one
         n = np.bincount(doc, minlength=len(words))
-        keys = band_keys(signatures(doc, element, count, len(words), BANDS * ROWS), BANDS, ROWS).view(np.int64)
+        keys = band_keys(signatures(doc, element, np.ones(len(doc)), len(words), BANDS * ROWS), BANDS, ROWS).view(np.int64)
         yield pa.RecordBatch.from_arrays(
             [
                 *(batch.column(c) for c in ("r1", "r2", "doc_id")),

@@ -299,6 +299,16 @@ def test_a_large_group_of_near_copies_keeps_every_link(spark):
     assert kept == set(got.values())
 
 
+def test_near_duplicates_meet_whatever_their_counts(spark):
+    rows = []
+    for i in range(20):
+        w = [f"w{i}x{k}" for k in range(204)]
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(w[:100] + w[20:100] * 40 + w[100:]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.class_id for r in minhash.classes(docs).collect()}
+    assert got == _classes(rows) == {i: i - i % 2 for i in range(40)}
+
+
 def test_near_duplicates_on_odd_rows(odd):
     got = sorted((r.doc_id or 0, r.class_id or 0) for r in minhash.classes(odd).collect())
     assert got == [(0, 0), (0, 0), (1, 1), (1, 1), (2, 2), (3, 3), (4, 4), (5, 5), (5, 5), (6, 6)]
