@@ -6,9 +6,13 @@ has, how much of it is link text, and the container it stands in. Menus, page
 headers and footers, sidebars, notices, adverts, forms, scripts, styles and
 reader comments are left out as their elements open (by element, role, class
 or id). The text-to-tag ratios of the other lines are smoothed by a Gaussian,
-lines over a threshold form the content clusters, and the containers that hold
-a cluster are the content regions; a region's lines are all kept, so a short
-paragraph between long ones stays.
+lines over a threshold, themselves too, form the content clusters, and the
+containers that hold a cluster are the content regions; a region's lines are
+all kept, so a short paragraph between long ones stays. A line's container is
+the innermost article or main it stands in, or else the nearest other one; an
+article is no content by itself. What only a class or id marks as left out (it
+may name the layout of the whole page) a main or an outermost article inside
+opens again.
 """
 
 from __future__ import annotations
@@ -60,9 +64,13 @@ _NAMES = frozenset(
     "login comment comments commentlist disqus reply replies respond share sharing social related recommended "
     "pagination pager widget widgets skip aside announcement disclaimer toast copyright outbrain taboola".split()
 )
+#: Those under which an article is a reader's comment.
+_COMMENTS = frozenset("comment comments commentlist disqus reply replies respond".split())
+#: How much an element is left out: by its name, by that of comments, by what it is.
+_BY_NAME, _BY_COMMENT, _BY_KIND = 1, 2, 3
 #: Name parts that only make an element boilerplate when two of them meet.
 _PAIRS = (("side", "bar"), ("side", "column"), ("side", "menu"))
-#: With these a header, outside an article too, is that of the text.
+#: With these a header, outside an article too, is that of the text, and an outermost article is no boilerplate.
 _OF_TEXT = frozenset("article entry post story content section".split())
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
@@ -92,24 +100,30 @@ class Lines(HTMLParser):
             self._end_line()
         del self.stack[i:]
 
-    def _is_out(self, tag: str, attrs: list[tuple[str, str | None]], inside: int) -> bool:
+    def _is_out(self, tag: str, attrs: list[tuple[str, str | None]], inside: int) -> int:
+        """0, or how much the element is left out."""
         if tag in _OUT or tag == "header" and not inside:
-            return True
+            return _BY_KIND
         a = dict(attrs)
         if "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in (a.get("style") or "").replace(" ", ""):
-            return True
+            return _BY_KIND
         if (a.get("role") or "").lower() in _ROLES:
-            return True
-        if tag in ("body", "html", "main") or tag == "article" and not inside:
-            return False
+            return _BY_KIND
+        if tag in ("body", "html", "main"):
+            return 0
+        out = 0
         for key in ("class", "id"):
             if value := a.get(key):
                 names = _WORD.findall(value.lower())
-                if not _NAMES.isdisjoint(names) or any(x in names and y in names for x, y in _PAIRS):
-                    return True
-                if "header" in names and not inside and _OF_TEXT.isdisjoint(names):
-                    return True
-        return False
+                if tag == "article" and not inside and not _OF_TEXT.isdisjoint(names):
+                    return 0
+                if not _COMMENTS.isdisjoint(names):
+                    out = _BY_COMMENT
+                elif not _NAMES.isdisjoint(names) or any(x in names and y in names for x, y in _PAIRS):
+                    out = max(out, _BY_NAME)
+                elif "header" in names and not inside and _OF_TEXT.isdisjoint(names):
+                    out = max(out, _BY_NAME)
+        return out
 
     def handle_starttag(self, tag: str, attrs) -> None:
         self.tags += 1
@@ -121,7 +135,7 @@ class Lines(HTMLParser):
             return
         stack = self.stack
         if tag in _REGION:  # a page in a form, or a menu that was never closed
-            i = next((i for i, x in enumerate(stack) if x[1]), None)
+            i = next((i for i, x in enumerate(stack) if x[1] == _BY_KIND), None)
             if i is not None and stack[i][0] in ("nav", "header", "form", "head"):
                 self._pop_to(i)
         if tag in _CLOSES:
@@ -143,9 +157,10 @@ class Lines(HTMLParser):
             self.tags = 1
         _, out, region, container, link = stack[-1] if stack else ("", 0, 0, 0, False)
         self.n += 1
-        if not out and self._is_out(tag, attrs, region):
-            out = self.n
-        if tag in _REGION and not region:
+        own = self._is_out(tag, attrs, region)
+        opens = tag == "main" and out < _BY_KIND or tag == "article" and not region and out < _BY_COMMENT
+        out = own if opens else max(out, own)
+        if tag in _REGION:
             region = self.n
         stack.append((tag, out, region, self.n if tag in _CONTAINER else container, link or tag == "a"))
 
@@ -190,12 +205,17 @@ def smoothed(x: np.ndarray, sigma: float) -> np.ndarray:
 
 def content(lines: list[tuple[str, int, int, int, int]]) -> list[str]:
     """The texts of the content regions' lines, in page order."""
-    inside = [x for x in lines if x[3]]
-    lines = inside or [x for x in lines if x[2] <= MAX_LINK_SHARE * len(x[0])]
+    few_links = lambda x: x[2] <= MAX_LINK_SHARE * len(x[0])
+    lines = [x for x in lines if x[3] or few_links(x)]
     if not lines:
         return []
-    ratio = smoothed(np.array([len(x[0]) / x[1] for x in lines]), SIGMA)
-    cluster = ratio >= min(THRESHOLD * ratio.std(), ratio.max())
+    own = np.array([len(x[0]) / x[1] for x in lines])
+    dense = np.array([few_links(x) for x in lines])
+    if not dense.any():
+        dense[:] = True
+    ratio = smoothed(own, SIGMA)
+    least = min(THRESHOLD * ratio.std(), np.minimum(ratio, own)[dense].max())
+    cluster = dense & (ratio >= least) & (own >= least)  # a short line beside a long one is no cluster
     region = lambda x: (x[3], 0 if x[3] else x[4])
     chosen = {region(x) for x, c in zip(lines, cluster, strict=True) if c}
     return [x[0] for x in lines if region(x) in chosen]

@@ -180,6 +180,26 @@ def test_html_without_article_keeps_the_region_with_the_text():
     assert html_text.extract(page).split("\n") == [*(f"Paragraph {i} has a number of words that make it long enough." for i in range(5)), "Ok."]
 
 
+_BODY = "".join(f"<p>Paragraph {i} has a number of words that make it long enough to be the text of a page.</p>" for i in range(5))
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div id=content>%s</div><article><a href=x>Card one</a></article><article><h3>Card two</h3></article>",
+        "<main><div>%s</div></main><article><h3>Card</h3></article>",
+        "<article class='teaser sponsored'><p>Buy this thing, which is the best that was ever offered to anybody here.</p></article><div id=c>%s</div>",
+        "<div class='page with-sidebar'><main>%s</main><div class=sidebar><p>Aside.</p></div></div>",
+        "<div class='layout nav-open'><article>%s</article></div>",
+        "<div class='layout nav-open'><nav><a href=x>m</a><article>%s<div class=related><p>More.</p></div></article></div>",
+        "<article class='post comments-open'>%s</article><div id=comments><article><p>A comment as long as a paragraph of the text on this page.</p></article></div>",
+    ],
+)
+def test_html_article_is_a_container_among_others(page):
+    lines = html_text.extract(page.replace("%s", _BODY)).split("\n")
+    assert len(lines) == 5 and all(x.startswith("Paragraph") for x in lines)
+
+
 def test_html_of_odd_markup_ends():
     for s in ("<" * 20_000, "<!" * 20_000, "<a " * 20_000, "&" * 20_000, "</" * 20_000, "<div>" * 3000 + "x", "<p>x" * 5000):
         html_text.extract(s)
