@@ -1,8 +1,10 @@
 """Licence scan: normalised text compared to licence templates by the Dice
 coefficient over word bigrams, in DataFrame functions only.
 
-A text is compared whole, by paragraph (cut at blank lines), by line and by
-sentence. Normalising keeps lower-case ASCII letters and digits in words. A
+A text is compared whole, by paragraph (cut at blank lines), by line, by
+sentence (also over a line break), and by runs of consecutive blocks (cut at
+lines without a word), so that a licence of several paragraphs is found inside
+a longer text. Normalising keeps lower-case ASCII letters and digits in words. A
 Dice coefficient of at least ``t`` bounds the sizes: a unit's number of
 distinct bigrams lies between t / (2 - t) and (2 - t) / t times the
 template's, so other pairs are never compared. It also bounds what a unit can
@@ -14,7 +16,9 @@ row; nothing is shuffled.
 from __future__ import annotations
 
 import math
+import operator
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +27,9 @@ THRESHOLD = 0.9
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Where a text is cut: paragraphs, lines, sentences.
 CUTS = (r"\n[ \t\r]*\n", r"\n", r"\n|(?<=[.!?;:])[ \t\r]+")
+#: Blocks, whose runs are units, and their sentences, wrapped or not.
+BLOCK_CUT = r"\n[^a-z0-9\n]*\n"
+WRAPPED_CUT = BLOCK_CUT + r"|(?<=[.!?;:])[ \t\r\n]+"
 
 _WARRANTY = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT
 LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL
@@ -62,9 +69,13 @@ License for more details.""",
 }
 
 
+def _words(text: str) -> list[str]:
+    return re.findall("[a-z0-9]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+
+
 def bigrams(text: str) -> list[str]:
     """Distinct word bigrams, in order."""
-    words = re.findall("[a-z0-9]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    words = _words(text)
     return list(dict.fromkeys(map(" ".join, zip(words, words[1:]))))
 
 
@@ -74,6 +85,50 @@ def bounds(size: int, threshold: float) -> tuple[int, int]:
     return math.ceil(size * threshold / (2 - threshold) - 1e-9), math.floor(size * (2 - threshold) / threshold + 1e-9)
 
 
+def run_bounds(grams: int, words: int, threshold: float) -> tuple[int, int]:
+    """Least and largest number of words of a run of blocks that is compared
+    with a template of so many bigrams and words: it may repeat its own words
+    as much as the template does."""
+    return bounds(grams, threshold)[0] + 1, math.floor(words * (2 - threshold) / threshold + 1e-9)
+
+
+def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(ranges):
+        if out and a <= out[-1][1] + 1:
+            out[-1] = out[-1][0], max(b, out[-1][1])
+        else:
+            out.append((a, b))
+    return out
+
+
+def _runs(blocks: Column, ranges: list[tuple[int, int]]) -> Column:
+    """The runs of (normalised, not empty) blocks whose numbers of words lie in
+    one of the ranges. Of one start at most as many blocks are tried as the
+    largest range has words."""
+    most = max(b for _, b in ranges)
+    ends = F.aggregate(
+        F.transform(blocks, lambda p: F.size(F.split(p, " "))),
+        F.array(F.lit(0)),
+        lambda a, n: F.concat(a, F.array(F.element_at(a, -1) + n)),
+    )
+
+    def of_start(x: Column, i: Column) -> Column:
+        words = lambda j: x["ends"][j + 1] - x["ends"][i]
+        last = F.least(F.size(x["blocks"]) - 1, i + most)
+        fit = F.filter(F.sequence(i, last), lambda j: reduce(operator.or_, [words(j).between(a, b) for a, b in ranges]))
+        return F.transform(fit, lambda j: F.array_join(F.slice(x["blocks"], i + 1, j - i + 1), " "))
+
+    # one struct in an array, so that the ends are counted once
+    each = F.transform(
+        F.array(F.struct(blocks.alias("blocks"), ends.alias("ends"))),
+        lambda x: F.when(
+            F.size(x["blocks"]) > 0, F.flatten(F.transform(F.sequence(F.lit(0), F.size(x["blocks"]) - 1), lambda i: of_start(x, i)))
+        ).otherwise(F.array().cast("array<string>")),
+    )
+    return F.flatten(each)
+
+
 def needles(grams: list[str], threshold: float) -> set[str]:
     """Words of a template of which every unit that reaches ``threshold`` has
     one: such a unit shares at least ``size * threshold / (2 - threshold)``
@@ -101,23 +156,23 @@ def scan(
     that some unit of it reaches ``threshold`` with, the best coefficient and
     how many different units reach it.
 
-    Units that normalise to the same words count once. Null and empty texts,
+    A run of blocks is compared if its number of words is one that ``run_bounds``
+    gives for some template. Units that normalise to the same words count once. Null and empty texts,
     texts of one word, and templates of one word match nothing. Rows that
     repeat are scanned each on its own; templates that tie all come out.
     """
-    named = {k: b for k, v in (TEMPLATES if templates is None else templates).items() if (b := bigrams(v))}
+    texts = TEMPLATES if templates is None else templates
+    named = {k: b for k, v in texts.items() if (b := bigrams(v))}
     has = "|".join(sorted({w for b in named.values() for w in needles(b, threshold)}))
     some = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where(
         F.col("text").rlike(f"(?i){has}") if named else F.lit(False)
     )
+    normal = lambda u: F.btrim(F.regexp_replace(u, "[^a-z0-9]+", " "))
+    ranges = _merged([run_bounds(len(b), len(_words(texts[k])), threshold) for k, b in named.items()] or [(2, 2)])
+    blocks = F.filter(F.transform(F.split("t", BLOCK_CUT, -1), normal), lambda u: u != "")
+    pieces = F.concat(F.array("t"), *[F.split("t", cut, -1) for cut in (*CUTS, WRAPPED_CUT)])
     units = some.select("doc_id", F.translate("text", _UPPER, _LOWER).alias("t")).select(
-        "doc_id",
-        F.array_distinct(
-            F.transform(
-                F.concat(F.array("t"), *[F.split("t", cut, -1) for cut in CUTS]),
-                lambda u: F.btrim(F.regexp_replace(u, "[^a-z0-9]+", " ")),
-            )
-        ).alias("units"),
+        "doc_id", F.array_distinct(F.concat(F.transform(pieces, normal), _runs(blocks, ranges))).alias("units")
     )
     grams = units.select(
         "doc_id",
@@ -173,7 +228,8 @@ def _sql_list(values: list[str]) -> str:
     return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
 
 
-#: DuckDB SQL for ``digest`` over ``documents``, without any pruning.
+#: DuckDB SQL for ``digest`` over ``documents``, without any pruning, and
+#: without the runs of blocks and the wrapped sentences.
 ORACLE = f"""
 WITH d AS (
   SELECT doc_id, translate(text, '{_UPPER}', '{_LOWER}') AS t FROM documents),

@@ -106,6 +106,22 @@ def test_license_scan_finds_whole_licences(spark):
     assert {(r.doc_id, r.license) for r in license_scan.scan(docs).collect()} == {(0, "MIT"), (1, "MIT"), (2, "MIT")}
 
 
+def test_license_scan_finds_licences_of_several_paragraphs_inside_a_text(spark):
+    mit, gpl = license_scan.TEMPLATES["MIT"], license_scan.TEMPLATES["GPL-3.0 header"]
+    for mark in ("subject to the following conditions: ", "Software. THE"):
+        mit = mit.replace(mark, mark.replace(": ", ":\r\n\r\n").replace(". ", ".\r\n\r\n"))
+    around = "Words of the text around it, which are many. " * 20
+    comment = " * " + gpl.replace("\n", "\n * ").replace("version. ", "version.\n *\n * ")
+    texts = [
+        f"{around}\n\n{mit}\n\n{around}",
+        f"/*\n{comment}\n */\n\n{around}",
+        f"{around}Released under the MIT\nLicense. {around}",
+        around + "\n\n" + around,
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {(r.doc_id, r.license, r.dice) for r in license_scan.scan(docs).collect()} == {(0, "MIT", 1.0), (1, "GPL-3.0 header", 1.0), (2, "MIT notice", 1.0)}
+
+
 def test_substring_dedup_on_odd_rows(odd):
     assert substring_dedup.spans(odd).count() == 0  # rows that repeat rank alike
     done = substring_dedup.dedup(odd).collect()
