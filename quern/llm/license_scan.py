@@ -23,6 +23,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern.llm.licenses import MORE
+
 THRESHOLD = 0.9
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Where a text is cut: paragraphs, lines, sentences.
@@ -36,7 +38,10 @@ LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE A
 THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT,
 TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
 
-#: Licences and the usual notices of them.
+#: Up to so many bigrams of a unit its templates are looked up by this number.
+INDEXED = 400
+
+#: Licences and the usual notices of them; ``licenses.MORE`` has the others.
 TEMPLATES = {
     "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
 associated documentation files (the "Software"), to deal in the Software without restriction, including without
@@ -144,6 +149,21 @@ def needles(grams: list[str], threshold: float) -> set[str]:
     return chosen
 
 
+def any_word(words: set[str]) -> str:
+    """A pattern for any of the words, tried only where a word begins, letter
+    by letter."""
+
+    def rest(ends: set[str]) -> str:
+        heads = sorted({x[0] for x in ends if x})
+        branches = [h + rest({x[1:] for x in ends if x[:1] == h}) for h in heads]
+        if not branches:
+            return ""
+        joined = branches[0] if len(branches) == 1 and "" not in ends else f"(?:{'|'.join(branches)})"
+        return joined + ("?" if "" in ends else "")
+
+    return f"(?i)(?<![a-z0-9]){rest(words)}(?![a-z0-9])"
+
+
 def scan(
     docs: DataFrame,
     *,
@@ -159,20 +179,35 @@ def scan(
     A run of blocks is compared if its number of words is one that ``run_bounds``
     gives for some template. Units that normalise to the same words count once. Null and empty texts,
     texts of one word, and templates of one word match nothing. Rows that
-    repeat are scanned each on its own; templates that tie all come out.
+    repeat are scanned each on its own. Of the templates that a unit reaches
+    only those of its best coefficient count (versions of a licence are much
+    alike); those that tie all come out.
     """
-    texts = TEMPLATES if templates is None else templates
-    named = {k: b for k, v in texts.items() if (b := bigrams(v))}
-    has = "|".join(sorted({w for b in named.values() for w in needles(b, threshold)}))
-    some = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where(
-        F.col("text").rlike(f"(?i){has}") if named else F.lit(False)
-    )
+    texts = [(k, v) for k, v in TEMPLATES.items()] + [(k, v) for k, vs in MORE.items() for v in vs] if templates is None else list(templates.items())
+    named = [(k, b, v) for k, v in texts if (b := bigrams(v))]
+    if not named:
+        named = [("", ["no such"], "no such")]
+        docs = docs.limit(0)
+    sizes = [bounds(len(b), threshold) for _, b, _ in named]
+    some = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    short = [b for (_, b, _), (_, most) in zip(named, sizes, strict=True) if most <= INDEXED]
+    long = [(b, least) for (_, b, _), (least, most) in zip(named, sizes, strict=True) if most > INDEXED]
+    pattern = lambda grams: any_word({w for b in grams for w in needles(b, threshold)})
+    of_short, of_long = pattern(short), pattern([b for b, _ in long])
+    at_least = 2 * min((n for _, n in long), default=0)  # characters, as a bigram begins with a word and a space
+
+    def may(text: Column) -> Column:
+        """Whether a text, or a unit, may match at all."""
+        found = text.rlike(of_short) if short else F.lit(False)
+        return found | ((F.length(text) >= at_least) & text.rlike(of_long)) if long else found
+
+    some = some.where(may(F.col("text")))
     normal = lambda u: F.btrim(F.regexp_replace(u, "[^a-z0-9]+", " "))
-    ranges = _merged([run_bounds(len(b), len(_words(texts[k])), threshold) for k, b in named.items()] or [(2, 2)])
+    ranges = _merged([run_bounds(len(b), len(_words(v)), threshold) for _, b, v in named])
     blocks = F.filter(F.transform(F.split("t", BLOCK_CUT, -1), normal), lambda u: u != "")
     pieces = F.concat(F.array("t"), *[F.split("t", cut, -1) for cut in (*CUTS, WRAPPED_CUT)])
     units = some.select("doc_id", F.translate("text", _UPPER, _LOWER).alias("t")).select(
-        "doc_id", F.array_distinct(F.concat(F.transform(pieces, normal), _runs(blocks, ranges))).alias("units")
+        "doc_id", F.filter(F.array_distinct(F.concat(F.transform(pieces, normal), _runs(blocks, ranges))), may).alias("units")
     )
     grams = units.select(
         "doc_id",
@@ -181,31 +216,39 @@ def scan(
             "w -> array_distinct(transform(sequence(1, size(w) - 1), i -> concat(w[i - 1], ' ', w[i]))))"
         ).alias("grams"),
     )
-    table = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("license"),
-                F.array(*map(F.lit, b)).alias("t"),
-                F.lit(bounds(len(b), threshold)[0]).alias("least"),
-                F.lit(bounds(len(b), threshold)[1]).alias("most"),
-            )
-            for name, b in (named or {"": [""]}).items()
-        ]
-    )
+    quoted = lambda x: "'" + x.replace("'", "\\'") + "'"
+    entries = [
+        f"named_struct('license', {quoted(k)}, 't', split({quoted('|'.join(b))}, '[|]'), 'least', {least}, 'most', {most})"
+        for (k, b, _), (least, most) in zip(named, sizes, strict=True)
+    ]
+    table = F.expr(f"array({', '.join(entries)})")
+    of_size: list[list[int]] = [[] for _ in range(INDEXED + 1)]
+    for i, (least, most) in enumerate(sizes):
+        for n in range(least, min(most, INDEXED) + 1):
+            of_size[n].append(i + 1)
+    index = F.expr("array(" + ", ".join(f"cast(array({', '.join(map(str, x))}) as array<int>)" for x in of_size) + ")")
+    over = [i for i, (_, most) in enumerate(sizes) if most > INDEXED]
+    longs = F.expr(f"array({', '.join(entries[i] for i in over)})" if over else f"filter(array({entries[0]}), x -> false)")
 
     def compared(b: Column) -> Column:
-        fit = F.filter(table, lambda t: F.size(b).between(t["least"], t["most"]))
-        return F.transform(
+        """The templates that a unit reaches and is most like."""
+        by_size = F.transform(F.element_at(index, F.size(b) + 1), lambda i: F.element_at(table, i))
+        fit = F.when(F.size(b) <= INDEXED, by_size).otherwise(F.filter(longs, lambda t: F.size(b).between(t["least"], t["most"])))
+        dice = F.transform(
             fit,
             lambda t: F.struct(
                 t["license"].alias("license"),
                 (2.0 * F.size(F.array_intersect(b, t["t"])) / (F.size(b) + F.size(t["t"]))).alias("dice"),
             ),
         )
+        # one struct in an array, so that the coefficients are counted once
+        each = F.transform(
+            F.array(F.filter(dice, lambda m: m["dice"] >= threshold)),
+            lambda x: F.array_distinct(F.filter(x, lambda m: m["dice"] == F.array_max(F.transform(x, lambda y: y["dice"])))),
+        )
+        return F.flatten(each)
 
-    found = grams.select(
-        "doc_id", F.filter(F.flatten(F.transform("grams", compared)), lambda m: m["dice"] >= threshold).alias("found")
-    ).where(F.size("found") > 0)
+    found = grams.select("doc_id", F.flatten(F.transform("grams", compared)).alias("found")).where(F.size("found") > 0)
     names = F.array_distinct(F.transform("found", lambda m: m["license"]))
 
     def best(name: Column) -> Column:
@@ -229,7 +272,7 @@ def _sql_list(values: list[str]) -> str:
 
 
 #: DuckDB SQL for ``digest`` over ``documents``, without any pruning, and
-#: without the runs of blocks and the wrapped sentences.
+#: without the runs of blocks, the wrapped sentences and ``licenses.MORE``.
 ORACLE = f"""
 WITH d AS (
   SELECT doc_id, translate(text, '{_UPPER}', '{_LOWER}') AS t FROM documents),

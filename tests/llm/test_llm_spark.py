@@ -122,6 +122,25 @@ def test_license_scan_finds_licences_of_several_paragraphs_inside_a_text(spark):
     assert {(r.doc_id, r.license, r.dice) for r in license_scan.scan(docs).collect()} == {(0, "MIT", 1.0), (1, "GPL-3.0 header", 1.0), (2, "MIT notice", 1.0)}
 
 
+def test_license_scan_knows_the_common_licences(spark):
+    more = license_scan.MORE
+    texts = {
+        k: more[k][0] for k in ("BSD-2-Clause", "BSD-3-Clause", "Unlicense", "Apache-2.0", "GPL-2.0", "GPL-3.0", "AGPL-3.0", "LGPL-2.1", "MPL-2.0", "CC0-1.0")
+    }
+    texts |= {k: more[k][0] for k in ("GPL-2.0 header", "LGPL-2.1 header", "AGPL-3.0 header", "MPL-2.0 header")}
+    texts |= {
+        "MIT notice": "This project is licensed under the MIT License",
+        "CC-BY-SA-4.0 notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "GPL-2.0 notice": "This work is licensed under the GNU General Public License, version 2.",
+        "GPL-3.0 notice": "SPDX-License-Identifier: GPL-3.0-or-later",
+    }
+    around = "Words that are not of it. " * 9
+    docs = spark.createDataFrame([(k, f"{around}\n\n{t}\n\n{around}") for k, t in texts.items()], "doc_id string, text string")
+    got = {(r.doc_id, r.license) for r in license_scan.scan(docs).collect() if r.dice > 0.99}
+    assert {(k, k) for k in texts} <= got
+    assert all(k == x or x.endswith(("notice", "header")) for k, x in got)  # a full text ends with how to apply it
+
+
 def test_substring_dedup_on_odd_rows(odd):
     assert substring_dedup.spans(odd).count() == 0  # rows that repeat rank alike
     done = substring_dedup.dedup(odd).collect()
