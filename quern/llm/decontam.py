@@ -280,7 +280,7 @@ def _search(shared, last: bool, shard_bytes: int, batches: Iterator[pa.RecordBat
 def blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_bytes: int) -> tuple[int, Iterator[Phrases]]:
     """How many blocks of about ``block_bytes`` of text the benchmark takes,
     and the phrases of each, one block at a time on the driver."""
-    rows = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).alias("text"))
+    rows = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).alias("text")).distinct()
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-int(size) // block_bytes))
     part = lambda b: rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == b)

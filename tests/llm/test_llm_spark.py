@@ -188,6 +188,14 @@ def test_decontamination_on_odd_rows(spark, odd):
     assert decontam.decontaminate(whole, spark.createDataFrame([(1, "only this")], "item_id long, text string")).count() == 0
 
 
+def test_repeated_items_fill_no_block(spark, monkeypatch):
+    rows = [(1, "a b c d")] * 300 + [(i, f"w{i} x{i}") for i in range(2, 30)]
+    read = []
+    monkeypatch.setattr(decontam, "phrases_of", lambda items, window: read.append(items))
+    n, parts = decontam.blocks(spark.createDataFrame(rows, "item_id long, text string"), "item_id", "text", 3, 100)
+    assert len(list(parts)) == n and sorted(x for part in read for x in part) == sorted(set(rows))
+
+
 def test_word_pieces_on_odd_rows(odd):
     got = wordpiece.token_counts(odd, ["w", "one"], ["1"]).collect()
     assert len(got) == len(ROWS) and all(r.n_pieces >= r.n_unknown for r in got)
