@@ -6,12 +6,27 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, decontam, html_text, license_scan, line_dedup, minhash, quality, repetition, substring_dedup, wordpiece
+from quern.llm import (
+    bpe,
+    decontam,
+    html_text,
+    license_scan,
+    line_dedup,
+    minhash,
+    quality,
+    ranked_search,
+    repetition,
+    substring_dedup,
+    token_file,
+    wordpiece,
+    zone_clusters,
+)
 from quern.llm.common import table
 
 #: Parameters of the registered queries.
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_byte_bpe(spark, sf_dir):
@@ -63,6 +78,18 @@ def op10_line_dedup(spark, sf_dir):
     return line_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op11_token_file(spark, sf_dir):
+    return token_file.read(spark, token_file.write(table(spark, sf_dir, "documents"), TOKENIZER), digests=True)
+
+
+def op12_ranked_search(spark, sf_dir):
+    return ranked_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_zone_clusters(spark, sf_dir):
+    return zone_clusters.clusters(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -76,6 +103,9 @@ QUERIES = {
         op8_minhash,
         op9_quality,
         op10_line_dedup,
+        op11_token_file,
+        op12_ranked_search,
+        op13_zone_clusters,
     )
 }
 
@@ -83,4 +113,6 @@ ORACLES = {
     "op2_license_scan": license_scan.ORACLE,
     "op6_decontamination": decontam.ORACLE,
     "op10_line_dedup": line_dedup.ORACLE,
+    "op12_ranked_search": ranked_search.ORACLE,
+    "op13_zone_clusters": zone_clusters.ORACLE,
 }
