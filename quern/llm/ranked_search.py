@@ -91,9 +91,6 @@ class Builder:
         self.ids.append(doc_id)
         self.lens.append(n)
 
-    def full(self) -> bool:
-        return self.n_postings >= SEGMENT_POSTINGS or len(self.ids) >= SEGMENT_DOCS
-
     def segment(self) -> pa.RecordBatch:
         """The documents that hold a query's term with their postings, and the
         counts of all documents."""
@@ -115,12 +112,12 @@ class Builder:
         return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, _KINDS, strict=True)], names=_NAMES)
 
 
-def _index(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _index(shared, segment_docs: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     builder = Builder(shared.value)
     for batch in slices(batches, "text", SLICE_BYTES):
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.large_binary()), strict=True):
             builder.add(doc_id, text.as_py() or b"")
-            if builder.full():
+            if builder.n_postings >= SEGMENT_POSTINGS or len(builder.ids) >= segment_docs:
                 yield builder.segment()
     if builder.ids:
         yield builder.segment()
@@ -237,7 +234,7 @@ def _merged(found: DataFrame, k: int, salts: int) -> DataFrame:
 
 def rank(
     docs: DataFrame, items: DataFrame, *, k: int = TOP, id_col: str = "doc_id", text_col: str = "text",
-    item_col: str = "item_id", item_text_col: str = "text", query_bytes: int = QUERY_BYTES,
+    item_col: str = "item_id", item_text_col: str = "text", query_bytes: int = QUERY_BYTES, segment_docs: int = SEGMENT_DOCS,
 ) -> DataFrame:
     """``item_id, rank, doc_id, score``: for each item the ``k`` documents of the
     highest score above 0, all if fewer; equal scores go by ascending id, null ids last.
@@ -263,7 +260,7 @@ def rank(
     path, schema = f"{tables.root}/ranked", f"item_id {kind}, rank int, doc_id bigint, score bigint"
     for block in range(n_blocks):
         for part in _blocks(asked.where(F.col("block") == block).orderBy("item_id", "text"), query_bytes):
-            _block(texts, part, kind, k, tables, path)
+            _block(texts, part, kind, k, segment_docs, tables, path)
     tables.drop(asked)
     return spark.read.schema(schema).parquet(path) if _written(spark, path) else spark.createDataFrame([], schema)
 
@@ -286,13 +283,13 @@ def _blocks(items: DataFrame, query_bytes: int) -> Iterator[list]:
         yield rows
 
 
-def _block(texts: DataFrame, items: list, kind: str, k: int, tables: ScratchTables, path: str) -> None:
+def _block(texts: DataFrame, items: list, kind: str, k: int, segment_docs: int, tables: ScratchTables, path: str) -> None:
     """Ranks a block of items and appends the rows to the table at ``path``."""
     spark = texts.sparkSession
     vocabulary: dict[bytes, int] = {}
     asked = [sorted({vocabulary.setdefault(t, len(vocabulary)) for x in terms_of(row.text.encode()) for t in x}) for row in items]
     words = spark.sparkContext.broadcast(vocabulary)
-    index = tables.put(map_arrow(texts, partial(_index, words), _SEGMENT), "index")
+    index = tables.put(map_arrow(texts, partial(_index, words, segment_docs), _SEGMENT), "index")
     n, total = index.agg(F.coalesce(F.sum("n_filled"), F.lit(0)), F.coalesce(F.sum("n_terms"), F.lit(0))).first()
     counts = map_arrow(index.select("terms", "ends"), _frequencies, "term int, df bigint").groupBy("term").agg(F.sum("df").alias("df"))
     df = {r.term: r.df for r in counts.collect()}  # as many rows as the block has terms

@@ -10,8 +10,8 @@ A file holds a run of documents in ascending order of id:
     footer       sizes of the sections, counts, lowest id, magic (``_FOOTER``)
 
 The documents are dealt into ranges of their ids and sorted; each task encodes
-its range and streams it into files that end at ``MAX_FILE_IDS`` ids or
-``MAX_FILE_DOCS`` documents. A file's name is new for every attempt of a task,
+its range and streams it into files that end at ``file_ids`` ids or
+``file_docs`` documents. A file's name is new for every attempt of a task,
 and the manifest, a Parquet table that Spark commits, names the files that
 count; what a lost attempt leaves is never read. A document's end is found by
 select on the bit vector, so any run of documents is read without the rest.
@@ -140,9 +140,6 @@ class Writer:
         else:
             self.doc_ids.append(doc_id)
 
-    def full(self) -> bool:
-        return self.n_ids >= MAX_FILE_IDS or len(self.ends) >= MAX_FILE_DOCS
-
     def close(self) -> None:
         ends = encode(np.array(self.ends, np.uint64))
         base = self.doc_ids[0] if self.doc_ids else 0
@@ -206,7 +203,7 @@ class TokenFile:
 # --------------------------------------------------------------------- Spark
 
 
-def _write(root: str, shared, end_id: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _write(root: str, shared, end_id: int, most: tuple[int, int], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
     encoder, part = _encoder(shared.value), TaskContext.get().partitionId()
@@ -218,7 +215,7 @@ def _write(root: str, shared, end_id: int, batches: Iterator[pa.RecordBatch]) ->
                 if writer is None:
                     writer = Writer(f"{root}/{part:06d}-{len(done):04d}-{uuid.uuid4().hex}.tok", encoder.dtype)
                 writer.add(doc_id, encoder.encode(text or "") + end)
-                if writer.full():
+                if writer.n_ids >= most[0] or len(writer.ends) >= most[1]:
                     start, writer = _closed(writer, part, start, done)
         if writer is not None:
             _, writer = _closed(writer, part, start, done)
@@ -238,8 +235,9 @@ def _closed(writer: Writer, part: int, start: int, done: list) -> tuple[int, Non
 
 
 def write(
-    docs: DataFrame, tokenizer: str, *, path: str | None = None, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text"
-) -> str:
+    docs: DataFrame, tokenizer: str, *, path: str | None = None, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
+    file_ids: int = MAX_FILE_IDS, file_docs: int = MAX_FILE_DOCS,
+) -> str:
     """Encodes all documents, each with ``end_id`` behind it, into files under
     ``path`` (a new folder of the shared checkpoint folder if not given) and
     returns that folder. ``tokenizer`` is a JSON file of the ``tokenizers``
@@ -261,7 +259,7 @@ def write(
     key = [F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("tie"), F.monotonically_increasing_id().alias("at")]
     rows = docs.select(F.col(text_col).cast("string").alias("text"), *key)
     dealt = rows.repartitionByRange("doc_id", "tie", "at").sortWithinPartitions("doc_id", "tie", "at").select("doc_id", "text")
-    map_arrow(dealt, partial(_write, root, spark.sparkContext.broadcast(data), end_id), MANIFEST).write.parquet(f"{path}/manifest")
+    map_arrow(dealt, partial(_write, root, spark.sparkContext.broadcast(data), end_id, (file_ids, file_docs)), MANIFEST).write.parquet(f"{path}/manifest")
     return path
 
 

@@ -3,8 +3,9 @@ maps.
 
 Vectors are ordered along a Hilbert curve through their coordinates on the
 ``AXES`` directions of largest variance and cut, in this order, into blocks of
-neighbours. A block keeps its vectors, their sum, and its box (least and
-largest component in each of the dimensions). In a round, bounds over the box
+neighbours. A block keeps its vectors, their sum, and its box: the least and
+largest coordinate on each of the principal directions (what parts clusters lies in
+few of them, so boxes are tighter there than by component). In a round, bounds over the box
 on the difference of two squared distances show which centroids cannot be
 nearest to any vector of the block (``candidates``). A block
 with one candidate adds its sum without a look at its vectors; the others are
@@ -83,16 +84,18 @@ def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
 
 
 def candidates(low: np.ndarray, high: np.ndarray, centroids: np.ndarray) -> np.ndarray:
-    """Numbers of the centroids that may be nearest to a vector of the box.
+    """Numbers of the centroids that may be nearest to a vector of the box
+    (all in coordinates on the same orthonormal directions).
 
     How much farther the centroid next to the box's middle is than another one
     is, as a difference of squared distances, linear in the vector, so over the
-    box it is largest in a corner, found for each dimension by itself. If even
-    there it is below 0, the other centroid is no candidate; one that can tie stays."""
-    low, high = low.astype(np.int64), high.astype(np.int64)
+    box it is largest in a corner, found for each direction by itself. If even
+    there it is below 0 by more than rounding can do, the other centroid is no
+    candidate; one that can tie stays."""
     middle = centroids[((2 * centroids - (low + high)) ** 2).sum(1).argmin()]
     more = lambda x: (x - middle) ** 2 - (x - centroids) ** 2
-    return np.flatnonzero(np.maximum(more(low), more(high)).sum(1) >= 0)
+    slack = 1e-9 * (1 + (np.maximum(np.abs(low), np.abs(high)) ** 2).sum() + (centroids**2).sum(1).max())
+    return np.flatnonzero(np.maximum(more(low), more(high)).sum(1) >= -slack)
 
 
 def nearest(q: np.ndarray, centroids: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -144,29 +147,29 @@ def _rows(a: np.ndarray) -> pa.Array:
     return pa.array([x.tobytes() for x in a], pa.binary())
 
 
-def _cut(dim: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(axes: np.ndarray, block: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks of the sorted vectors of a task."""
     ids, q = [], []
     for batch in batches:
         ids += batch.column("vec_id").to_pylist()
         q += batch.column("q").to_pylist()
-        if len(ids) >= 16 * BLOCK:
-            whole = len(ids) // BLOCK * BLOCK
-            yield _made(ids[:whole], q[:whole], dim)
+        if len(ids) >= 16 * block:
+            whole = len(ids) // block * block
+            yield _made(ids[:whole], q[:whole], axes, block)
             ids, q = ids[whole:], q[whole:]
     if ids:
-        yield _made(ids, q, dim)
+        yield _made(ids, q, axes, block)
 
 
-def _made(ids: list, rows: list[bytes], dim: int) -> pa.RecordBatch:
-    q = np.frombuffer(b"".join(rows), "<i4").reshape(-1, dim)
-    cuts = [slice(i, i + BLOCK) for i in range(0, len(ids), BLOCK)]
+def _made(ids: list, rows: list[bytes], axes: np.ndarray, block: int) -> pa.RecordBatch:
+    q = np.frombuffer(b"".join(rows), "<i4").reshape(-1, len(axes))
+    y = (q @ axes.T).astype("<f8")
+    cuts = [slice(i, i + block) for i in range(0, len(ids), block)]
     null = np.array([x is None for x in ids], bool)
     number = np.array([x or 0 for x in ids], "<i8")
-    sums = [q[c].sum(0, dtype=np.int64) for c in cuts]
     columns = [[x.tobytes() for x in xs] for xs in (
         [number[c] for c in cuts], [null[c] for c in cuts], [q[c] for c in cuts],
-        [q[c].min(0) for c in cuts], [q[c].max(0) for c in cuts], sums,
+        [y[c].min(0) for c in cuts], [y[c].max(0) for c in cuts], [q[c].sum(0, dtype=np.int64) for c in cuts],
     )]
     names = [x.split()[0] for x in _BLOCKS.split(", ")]
     return pa.RecordBatch.from_arrays(
@@ -174,18 +177,22 @@ def _made(ids: list, rows: list[bytes], dim: int) -> pa.RecordBatch:
     )
 
 
+def _among(row: dict, turned: np.ndarray) -> np.ndarray:
+    return candidates(np.frombuffer(row["low"], "<f8"), np.frombuffer(row["high"], "<f8"), turned)
+
+
 def _vectors(data: bytes, dim: int) -> np.ndarray:
     return np.frombuffer(data, "<i4").reshape(-1, dim).astype(np.int64)
 
 
-def _step(centroids: np.ndarray, inertia: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _step(centroids: np.ndarray, axes: np.ndarray, inertia: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row a centroid: number of its vectors, their sum, and the sum of
     their distances if asked for."""
-    k, dim = centroids.shape
+    (k, dim), turned = centroids.shape, centroids @ axes.T
     count, total, far = np.zeros(k, np.int64), np.zeros((k, dim), np.int64), [0] * k
     for batch in batches:
         for row in batch.to_pylist():
-            among = candidates(np.frombuffer(row["low"], "<i4"), np.frombuffer(row["high"], "<i4"), centroids)
+            among = _among(row, turned)
             if len(among) == 1 and not inertia:
                 count[among[0]] += row["n"]
                 total[among[0]] += np.frombuffer(row["total"], "<i8")
@@ -207,10 +214,11 @@ def _step(centroids: np.ndarray, inertia: bool, batches: Iterator[pa.RecordBatch
     )
 
 
-def _assigned(centroids: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _assigned(centroids: np.ndarray, axes: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    turned = centroids @ axes.T
     for batch in batches:
         for row in batch.to_pylist():
-            among = candidates(np.frombuffer(row["low"], "<i4"), np.frombuffer(row["high"], "<i4"), centroids)
+            among = _among(row, turned)
             own, d = nearest(_vectors(row["q"], centroids.shape[1]), centroids, among)
             ids = pa.array(np.frombuffer(row["ids"], "<i8"), mask=np.frombuffer(row["null_ids"], bool))
             yield pa.RecordBatch.from_arrays([ids, pa.array(own.astype(np.int32)), pa.array(d)], names=["vec_id", "cluster", "distance"])
@@ -219,14 +227,16 @@ def _assigned(centroids: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Itera
 # --------------------------------------------------------------------- Spark
 
 
-def blocks(vectors: DataFrame, tables: ScratchTables, dim: int, scale: float) -> DataFrame:
-    """The written blocks of ``vec_id, v``, in Hilbert order within each task."""
+def blocks(vectors: DataFrame, tables: ScratchTables, dim: int, scale: float, block: int) -> tuple[DataFrame, np.ndarray]:
+    """The written blocks of ``vec_id, v``, in Hilbert order within each task,
+    and the directions of their boxes, one a row."""
     moments = map_arrow(vectors.select("v"), partial(_moments, dim, scale), "at int, value double").groupBy("at").agg(F.sum("value"))
     got = dict(map(tuple, moments.collect()))  # 1 + dim + dim**2 rows
     flat = np.array([got.get(i, 0.0) for i in range(1 + dim + dim * dim)])
     n, mean = max(flat[0], 1), flat[1 : dim + 1] / max(flat[0], 1)
     spread = flat[dim + 1 :].reshape(dim, dim) / n - np.outer(mean, mean)
-    axes = np.linalg.eigh((spread + spread.T) / 2)[1].T[::-1][:AXES]
+    turn = np.linalg.eigh((spread + spread.T) / 2)[1].T[::-1]
+    axes = turn[:AXES]
     extent = map_arrow(vectors.select("v"), partial(_extent, axes, dim, scale), "at int, low double, high double")
     ends = extent.groupBy("at").agg(F.min("low"), F.max("high")).orderBy("at").collect()  # AXES rows
     low = np.array([x[1] for x in ends] if ends else np.zeros(len(axes)))
@@ -236,7 +246,7 @@ def blocks(vectors: DataFrame, tables: ScratchTables, dim: int, scale: float) ->
     # The id and the row's place part vectors that are equal.
     key = ["place", "vec_id", "at"]
     dealt = placed.withColumn("at", F.monotonically_increasing_id()).repartitionByRange(*key).sortWithinPartitions(*key)
-    return tables.put(map_arrow(dealt.select("vec_id", "q"), partial(_cut, dim), _BLOCKS), "blocks")
+    return tables.put(map_arrow(dealt.select("vec_id", "q"), partial(_cut, turn, block), _BLOCKS), "blocks"), turn
 
 
 def first_centroids(vectors: DataFrame, k: int, dim: int, scale: float) -> np.ndarray:
@@ -248,9 +258,9 @@ def first_centroids(vectors: DataFrame, k: int, dim: int, scale: float) -> np.nd
     return np.array([r.q for r in first.collect()], np.int64).reshape(-1, dim)
 
 
-def _sums(of: DataFrame, centroids: np.ndarray, inertia: bool) -> dict[int, tuple[int, list[int], int]]:
+def _sums(of: DataFrame, centroids: np.ndarray, axes: np.ndarray, inertia: bool) -> dict[int, tuple[int, list[int], int]]:
     """Count, component sums and inertia of each centroid, exact (decimals)."""
-    step = map_arrow(of, partial(_step, centroids, inertia), "cluster int, n bigint, total array<bigint>, far string")
+    step = map_arrow(of, partial(_step, centroids, axes, inertia), "cluster int, n bigint, total array<bigint>, far string")
     sums = [F.sum(F.col("total")[i].cast("decimal(38,0)")).alias(f"s{i}") for i in range(centroids.shape[1])]
     got = step.groupBy("cluster").agg(F.sum("n").alias("n"), F.sum(F.col("far").cast("decimal(38,0)")).alias("far"), *sums)
     return {r[0]: (r[1], [int(x) for x in r[3:]], int(r[2])) for r in got.collect()}  # one row a centroid
@@ -258,7 +268,7 @@ def _sums(of: DataFrame, centroids: np.ndarray, inertia: bool) -> dict[int, tupl
 
 def clusters(
     vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, rounds: int = ROUNDS,
-    dim: int = DIM, scale: int = SCALE,
+    dim: int = DIM, scale: int = SCALE, block: int = BLOCK,
 ) -> DataFrame:
     """``vec_id, cluster, distance, cluster_inertia, inertia, centroid_sha256``
     of every kept vector after ``rounds`` rounds and a last assignment.
@@ -274,19 +284,19 @@ def clusters(
     tables = ScratchTables(spark, "zones")
     vectors = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v"))
     centroids = first_centroids(vectors, k, dim, scale)
-    of = blocks(vectors, tables, dim, scale)
+    of, axes = blocks(vectors, tables, dim, scale, block)
     if not len(centroids):
         centroids = np.zeros((1, dim), np.int64)
     for _ in range(rounds):
-        got = _sums(of, centroids, False)
-        centroids = np.array([[s // n for s in total] if (n := got[c][0]) else old for c, (old, total) in
-                              enumerate((centroids[c].tolist(), got[c][1]) for c in range(len(centroids)))], np.int64) if got else centroids
-    last = _sums(of, centroids, True)
+        got = _sums(of, centroids, axes, False)
+        moved = [[x // got[c][0] for x in got[c][1]] if c in got and got[c][0] else old for c, old in enumerate(centroids.tolist())]
+        centroids = np.array(moved, np.int64)
+    last = _sums(of, centroids, axes, True)
     whole = sum(x[2] for x in last.values())
     digests = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids.tolist()]
     facts = [(c, last[c][2] if c in last else 0, whole, digests[c]) for c in range(len(centroids))]
     named = spark.createDataFrame(facts, "cluster int, cluster_inertia bigint, inertia bigint, centroid_sha256 string")
-    found = map_arrow(of, partial(_assigned, centroids), "vec_id bigint, cluster int, distance bigint")
+    found = map_arrow(of, partial(_assigned, centroids, axes), "vec_id bigint, cluster int, distance bigint")
     return found.join(F.broadcast(named), "cluster").select(
         "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
     )

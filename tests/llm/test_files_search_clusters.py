@@ -93,11 +93,9 @@ def _plain(rows, tokenizer):
 
 
 @pytest.mark.parametrize(("ids", "docs"), [(1 << 26, 1 << 18), (40, 3)])
-def test_token_files_round_trip(spark, tokenizer, monkeypatch, ids, docs):
-    monkeypatch.setattr(token_file, "MAX_FILE_IDS", ids)
-    monkeypatch.setattr(token_file, "MAX_FILE_DOCS", docs)
+def test_token_files_round_trip(spark, tokenizer, ids, docs):
     df = spark.createDataFrame(ODD, "doc_id long, text string, start int").withColumn("path", F.lit(1)).repartition(3)
-    path = token_file.write(df, catalog.TOKENIZER)
+    path = token_file.write(df, catalog.TOKENIZER, file_ids=ids, file_docs=docs)
     rows = sorted(token_file.read(spark, path, digests=True).collect(), key=lambda r: r.start)
     want = _plain(ODD, tokenizer)
     assert [r.doc_id for r in rows] == [x[0] for x in want]
@@ -168,7 +166,7 @@ def _sorted(rows):
 
 
 @pytest.mark.parametrize("query_bytes", [1 << 20, 60])
-def test_ranked_search_against_brute_force(spark, monkeypatch, query_bytes):
+def test_ranked_search_against_brute_force(spark, query_bytes):
     rng = random.Random(7)
     words = [f"w{i}" for i in range(12)] + ["É", "ünter", "K2", "Don't"]
     docs = [(i, " ".join(rng.choices(words, k=rng.randint(1, 40)))) for i in range(150)]
@@ -180,8 +178,7 @@ def test_ranked_search_against_brute_force(spark, monkeypatch, query_bytes):
     asked = spark.createDataFrame(items, "item_id long, text string").withColumn("rank", F.lit(1))
     want = _sorted(_ranking(docs, items, 5))
     for segment in (1 << 16, 20):
-        monkeypatch.setattr(ranked_search, "SEGMENT_DOCS", segment)
-        got = ranked_search.rank(df.repartition(3), asked, k=5, query_bytes=query_bytes)
+        got = ranked_search.rank(df.repartition(3), asked, k=5, query_bytes=query_bytes, segment_docs=segment)
         assert got.columns == ["item_id", "rank", "doc_id", "score"]
         assert _sorted(map(tuple, got.collect())) == want
 
@@ -257,20 +254,19 @@ def _vectors(n, dim=64):
 
 
 @pytest.mark.parametrize("block", [256, 4])
-def test_zone_clusters_against_brute_force(spark, monkeypatch, block):
-    monkeypatch.setattr(zone_clusters, "BLOCK", block)
+def test_zone_clusters_against_brute_force(spark, block):
     rows = _vectors(220)
     rows += [rows[3], rows[3], (900, rows[4][1]), (901, None), (902, [1.0] * 63), (903, [1.0] * 65), (904, [None] + [1.0] * 63)]
     rows += [(905, [float("nan")] * 64), (906, [float("inf")] + [0.0] * 63), (None, rows[9][1]), (907, [0.0] * 64), (908, [-50.25] * 64), (909, [])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("cluster", F.lit("x")).withColumn("place", F.lit(1))
-    got = zone_clusters.clusters(df.repartition(3))
-    assert _sorted(map(tuple, got.collect())) == _sorted(_kmeans(rows))
+    got = zone_clusters.clusters(df.repartition(3), block=block, rounds=4)
+    assert _sorted(map(tuple, got.collect())) == _sorted(_kmeans(rows, rounds=4))
 
 
 @pytest.mark.parametrize("rows", [[], [(1, [0.5] * 64)], _vectors(5), [(4, [1.0] * 64)] * 9])
 def test_zone_clusters_of_few_vectors(spark, rows):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    assert _sorted(map(tuple, zone_clusters.clusters(df).collect())) == _sorted(_kmeans(rows))
+    assert _sorted(map(tuple, zone_clusters.clusters(df, rounds=2).collect())) == _sorted(_kmeans(rows, rounds=2))
 
 
 def test_zone_clusters_refuse_components_out_of_range(spark):
@@ -292,7 +288,9 @@ def test_candidates_hold_every_nearest_centroid():
     for _ in range(300):
         q = rng.integers(-20, 20, (rng.integers(1, 6), 3)) + rng.integers(-30, 30, 3)
         centroids = rng.integers(-40, 40, (5, 3))
-        among = zone_clusters.candidates(q.min(0), q.max(0), centroids)
+        turn = np.linalg.qr(rng.normal(size=(3, 3)))[0]
+        y = q @ turn.T
+        among = zone_clusters.candidates(y.min(0), y.max(0), centroids @ turn.T)
         own, d = zone_clusters.nearest(q, centroids, among)
         every = ((q[:, None] - centroids) ** 2).sum(2)
         assert (own == every.argmin(1)).all() and (d == every.min(1)).all()
@@ -301,8 +299,9 @@ def test_candidates_hold_every_nearest_centroid():
 def test_boxes_leave_few_candidates(spark):
     df = spark.createDataFrame(_vectors(3000), "vec_id long, embedding array<float>")
     tables = ScratchTables(spark, "test-zones")
-    centres = np.floor(1024 * np.array([v for _, v in _vectors(5)])).astype(np.int64)
-    rows = zone_clusters.blocks(df.select("vec_id", F.col("embedding").alias("v")), tables, 64, 1024).collect()
-    left = [len(zone_clusters.candidates(np.frombuffer(r.low, "<i4"), np.frombuffer(r.high, "<i4"), centres)) for r in rows]
-    assert sum(r.n for r in rows) == 3000 and sum(n == 1 for n in left) >= 5
+    centres = np.floor(1024 * np.random.default_rng(3000).normal(0, 1, (5, 64))).astype(np.int64)
+    of, axes = zone_clusters.blocks(df.select("vec_id", F.col("embedding").alias("v")), tables, 64, 1024, 64)
+    rows = [r.asDict() for r in of.collect()]
+    left = [len(zone_clusters._among(r, centres @ axes.T)) for r in rows]
+    assert sum(r["n"] for r in rows) == 3000 and sum(n == 1 for n in left) > len(left) / 2
     tables.clear()
