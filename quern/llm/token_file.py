@@ -16,14 +16,15 @@ and the manifest, a Parquet table that Spark commits, names the files that
 count; what a lost attempt leaves is never read. A document's end is found by
 select on the bit vector, so any run of documents is read without the rest.
 
-The tokenizer runs on units: a unit begins where white space follows a
-character that is none. The split pattern of byte-level BPE never runs from such a
-character into white space, so units are encoded one by one, each only
-once a task.
+The tokenizer runs on units of text that end where white space follows a
+character that is none: the split pattern of byte-level BPE never runs across
+such a place, so a unit has the same ids wherever it stands. Each is encoded once a slice, or once
+a task while it is remembered, and the ids are put together by numpy.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -34,6 +35,7 @@ from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -45,16 +47,18 @@ MAX_FILE_IDS = 1 << 26
 MAX_FILE_DOCS = 1 << 18
 READ_IDS = 1 << 21  # ids that a reader holds, or one document
 MAX_TOKENIZER_BYTES = 64 << 20  # of a tokenizer's file; it is broadcast
-MAX_UNITS = 1 << 19  # units whose ids a task remembers
+MAX_UNITS = 1 << 20  # units whose ids a task remembers
 LONG_UNIT = 64  # longer ones are not remembered
-SLICE_BYTES = 8 << 20
+TOGETHER = 20_000  # units that are encoded as one text
+SLICE_BYTES = 16 << 20
 _FOOTER = struct.Struct("<QQQQQqB7x8s")
 _MAGIC = b"QRNTOKEF"
-#: White space other than space and line break, by any definition.
-_ODD_SPACE = re.compile("[\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u180e\\u2000-\\u200f\\u2028\\u2029\\u202f\\u205f\\u2060\\u3000\\ufeff]")
-_UNIT = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-_SAFE_CUT = re.compile(r"(?<=[0-9A-Za-z])(?=[ \n])")
-CHUNK_CHARS = 1 << 16
+#: White space by any definition (more does no harm).
+_SPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff"
+_CUT = re.compile(rf"[^{_SPACE}](?= )")
+#: A space at the start or after white space, for Arrow.
+_SPACED = re.sub(r"\\u(\w{4})", r"\\x{\1}", rf"[{_SPACE}] |\A ")
+_SPACES = frozenset(x for x in map(chr, range(0x10000)) if re.match(f"[{_SPACE}]", x))
 
 MANIFEST = "part int, seq int, path string, n_docs bigint, n_ids bigint, part_start bigint"
 
@@ -73,36 +77,92 @@ class UnitEncoder:
         self.tokenizer = Tokenizer.from_str(data.decode())
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        kind = json.loads(data)
+        pre = kind.get("pre_tokenizer") or {}
+        plain = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
+        #: Whether texts may be cut into units; else each text is encoded whole.
+        self.cuts = plain and not kind.get("normalizer") and kind["model"]["type"] == "BPE"
         self.known: dict[str, bytes] = {}
+        # a token of byte-level BPE is written with one character a byte
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.sizes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        self.sizes[list(vocabulary.values())] = [len(x) for x in vocabulary]
 
     def _run(self, texts: list[str]) -> list[bytes]:
         got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, self.dtype).tobytes() for x in got]
 
-    def encode(self, text: str) -> bytes:
-        if _ODD_SPACE.search(text):
-            return b"".join(self._run(list(_chunks(text))))
-        units = _UNIT.findall(text)
-        fresh = list(set(units).difference(self.known))
-        if not fresh:
-            return b"".join(map(self.known.__getitem__, units))
+    def _run_units(self, units: list[str]) -> list[bytes]:
+        """Ids of units that begin with a space and end with another character
+        than white space, many of them as one text, which is cut up again by the lengths of the tokens."""
+        out, width = [], self.dtype.itemsize
+        for i in range(0, len(units), TOGETHER):
+            some = units[i : i + TOGETHER]
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, self.dtype)
+            ends = np.cumsum(self.sizes[ids])
+            want = np.cumsum([len(x.encode()) for x in some])
+            at = np.searchsorted(ends, want)
+            if at[-1] != len(ids) - 1 or (ends[at] != want).any():
+                raise AssertionError("a token runs across two units")
+            raw, cuts = ids.tobytes(), [0, *((at + 1) * width).tolist()]
+            out += [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        return out
+
+    def _look_up(self, units: list[str]) -> list[bytes]:
+        """Ids of each of the units, all different."""
+        fresh = [u for u in units if u not in self.known]
         if len(self.known) + len(fresh) > MAX_UNITS:
             self.known.clear()
-            fresh = list(set(units))
-        here = dict(zip(fresh, self._run(fresh), strict=True))
-        out = b"".join([here[u] if u in here else self.known[u] for u in units])
-        self.known.update((u, x) for u, x in here.items() if len(u) <= LONG_UNIT)
+            fresh = units
+        # A unit can stand among others if it begins with a space and does not end with white space.
+        inner = [u for u in fresh if u[:1] == " " and u[-1] not in _SPACES]
+        other = [u for u in fresh if not u or u[0] != " " or u[-1] in _SPACES]
+        self.known.update(zip(inner, self._run_units(inner), strict=True))
+        self.known.update(zip(other, self._run(other), strict=True))
+        out = [self.known[u] for u in units]
+        for u in fresh:
+            if len(u) > LONG_UNIT:
+                del self.known[u]
         return out
 
-
-def _chunks(text: str) -> Iterator[str]:
-    """The text in pieces cut only in front of a space or line break that
-    follows a letter or digit."""
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text (null as empty)."""
+        if not self.cuts:
+            return self._run([x or "" for x in texts.to_pylist()])
+        # Where each space follows another character than white space, a text is cut at its spaces by Arrow.
+        texts = texts.fill_null("").cast(pa.large_string())
+        plain = ~pc.match_substring_regex(texts, _SPACED).to_numpy(zero_copy_only=False).astype(bool)
+        words = pc.split_pattern(texts.filter(pa.array(plain)), " ")
+        flat = words.values.dictionary_encode()
+        index, ends = flat.indices.to_numpy().astype(np.int64), words.offsets.to_numpy()
+        keys = {" " + w: i for i, w in enumerate(flat.dictionary.to_numpy(zero_copy_only=False).tolist())}
+        put = lambda u: keys.setdefault(u, len(keys))
+        first = ends[:-1]
+        index[first] = [put(w) for w in words.values.take(pa.array(first)).to_pylist()]
+        rest = [[put(u) for u in _units(x)] for x in texts.filter(pa.array(~plain)).to_pylist()]
+        ids = self._look_up(list(keys))
+        sizes = np.array([len(x) for x in ids], np.int64) // self.dtype.itemsize
+        flat_ids = np.frombuffer(b"".join(ids), self.dtype)
+        starts = np.cumsum(sizes) - sizes
+        cut, other = zip(ends, ends[1:], strict=False), iter(rest)
+        return [self._joined(index[slice(*next(cut))] if p else np.array(next(other), np.int64), flat_ids, starts, sizes) for p in plain]
+
+    def _joined(self, index: np.ndarray, ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> bytes:
+        n = sizes[index]
+        ends = np.cumsum(n)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[index] - (ends - n), n)
+        return ids[at].tobytes()
+
+
+def _units(text: str) -> Iterator[str]:
+    """A text cut in front of each space that follows another character than
+    white space."""
     start = 0
-    while len(text) - start > CHUNK_CHARS and (m := _SAFE_CUT.search(text, start + CHUNK_CHARS)):
-        yield text[start : m.start()]
-        start = m.start()
-    yield text[start:]
+    for m in _CUT.finditer(text):
+        yield text[start : m.end()]
+        start = m.end()
+    if start < len(text):
+        yield text[start:]
 
 
 @lru_cache(maxsize=2)
@@ -211,10 +271,10 @@ def _write(root: str, shared, end_id: int, most: tuple[int, int], batches: Itera
     done, writer, start = [], None, 0
     try:
         for batch in slices(batches, "text", SLICE_BYTES):
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text")), strict=True):
                 if writer is None:
                     writer = Writer(f"{root}/{part:06d}-{len(done):04d}-{uuid.uuid4().hex}.tok", encoder.dtype)
-                writer.add(doc_id, encoder.encode(text or "") + end)
+                writer.add(doc_id, ids + end)
                 if writer.n_ids >= most[0] or len(writer.ends) >= most[1]:
                     start, writer = _closed(writer, part, start, done)
         if writer is not None:

@@ -10,6 +10,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,26 +55,45 @@ def test_elias_fano_is_small_and_wants_order():
         encode(np.array([2, 1], np.uint64))
 
 
-def test_units_give_the_ids_of_whole_texts(tokenizer):
+def _ids(encoder, texts):
+    return [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(pa.array(texts, pa.string()))]
+
+
+@pytest.fixture
+def encoder():
     with open(catalog.TOKENIZER, "rb") as f:
-        encoder = token_file.UnitEncoder(f.read())
+        return token_file.UnitEncoder(f.read())
+
+
+def test_units_give_the_ids_of_whole_texts(tokenizer, encoder):
     rng = random.Random(5)
-    parts = [" ", "  ", "\n", "\n\n ", "\t", "\r\n", "a", "Zeta", "don't", "'s", "12", "3.5", "!?", "é", "中文", "　", "\xa0", "\x1c", "<|endoftext|>", "x" * 70, "🙂", "​", "\x85"]
+    parts = [" ", "  ", "\n", "\n\n ", "\t", "\r\n", "a", "Zeta", "don't", "'s", "12", "3.5", "!?", "é", "中文", "\u3000", "\xa0", "\x1c", "<|endoftext|>", "x" * 70, "🙂", "\u200b", "\x85"]
     for size in (1, 2, 3, 8, 60):
-        for _ in range(300):
-            text = "".join(rng.choice(parts) for _ in range(size))
-            got = np.frombuffer(encoder.encode(text), encoder.dtype).tolist()
-            assert got == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
-    assert encoder.encode("") == b""
+        for few in (parts, [" a", " the", "b", "!", " 7", "\n", "'s", "\x1c"]):
+            texts = ["".join(rng.choice(few) for _ in range(size)) for _ in range(200)]
+            for text, got in zip(texts, _ids(encoder, texts), strict=True):
+                assert got == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+    assert _ids(encoder, ["", None, " "]) == [[], [], [220]] and _ids(encoder, []) == []
 
 
-def test_units_forgotten_and_long_runs(tokenizer, monkeypatch):
+def test_units_forgotten_and_long_runs(tokenizer, encoder, monkeypatch):
     monkeypatch.setattr(token_file, "MAX_UNITS", 3)
-    with open(catalog.TOKENIZER, "rb") as f:
+    monkeypatch.setattr(token_file, "TOGETHER", 2)
+    for text in ["one two three four five six", "two nine ten", "one two", " " * 200_000 + "x", "-" * 100_000, "a\tb " * 40_000, "x\n  y " * 9]:
+        assert _ids(encoder, [text]) == [tokenizer.encode(text, add_special_tokens=False).ids]
+        assert len(encoder.known) <= 7
+
+
+def test_other_tokenizers_take_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    with open(path, "rb") as f:
         encoder = token_file.UnitEncoder(f.read())
-    for text in ["one two three four five six", "two nine ten", "one two", " " * 200_000 + "x", "-" * 100_000, "a\tb " * 40_000]:
-        assert np.frombuffer(encoder.encode(text), encoder.dtype).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
-        assert len(encoder.known) <= 6
+    plain = Tokenizer.from_file(path)
+    texts = ["One two,  THREE's", "", "É\n x"]
+    assert not encoder.cuts and _ids(encoder, texts) == [plain.encode(x, add_special_tokens=False).ids for x in texts]
 
 
 ODD = [
