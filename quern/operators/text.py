@@ -38,7 +38,7 @@ def doc_term_counts(lines: DataFrame) -> DataFrame:
     A line is one row, so it is counted inside the row (sorted tokens, lengths
     of their runs) and nothing is shuffled.
     """
-    toks = lines.select("doc_id", "line_no", F.array_sort(tokenize(F.col("line"))).alias("t"))
+    toks = lines.select("doc_id", "line_no", F.sort_array(tokenize(F.col("line"))).alias("t"))
     runs = toks.select(
         "doc_id", "line_no", "t",
         F.expr("filter(sequence(0, size(t)), i -> i = size(t) OR i = 0 OR t[i] != t[i - 1])").alias("cut"),

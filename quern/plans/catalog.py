@@ -105,7 +105,8 @@ def parse_numbers(spark, sf_dir):
 
 
 def _lines(spark, sf_dir):
-    return lines_from_table(table(spark, sf_dir, "documents"), "doc_id", "text")
+    cores = spark.sparkContext.defaultParallelism
+    return lines_from_table(table(spark, sf_dir, "documents"), "doc_id", "text", partitions=cores)
 
 
 def text_lines(spark, sf_dir):

@@ -22,27 +22,40 @@ def spread(df: DataFrame, partitions: int) -> DataFrame:
     return df.withColumn("_row", F.monotonically_increasing_id()).repartition(partitions, "_row").select(*cols)
 
 
+def spread_few(df: DataFrame, partitions: int) -> DataFrame:
+    """``spread``, but only for a table of fewer files than ``partitions``: a
+    small file is one row group, so one task would do all the work on it. A
+    table of many files stays where it is read."""
+    return spread(df, partitions) if len(df.inputFiles()) < partitions else df
+
+
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """``id, value``: the lines of text files or directories, numbered from 0
     in the order of file path and place in the file, however the files are
     split.
 
-    The lines of every split are counted first (one extra scan without
-    shuffling a line); a line's number is the count before its split plus its
-    place in it. The table of splits is one small row for each and is written
-    to the scratch folder; it is broadcast if its rows fit the broadcast
-    threshold.
+    The splits of a text file follow settings that may change between a call
+    and an action (split size, cores). So one read decides: each line is
+    written once with its split and its place in it to the scratch folder, and
+    the count of the lines before its split, taken from that table, gives its
+    number. The table of splits is one small row for each and is written too;
+    it is broadcast if its rows fit the broadcast threshold. No line is
+    shuffled if they do.
     """
-    lines = spark.read.text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_start"),
-        F.monotonically_increasing_id().alias("_m"),
+    tables = ScratchTables(spark, "lines")
+    lines = tables.put(
+        spark.read.text(path).select(
+            "value",
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_start"),
+            F.monotonically_increasing_id().alias("_m"),
+        ),
+        "lines",
     )
     counted = lines.groupBy("_file", "_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_first"))
     before = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
     offset = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")
-    splits = ScratchTables(spark, "splits").put(counted.select("_file", "_start", offset.alias("_offset")), "splits")
+    splits = tables.put(counted.select("_file", "_start", offset.alias("_offset")), "splits")
     fits = splits.count() * SPLIT_ROW_BYTES <= broadcast_threshold(spark)
     return lines.join(F.broadcast(splits) if fits else splits, ["_file", "_start"]).select(
         (F.col("_m") + F.col("_offset")).alias("id"), "value"

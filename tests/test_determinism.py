@@ -64,3 +64,33 @@ def test_line_numbers_are_those_of_the_files(spark, tmp_path, split_size):
     for size in ("128m", "40b"):
         split_size(size)
         assert _rows(numbered_lines(spark, str(tmp_path))) == want
+
+
+@pytest.mark.parametrize(("before", "after"), [("100k", "37k"), ("37k", "100k"), ("128m", "9k")])
+def test_no_line_is_lost_when_splits_change_before_the_action(spark, tmp_path, split_size, before, after):
+    from quern.sources.text import read_lines
+    from quern.sources.vectors import read_points
+
+    (tmp_path / "lines.txt").write_text("".join(f"{i} {i * 7 % 1000}\n" for i in range(20_000)))
+    split_size(before)
+    lines, points = read_lines(spark, str(tmp_path)), read_points(spark, str(tmp_path))
+    split_size(after)
+    spark.conf.set("spark.sql.files.minPartitionNum", "11")
+    try:
+        want = [(i, f"{i} {i * 7 % 1000}") for i in range(20_000)]
+        assert _rows(lines.select("doc_id", "line")) == want
+        assert _rows(points.selectExpr("id", "p[0]", "p[1]")) == [(i, float(i), float(i * 7 % 1000)) for i in range(20_000)]
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
+def test_a_table_of_few_files_is_spread(spark, tmp_path):
+    from quern.sources.text import lines_from_table
+
+    rows = spark.createDataFrame([(i, f"a{i}\nb") for i in range(50)], "doc_id long, text string")
+    rows.repartition(1).write.parquet(str(tmp_path / "one"))
+    rows.repartition(6).write.parquet(str(tmp_path / "six"))
+    one, six = (spark.read.parquet(str(tmp_path / n)) for n in ("one", "six"))
+    assert "Exchange" in lines_from_table(one, partitions=4)._jdf.queryExecution().toString()
+    assert "Exchange" not in lines_from_table(six, partitions=4)._jdf.queryExecution().toString()
+    assert _rows(lines_from_table(one, partitions=4)) == _rows(lines_from_table(six)) and lines_from_table(one, partitions=4).count() == 100
