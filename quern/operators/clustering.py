@@ -49,6 +49,7 @@ STORAGE = StorageLevel.MEMORY_AND_DISK_DESER  # the DataFrame.cache() default: s
 REFRESH = 8  # seeding rounds between written frames of points and distances
 BLOCK_ROWS = 1024  # centres of one bucket in one row
 BLOCKS_IN_PLAN = 8  # blocks that one plan holds; then the best so far is written
+CHUNK = 8  # components that one row of the update sums
 CELLS = 4  # cells (bucket, salt) for each shuffle partition, so that few stay empty
 ROW_OVERHEAD = 96  # bytes per centre row besides its doubles, for size bounds
 
@@ -177,33 +178,17 @@ def _assign(pts: DataFrame, lists: DataFrame, layout: Layout, tables: ScratchTab
 # ----------------------------------------------------------------- seeding
 
 
-def _pick(cand: DataFrame, cid: int, grouped: bool, layout: Layout) -> DataFrame:
+def _pick(cand: DataFrame, cid: int, grouped: bool) -> DataFrame:
     """Per bucket, the row with the smallest ``key`` (lowest id on ties, NULL
-    keys never): ``bucket, cid, id, c``.
-
-    One bucket: a single streaming global aggregate. Many buckets: a hash
-    aggregate of the minimum key per bucket, then a lookup of the rows holding
-    it (a struct-valued ``min`` per group would sort every task's rows).
-    """
-    if not grouped:
-        m = cand.where("key IS NOT NULL").select(F.min(F.struct("key", "id", "p")).alias("m"))
-        return m.where(F.col("m").isNotNull()).select(
-            F.lit(0).cast("int").alias("bucket"),
-            F.lit(cid).cast("int").alias("cid"),
-            F.col("m.id").alias("id"),
-            F.col("m.p").alias("c"),
-        )
-    mins = cand.groupBy("bucket").agg(F.min("key").alias("kmin"))
-    # ``key <= kmin`` (kmin is the minimum, so this is equality) stays a
-    # condition instead of becoming a second join key
-    hits = _meet(cand, mins, layout).where(F.col("key") <= F.col("kmin"))
-    best = hits.groupBy("bucket").agg(F.min(F.struct("id", "p")).alias("m"))
-    return best.select(
-        "bucket",
-        F.lit(cid).cast("int").alias("cid"),
-        F.col("m.id").alias("id"),
-        F.col("m.p").alias("c"),
-    )
+    keys never): ``bucket, cid, id, c``. One aggregate, so the distances behind
+    the keys are computed once a round; with many buckets each task sorts its
+    rows by bucket, which costs less than a second pass over the distances."""
+    rows, row = cand.where("key IS NOT NULL"), F.struct("key", "id", "p")
+    if grouped:
+        best = rows.groupBy("bucket").agg(F.min(row).alias("m"))
+    else:
+        best = rows.select(F.min(row).alias("m")).where("m IS NOT NULL").withColumn("bucket", F.lit(0).cast("int"))
+    return best.select("bucket", F.lit(cid).cast("int").alias("cid"), F.col("m.id").alias("id"), F.col("m.p").alias("c"))
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -230,12 +215,12 @@ def _seed(pts: DataFrame, k: int, seed: int, stage: str, n_buckets: int, layout:
         return met.select(*columns, (F.least("d", d) if "d" in frame.columns else d).alias("d"))
 
     # Round 0: uniform over the points, weights ignored.
-    picks = [tables.put(_pick(pts.withColumn("key", -F.ln(u(0))), 0, grouped, layout), f"{stage}-pick0")]
+    picks = [tables.put(_pick(pts.withColumn("key", -F.ln(u(0))), 0, grouped), f"{stage}-pick0")]
     frame, newest, written = pts, [picks[0]], None
     for r in range(1, k):
         # d > 0 leaves out the chosen centres and exact copies of them.
         key = F.when((F.col("d") > 0) & (F.col("w") > 0), -F.ln(u(r)) / (F.col("w") * F.col("d")))
-        picks.append(tables.put(_pick(measured(frame, newest).withColumn("key", key), r, grouped, layout), f"{stage}-pick{r}"))
+        picks.append(tables.put(_pick(measured(frame, newest).withColumn("key", key), r, grouped), f"{stage}-pick{r}"))
         newest.append(picks[-1])
         if len(newest) == REFRESH and r + 1 < k:
             before, frame_before = written, frame
@@ -254,56 +239,65 @@ def _seed(pts: DataFrame, k: int, seed: int, stage: str, n_buckets: int, layout:
 # ------------------------------------------------------------------- Lloyd
 
 
-def _update(pts: DataFrame, lists: DataFrame, layout: Layout, tables: ScratchTables) -> DataFrame:
+def _update(pts: DataFrame, lists: DataFrame, layout: Layout, tables: ScratchTables, dim: int) -> DataFrame:
     """One Lloyd step inside every bucket: ``bucket, cid, c``.
 
     Each centre moves to the weighted mean of its points; a centre without
-    points keeps its place. The old centres enter the same aggregate as
-    weight-0 component rows, so no join is needed: components are summed per
-    ``(bucket, cid, pos)`` (partial + final hash aggregate: a large cluster
-    costs one row per task and component) and gathered per centre, ``dim``
-    entries each, so the work is linear in the number of centres.
+    points keeps its place. Vectors are summed in the partial aggregate, one
+    sum for each of ``CHUNK`` components: a point of up to that many components
+    is one row of it, a longer one a row for each chunk; a large cluster costs
+    one row per task and chunk. The old centres then join the few sums as rows
+    of weight 0, so the work is linear in the number of centres. (A join on
+    the nearest centre would make Catalyst evaluate it again in a filter.)
     """
     a = _assign(pts, lists, layout, tables)
-    moved = a.select(
-        "bucket", "cid", F.posexplode("p").alias("pos", "v"), F.col("w")
-    ).select(
-        "bucket", "cid", "pos",
-        (F.col("w") * F.col("v")).alias("wv"),
-        F.col("w").alias("ww"),
-        F.lit(None).cast("double").alias("old"),
-    )
-    kept = _unlist(lists).select(
-        "bucket", "cid", F.posexplode("c").alias("pos", "old")
-    ).select(
-        "bucket", "cid", "pos",
-        F.lit(0.0).alias("wv"),
-        F.lit(0).cast(a.schema["w"].dataType).alias("ww"),
-        F.col("old"),
-    )
-    comps = moved.unionByName(kept).groupBy("bucket", "cid", "pos").agg(
-        F.sum("wv").alias("sv"), F.sum("ww").alias("sw"), F.max("old").alias("old")
-    )
-    value = F.when(F.col("sw") > 0, F.col("sv") / F.col("sw")).otherwise(F.col("old"))
-    rows = comps.groupBy("bucket", "cid").agg(F.array_sort(F.collect_list(F.struct("pos", value.alias("v")))).alias("e"))
-    return rows.select("bucket", "cid", F.expr("transform(e, _x -> _x.v)").alias("c"))
-
-
-def _lloyd(pts: DataFrame, lists: DataFrame, iters: int, layout: Layout, tables: ScratchTables, stage: str) -> DataFrame:
+    chunks = max(1, -(-dim // CHUNK))
+    chunk = F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))) if chunks > 1 else F.lit(0)
+    rows = a.select("bucket", "cid", "p", "w", chunk.alias("chunk"))
+    width = max(1, min(dim, CHUNK))
+    sums = [F.sum(F.expr(f"w * get(p, chunk * {CHUNK} + {j})")).alias(f"s{j}") for j in range(width)]
+    moved = rows.groupBy("bucket", "cid", "chunk").agg(F.sum("w").alias("w"), *sums)
+    means = F.array(*[F.when(F.col("w") > 0, F.col(f"s{j}") / F.col("w")) for j in range(width)])
+    part = F.slice(means, F.lit(1), F.least(F.lit(width), F.lit(dim) - F.col("chunk") * CHUNK))
+    new = F.struct("chunk", part.alias("v")).alias("new")
+    both = moved.where("w > 0").select("bucket", "cid", new, F.lit(None).cast("array<double>").alias("old"))
+    both = both.unionByName(_unlist(lists).select("bucket", "cid", F.lit(None).cast(both.schema["new"].dataType).alias("new"), F.col("c").alias("old")))
+    met = both.groupBy("bucket", "cid").agg(F.sort_array(F.collect_list("new")).alias("new"), F.max("old").alias("old"))
+    c = F.expr("if(size(new) = 0, old, flatten(transform(new, _x -> _x.v)))")
+    return met.where("old IS NOT NULL").select("bucket", "cid", c.alias("c"))
+
+
+def _lloyd(
+    pts: DataFrame, lists: DataFrame, iters: int, layout: Layout, tables: ScratchTables, stage: str, dim: int
+) -> DataFrame:
     """List form after ``iters`` steps (written, if there is a step)."""
     before = None
     for it in range(iters):
-        lists = tables.put(_lists(_update(pts, lists, layout, tables), layout), f"{stage}-lloyd{it}")
+        lists = tables.put(_lists(_update(pts, lists, layout, tables, dim), layout), f"{stage}-lloyd{it}")
         if before is not None:
             tables.drop(before)
         before = lists
     return lists
 
 
-def _kmeanspp(pts: DataFrame, k: int, iters: int, seed: int, stage: str, n_buckets: int, layout: Layout, tables: ScratchTables) -> DataFrame:
+def _kmeanspp(
+    pts: DataFrame, k: int, iters: int, seed: int, stage: str, n_buckets: int, layout: Layout, tables: ScratchTables, dim: int
+) -> DataFrame:
     """Seeding then Lloyd in every bucket; returns the list form."""
-    seeds = _seed(pts, k, seed, stage, n_buckets, layout, tables)
-    return _lloyd(pts, tables.put(_lists(seeds, layout), f"{stage}-seeds"), iters, layout, tables, stage)
+    lists = _lists(_seed(pts, k, seed, stage, n_buckets, layout, tables), layout)
+    if k > REFRESH:  # the picks of fewer rounds are read as they are
+        lists = tables.put(lists, f"{stage}-seeds")
+    return _lloyd(pts, lists, iters, layout, tables, stage, dim)
+
+
+def _finished(lists: DataFrame, iters: int, tables: ScratchTables) -> DataFrame:
+    """``cid, c`` of a one-bucket model: the last step's table, if there was a
+    step, is all that stays."""
+    out = _unlist(lists).select("cid", "c")
+    if not iters:
+        return tables.finish(out)
+    tables.keep(lists)
+    return out
 
 
 def _with_weights(centres: DataFrame, weights: DataFrame, keys: list[str]) -> DataFrame:
@@ -395,27 +389,28 @@ def cluster_sizes(points: DataFrame, centres: DataFrame, weight_col: str | None
     return _with_weights(centres.select("cid", "c"), weights, ["cid"]).where("c IS NOT NULL")
 
 
-def _on_model(points: DataFrame, centres: DataFrame, weight_col: str | None) -> tuple[DataFrame, DataFrame, Layout]:
-    """Prepared points, the model's list form, and their layout."""
+def _on_model(points: DataFrame, centres: DataFrame, weight_col: str | None) -> tuple[DataFrame, DataFrame, Layout, int]:
+    """Prepared points, the model's list form, their layout, and the dimension."""
     pts = prepare_points(points, 1, 0, weight_col)
-    layout = _layout(pts, 1, *model_stats(centres))
-    return _laid_out(pts, layout), _lists(_one_bucket(centres), layout), layout
+    k, dim = model_stats(centres)
+    layout = _layout(pts, 1, k, dim)
+    return _laid_out(pts, layout), _lists(_one_bucket(centres), layout), layout, dim
 
 
 def centroid_update(points: DataFrame, centres: DataFrame, weight_col: str | None = None) -> DataFrame:
     """``cid, c``: one Lloyd step against fixed centres (weighted means)."""
-    pts, lists, layout = _on_model(points, centres, weight_col)
-    return _update(pts, lists, layout, ScratchTables(points.sparkSession, "update")).select("cid", "c")
+    pts, lists, layout, dim = _on_model(points, centres, weight_col)
+    return _update(pts, lists, layout, ScratchTables(points.sparkSession, "update"), dim).select("cid", "c")
 
 
 def lloyd(points: DataFrame, centres: DataFrame, iters: int, weight_col: str | None = None) -> DataFrame:
     """``cid, c`` after ``iters`` Lloyd rounds from the given centres."""
     _check(1, iters)
     tables = ScratchTables(points.sparkSession, "lloyd")
-    pts, lists, layout = _on_model(points, centres, weight_col)
+    pts, lists, layout, dim = _on_model(points, centres, weight_col)
     pts = pts.persist(STORAGE)
     try:
-        return tables.finish(_unlist(_lloyd(pts, lists, iters, layout, tables, "lloyd")).select("cid", "c"))
+        return _finished(_lloyd(pts, lists, iters, layout, tables, "lloyd", dim), iters, tables)
     finally:
         pts.unpersist(blocking=False)
 
@@ -438,7 +433,7 @@ def _coreset(points: DataFrame, k: int, n_buckets: int, iters: int, seed: int, t
     layout = _layout(pts, n_buckets, k, dim)
     pts = _laid_out(pts, layout).persist(STORAGE)
     try:
-        lists = _kmeanspp(pts, k, iters, seed, "coreset", n_buckets, layout, tables)
+        lists = _kmeanspp(pts, k, iters, seed, "coreset", n_buckets, layout, tables, dim)
         weights = _assign(pts, lists, layout, tables).groupBy("bucket", "cid").agg(F.sum("w").alias("w"))
         out = _with_weights(_unlist(lists), weights, ["bucket", "cid"]).where("w > 0")
         return tables.finish(out, "coreset"), dim
@@ -452,7 +447,7 @@ def _one_model(pts: DataFrame, k: int, iters: int, seed: int, stage: str, dim: i
     layout = _layout(pts, 1, k, dim)
     pts = _laid_out(pts, layout).persist(STORAGE)
     try:
-        return tables.finish(_unlist(_kmeanspp(pts, k, iters, seed, stage, 1, layout, tables)).select("cid", "c"))
+        return _finished(_kmeanspp(pts, k, iters, seed, stage, 1, layout, tables, dim), iters, tables)
     finally:
         pts.unpersist(blocking=False)
 
