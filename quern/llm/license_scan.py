@@ -107,29 +107,54 @@ def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _runs(blocks: Column, ranges: list[tuple[int, int]]) -> Column:
-    """The runs of (normalised, not empty) blocks whose numbers of words lie in
-    one of the ranges. Of one start at most as many blocks are tried as the
-    largest range has words."""
+def _grams(text: Column) -> Column:
+    """Word bigrams of a normalised text, repeats included."""
+    of = lambda w: F.when(
+        F.size(w) > 1, F.transform(F.sequence(F.lit(1), F.size(w) - 1), lambda i: F.concat(w[i - 1], F.lit(" "), w[i]))
+    ).otherwise(F.array().cast("array<string>"))
+    return F.transform(F.array(F.split(text, " ")), of)[0]
+
+
+def _runs(blocks: Column, ranges: list[tuple[int, int]], known: list[str], share: float) -> Column:
+    """The runs of (normalised, not empty) blocks that may match a template:
+    the number of words lies in one of the ranges, and of the bigrams, those into
+    each block too, at least ``share`` a word are ``known`` ones of the templates.
+
+    A run is tried only between two blocks that have a known bigram: one that
+    matches still does without a block at its end that has none. So blocks of
+    other text cost nothing but their own bigrams, however many they are."""
     most = max(b for _, b in ranges)
-    ends = F.aggregate(
-        F.transform(blocks, lambda p: F.size(F.split(p, " "))),
-        F.array(F.lit(0)),
-        lambda a, n: F.concat(a, F.array(F.element_at(a, -1) + n)),
+    # Each block behind the last word of the one before it.
+    joined = lambda x: F.transform(
+        x, lambda p, i: F.when(i == 0, p).otherwise(F.concat(F.substring_index(F.get(x, i - 1), " ", -1), F.lit(" "), p))
     )
+    sums = lambda counts: F.aggregate(counts, F.array(F.lit(0)), lambda a, n: F.concat(a, F.array(F.element_at(a, -1) + n)))
+    count = lambda p, h: F.when(F.size(h) == 0, 0).otherwise(F.size(F.filter(_grams(p), lambda g: F.array_contains(h, g))))
+
+    def counted(x: Column) -> Column:
+        """The blocks that have a known bigram, and sums of words and known bigrams in front of each."""
+        here = F.array_intersect(_grams(F.array_join(x, " ")), F.split(F.lit("|".join(known)), "[|]"))
+        hits = F.transform(F.array(here), lambda h: F.transform(joined(x), lambda p: count(p, h)))[0]
+        at = lambda y: F.filter(F.sequence(F.lit(0), F.size(y["hits"]) - 1), lambda i: F.get(y["hits"], i) > 0)
+        words = lambda y: sums(F.transform(y["blocks"], lambda p: F.size(F.split(p, " "))))
+        whole = lambda y: F.struct(y["blocks"].alias("blocks"), at(y).alias("at"), words(y).alias("words"), sums(y["hits"]).alias("hits"))
+        return F.transform(
+            F.array(F.struct(x.alias("blocks"), hits.alias("hits"))), lambda y: F.when(F.exists(y["hits"], lambda n: n > 0), whole(y))
+        )[0]
+
+    def of_start(x: Column, k: Column) -> Column:
+        i = x["at"][k]
+        words = lambda j: x["words"][j + 1] - x["words"][i]
+        near = lambda j: x["hits"][j + 1] - x["hits"][i] >= share * words(j)
+        ends = F.filter(
+            F.slice(x["at"], k + 1, F.lit(most)), lambda j: reduce(operator.or_, [words(j).between(a, b) for a, b in ranges]) & near(j)
+        )
+        return F.transform(ends, lambda j: F.array_join(F.slice(x["blocks"], i + 1, j - i + 1), " "))
 
-    def of_start(x: Column, i: Column) -> Column:
-        words = lambda j: x["ends"][j + 1] - x["ends"][i]
-        last = F.least(F.size(x["blocks"]) - 1, i + most)
-        fit = F.filter(F.sequence(i, last), lambda j: reduce(operator.or_, [words(j).between(a, b) for a, b in ranges]))
-        return F.transform(fit, lambda j: F.array_join(F.slice(x["blocks"], i + 1, j - i + 1), " "))
-
-    # one struct in an array, so that the ends are counted once
+    # one struct in an array, so that the sums are made once
     each = F.transform(
-        F.array(F.struct(blocks.alias("blocks"), ends.alias("ends"))),
-        lambda x: F.when(
-            F.size(x["blocks"]) > 0, F.flatten(F.transform(F.sequence(F.lit(0), F.size(x["blocks"]) - 1), lambda i: of_start(x, i)))
-        ).otherwise(F.array().cast("array<string>")),
+        F.filter(F.transform(F.array(blocks), lambda x: F.when(F.size(x) > 0, counted(x))), lambda x: x.isNotNull()),
+        lambda x: F.flatten(F.transform(F.sequence(F.lit(0), F.size(x["at"]) - 1), lambda k: of_start(x, k))),
     )
     return F.flatten(each)
 
@@ -177,7 +202,8 @@ def scan(
     how many different units reach it.
 
     A run of blocks is compared if its number of words is one that ``run_bounds``
-    gives for some template. Units that normalise to the same words count once. Null and empty texts,
+    gives for some template, its first and last block have a bigram of some
+    template, and enough of its bigrams are of templates. Units that normalise to the same words count once. Null and empty texts,
     texts of one word, and templates of one word match nothing. Rows that
     repeat are scanned each on its own. Of the templates that a unit reaches
     only those of its best coefficient count (versions of a licence are much
@@ -203,11 +229,14 @@ def scan(
 
     some = some.where(may(F.col("text")))
     normal = lambda u: F.btrim(F.regexp_replace(u, "[^a-z0-9]+", " "))
-    ranges = _merged([run_bounds(len(b), len(_words(v)), threshold) for _, b, v in named])
+    of_runs = [run_bounds(len(b), len(_words(v)), threshold) for _, b, v in named]
+    known = sorted({g for _, b, _ in named for g in b})
+    # a run that a template allows shares at least its least number of bigrams
+    share = min((low - 1) / high for low, high in of_runs)
     blocks = F.filter(F.transform(F.split("t", BLOCK_CUT, -1), normal), lambda u: u != "")
     pieces = F.concat(F.array("t"), *[F.split("t", cut, -1) for cut in (*CUTS, WRAPPED_CUT)])
     units = some.select("doc_id", F.translate("text", _UPPER, _LOWER).alias("t")).select(
-        "doc_id", F.filter(F.array_distinct(F.concat(F.transform(pieces, normal), _runs(blocks, ranges))), may).alias("units")
+        "doc_id", F.filter(F.array_distinct(F.concat(F.transform(pieces, normal), _runs(blocks, _merged(of_runs), known, share))), may).alias("units")
     )
     grams = units.select(
         "doc_id",

@@ -122,6 +122,15 @@ def test_license_scan_finds_licences_of_several_paragraphs_inside_a_text(spark):
     assert {(r.doc_id, r.license, r.dice) for r in license_scan.scan(docs).collect()} == {(0, "MIT", 1.0), (1, "GPL-3.0 header", 1.0), (2, "MIT notice", 1.0)}
 
 
+def test_license_scan_of_a_text_of_many_blocks(spark):
+    """Blocks of other text do not multiply; a licence among them is found."""
+    rows = [f"one two w{i}" for i in range(1500)]
+    rows[700:700] = license_scan.TEMPLATES["ISC"].split(". ")
+    docs = spark.createDataFrame([(1, "\n\n".join([*rows, "Released under the MIT License."]))], "doc_id long, text string")
+    got = {(r.doc_id, r.license, r.dice) for r in license_scan.scan(docs).collect()}
+    assert got == {(1, "ISC", 1.0), (1, "MIT notice", 1.0)}
+
+
 def test_license_scan_knows_the_common_licences(spark):
     more = license_scan.MORE
     texts = {
