@@ -5,7 +5,9 @@ Long texts are cut before encoding, but only where the split pattern must
 begin a new match: in front of a space or line break that follows a letter or
 digit. No alternative of the pattern runs from a letter or digit into white
 space, so the pieces, and with them the ids, are those of the whole text. A
-stretch without such a place stays whole.
+stretch without such a place stays whole. A long run of white space, on which the split
+would backtrack too deep, is one match of the pattern, less its last character
+if text follows: it goes to the merges as it is.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ CHUNK_CHARS = 1 << 16
 SLICE_BYTES = 8 << 20
 MAX_RANK_BYTES = 64 << 20  # of a rank file; it is broadcast
 _SAFE = re.compile(r"(?<=[0-9A-Za-z])(?=[ \n])")
+#: White space as the split pattern has it, 4096 characters or more.
+_BLANK = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}")
 
 
 def safe_chunks(text: str, size: int = CHUNK_CHARS) -> Iterator[str]:
@@ -55,7 +59,14 @@ def encode_text(enc, text: str, size: int = CHUNK_CHARS) -> list[int]:
     """Ids of the whole text, without special tokens."""
     if len(text) <= size:
         return enc.encode_ordinary(text)
-    return [i for part in safe_chunks(text, size) for i in enc.encode_ordinary(part)]
+    out: list[int] = []
+    start = 0
+    for m in _BLANK.finditer(text):
+        end = m.end() - (m.end() < len(text))
+        out += [i for part in safe_chunks(text[start : m.start()], size) for i in enc.encode_ordinary(part)]
+        out += enc._encode_single_piece(text[m.start() : end])
+        start = end
+    return out + [i for part in safe_chunks(text[start:], size) for i in enc.encode_ordinary(part)]
 
 
 def read_ranks(path: str) -> bytes:

@@ -47,7 +47,7 @@ class Words(dict):
     def __missing__(self, word: bytes) -> tuple[int, int]:
         if len(self) >= 1 << 19:
             self.clear()
-        shape = _RUN.sub(rb"\1", word[:256].translate(_CLASS))
+        shape = _RUN.sub(rb"\1", word.translate(_CLASS))
         x = self[word] = xxhash.xxh64_intdigest(word), xxhash.xxh64_intdigest(shape, 7)
         return x
 

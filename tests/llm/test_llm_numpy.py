@@ -314,3 +314,17 @@ def test_temperature_softens_an_overconfident_network():
     x = rng.normal(size=(600, quality.WIDTH))
     y = ((x[:, 0] + rng.normal(size=600)) > 0).astype(float)
     assert quality.fit(x, y).temperature > 1.2
+
+
+@pytest.mark.parametrize("text", [" " * 300_000, "x" + " " * 100_000 + "y  z", "\n" * 90_000 + " end", "a" + "\u3000" * 80_000, "q \t" * 40_000 + "\t " * 70_000 + "!"])
+def test_long_blank_runs_have_the_ids_of_the_pattern(text):
+    enc = bpe.encoding(RANKS, P.PATTERN)
+    assert bpe.encode_text(enc, text) == enc.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("unit", [" ", "\n", "\t", "a", "-"])
+def test_very_long_runs_do_not_end_the_job(unit):
+    enc = bpe.encoding(RANKS, P.PATTERN)
+    text = unit * 3_000_000 + "end"
+    ids = bpe.encode_text(enc, text)
+    assert enc.decode_bytes(ids) == text.encode() and len(ids) < len(text)
