@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -328,3 +329,39 @@ def test_very_long_runs_do_not_end_the_job(unit):
     text = unit * 3_000_000 + "end"
     ids = bpe.encode_text(enc, text)
     assert enc.decode_bytes(ids) == text.encode() and len(ids) < len(text)
+
+
+_LONG = "This is a long paragraph of the text that has quite a few words and goes on for a while, so that it is dense. " * 3
+_TWO = f"<p>{_LONG}</p><p>{_LONG}</p>"
+
+
+@pytest.mark.parametrize(
+    ("page", "more"),
+    [
+        (f"<body><section><h2>Head</h2><p>Short one.</p></section><section>{_TWO}</section></body>", ["Head", "Short one."]),
+        (f"<body><div><div><h1>Title</h1><p>Lead</p></div><div>{_TWO}</div></div><div><a href=x>nav</a></div></body>", ["Title", "Lead"]),
+        (f"<body><div>{_TWO}<table><caption>T</caption><tr><td>1</td><td>2</td></tr></table><figure><img><figcaption>Cap</figcaption></figure></div></body>", ["T", "1 2", "Cap"]),
+        (f"<body><div>{_TWO}<p>See <a href=x>a page with a long link</a></p><ul><li><a href=q>link</a></li></ul></div></body>", ["See a page with a long link"]),
+        (f"<body><div class='content related-layout'>{_TWO}</div><div class=sidebar>side</div></body>", []),
+        (f"<body><div id='ad-policy-article'><div class='menu-page'>{_TWO}</div></div></body>", []),
+        (f"<body><article class='notice-board'>{_TWO}</article></body>", []),
+        (f"<body><form><div>{_TWO}</div><input></form></body>", []),
+        (f"<body><div>{_TWO}</div><div class=comments>{_TWO * 9}</div></body>", []),
+    ],
+)
+def test_pages_without_article_keep_their_text(page, more):
+    lines = html_text.extract(page).split("\n")
+    assert lines.count(_LONG.strip()) == 2 and sorted(x for x in lines if x != _LONG.strip()) == sorted(more)
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<b>" * 80_000 + "</i>" * 80_000, "<b>" * 30_000 + "<li></li>" * 30_000, "<b>" * 30_000 + "<svg>" + "<article>x" * 30_000,
+        "<b><article>" + "<i>" * 50_000 + "</b>" * 50_000, "<div>x" * 80_000, "<p>" * 150_000, "<div class=menu>x" * 30_000,
+    ],
+)
+def test_time_is_linear_in_unclosed_tags(page):
+    start = time.process_time()
+    html_text.extract(page)
+    assert time.process_time() - start < 30  # quadratic steps take minutes
