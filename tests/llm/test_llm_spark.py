@@ -403,6 +403,9 @@ def test_pipeline_stages_against_plain_versions(spark):
                 assert not hit and r["n_chars"] == len(r["text"])
         else:
             enc = bpe.encoding(bpe.read_ranks(catalog.RANKS), catalog.PATTERN)
+            for i, r in rows.items():
+                data = before[i]["text"].encode()
+                assert (r["n_bytes"], r["decoded_sha256"]) == (len(data), hashlib.sha256(data).hexdigest())
             assert set(rows) == set(before) and all(r["ids"] == enc.encode_ordinary(before[i]["text"]) for i, r in rows.items())
         docs, before, seen[name] = out, rows, rows
     final = {r.doc_id: r.ids for r in corpus_pipeline.run(spark, SF_SMALL).collect()}
