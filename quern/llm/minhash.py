@@ -4,13 +4,15 @@ Every shingle of a text (five words, A-Z lower-cased, punctuation out) is a
 Poisson process whose rate is its weight, drawn by hash so that all texts agree
 on it; each arrival goes to a random register, and a register keeps the shingle
 that arrives first. Two signatures agree in a register with the probability
-Jaccard similarity of the weighted shingles. A link is a Jaccard similarity of
-sets, so each distinct shingle has weight one here, however often a text has
-it, and that similarity is the Jaccard similarity itself. Arrivals are made up
-to a time by which all registers are usually filled; later ones cannot matter,
-and only texts with an empty register go on.
-
-Equal texts are one node from here on. Bands of registers put texts in
+Jaccard similarity of the weighted shingles. Each text has two: one weighs a
+shingle by how often the text has it; in the other each distinct shingle has
+weight one, and the similarity is the Jaccard similarity of sets itself. A link
+is one of sets, so the second must propose every link alone; the first adds
+bands where what a text repeats counts. Arrivals are made up to a time by which
+all registers are usually filled; later ones cannot matter, and only texts with
+an empty register go on.
+
+Equal texts are one node from here on. Bands of both signatures put texts in
 buckets. In each bucket every text is compared exactly (Jaccard of the shingle
 sets) with the bucket's most central text, so a bucket costs as many rows as it
 has texts. Links make components. Where a bucket still holds more than one
@@ -36,8 +38,10 @@ from quern.session import ScratchTables
 
 SHINGLE = 5
 THRESHOLD = 0.8
-BANDS, ROWS = 24, 5  # at a similarity of 0.8 a pair shares a band with 99.99 %
+BANDS, ROWS = 24, 5  # of sets: at a similarity of 0.8 a pair shares a band with 99.99 %
+WEIGHTED_BANDS = 8  # of counted shingles: at a probability similarity of 0.8 with 96 %
 SLOTS = 64
+SALTS = 64  # cells of a node's neighbourhood in the star steps
 SLICE_BYTES = 4 << 20
 
 
@@ -99,10 +103,10 @@ def signatures(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, n_docs:
     return out
 
 
-def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """One 64-bit key per band."""
+def band_keys(signature: np.ndarray, bands: int, rows: int, before: int = 0) -> np.ndarray:
+    """One 64-bit key per band; ``before`` bands have keys of their own already."""
     z = signature.reshape(len(signature), bands, rows)
-    key = np.arange(1, bands + 1, dtype=np.uint64)[None, :] * np.uint64(0xD1342543DE82EF95)
+    key = np.arange(before + 1, before + bands + 1, dtype=np.uint64)[None, :] * np.uint64(0xD1342543DE82EF95)
     for r in range(rows):
         key = mix(key ^ z[:, :, r]) + np.uint64(r)
     return key
@@ -112,15 +116,17 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in slices(batches, "text", SLICE_BYTES):
         words = [folded_words(x) for x in texts(batch.column("text"))]
-        doc, element, _ = shingles(words, hashes)  # a link is a similarity of sets, so each weighs one
+        doc, element, count = shingles(words, hashes)
         n = np.bincount(doc, minlength=len(words))
-        keys = band_keys(signatures(doc, element, np.ones(len(doc)), len(words), BANDS * ROWS), BANDS, ROWS).view(np.int64)
+        sets = band_keys(signatures(doc, element, np.ones(len(doc)), len(words), BANDS * ROWS), BANDS, ROWS)
+        counted = band_keys(signatures(doc, element, count, len(words), WEIGHTED_BANDS * ROWS), WEIGHTED_BANDS, ROWS, BANDS)
+        keys = np.concatenate([sets, counted], axis=1).view(np.int64)
         yield pa.RecordBatch.from_arrays(
             [
                 *(batch.column(c) for c in ("r1", "r2", "doc_id")),
                 pa.array([xxhash.xxh3_128_digest(b" ".join(w)) if w else None for w in words], pa.binary()),
                 pa.array(n, pa.int32()),
-                pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel()), BANDS).cast(pa.list_(pa.int64())),
+                pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel()), BANDS + WEIGHTED_BANDS).cast(pa.list_(pa.int64())),
             ],
             names=["r1", "r2", "doc_id", "c", "n", "bands"],
         )
@@ -139,6 +145,16 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # ---------------------------------------------------------------- components
 
 
+def _with_least(edges: DataFrame) -> DataFrame:
+    """``u, v`` with ``m``, the least ``v`` of the ``u``. The least goes to each
+    cell (a hash of ``v``) that the node has an edge in, and the edges meet it
+    by node and cell, so a hot node's edges are spread over ``SALTS`` places;
+    a node of few edges costs no more rows than it has edges."""
+    salted = edges.withColumn("cell", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+    least = salted.groupBy("u").agg(F.min("v").alias("m"), F.collect_set("cell").alias("cells"))
+    return salted.join(least.select("u", "m", F.explode("cells").alias("cell")), ["u", "cell"]).drop("cell")
+
+
 def components(links: DataFrame, tables: ScratchTables) -> DataFrame:
     """``c, comp`` for every node of ``links`` (a, b): its component's least
     node. Large-star and small-star steps (Kiveris et al., 2014) by aggregation
@@ -149,11 +165,11 @@ def components(links: DataFrame, tables: ScratchTables) -> DataFrame:
     while (now := print_(edges)) != before:
         before = now
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = tables.put(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = tables.put(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "small")
+        far = _with_least(both).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
+        large = tables.put(far.distinct(), "large")
+        # a node's edge to its least stays; its other neighbours get one to that least
+        small = _with_least(large).select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+        edges = tables.put(small.distinct(), "small")
     roots = edges.select(F.col("v").alias("c"), F.col("v").alias("comp")).distinct()
     return tables.put(edges.select(F.col("u").alias("c"), F.col("v").alias("comp")).unionByName(roots), "components")
 

@@ -115,6 +115,32 @@ def test_repetition_measures():
         assert got["base_failed"][i] == failed and not (failed and got["kept"][i])
 
 
+def test_the_verdict_follows_from_the_shares():
+    rng = random.Random(6)
+    unlike = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    docs = []
+    for _ in range(150):
+        again = unlike(rng.choice([5, 6, 10, 20]))
+        words = [*unlike(rng.randint(10, 120)), *again, *unlike(rng.randint(0, 60)), *again[: rng.choice([5, 10, 20])]]
+        line = rng.choice(["", "long" * 9]) + " ".join(unlike(rng.randint(1, 4)))
+        lines = [x for _ in range(rng.randint(1, 9)) for x in (line, " ".join(unlike(3)))]
+        docs.append("\n".join([" ".join(words if rng.random() < 0.5 else unlike(20)), *lines, " ".join(unlike(30))]))
+    got = repetition.measure([d.encode() for d in docs], WordHashes())
+    seen = set()
+    for i, d in enumerate(docs):
+        n_words, _, _, _, n_repeat, shares = _measured(d)
+        lines = [x for x in d.split("\n") if x.split()]
+        chars = lambda some: sum(len(w) for x in some for w in x.split())
+        line_share = 1 - chars(dict.fromkeys(lines)) / chars(lines)
+        assert got["dup_line_char_share"][i] == pytest.approx(line_share)
+        bad = n_words < 10 or 100 * n_repeat > 20 * n_words
+        over = [s > most for s, most in zip(shares, repetition.MAX_NGRAM_SHARE.values(), strict=True)]
+        kept = not bad and line_share <= repetition.MAX_LINE_CHAR_SHARE and not any(over)
+        assert got["kept"][i] == kept
+        seen.add((bad, line_share > repetition.MAX_LINE_CHAR_SHARE, any(over)))
+    assert {(False, False, False), (False, True, False), (False, False, True)} <= seen
+
+
 # ----------------------------------------------------------------- wordpiece
 
 
@@ -245,6 +271,11 @@ def test_shingles_are_counted():
     assert value[doc == 3][0] in value[doc == 0]
 
 
+def test_counted_and_plain_bands_have_keys_of_their_own():
+    same = np.ones((1, 15), np.uint64)
+    assert len({*minhash.band_keys(same, 3, 5)[0].tolist(), *minhash.band_keys(same, 3, 5, 3)[0].tolist()}) == 6
+
+
 # -------------------------------------------------------------------- licence
 
 

@@ -16,6 +16,7 @@ import corpus_pipeline
 from conftest import SF_MID, SF_SMALL
 from quern.llm import bpe, catalog, decontam, html_text, license_scan, line_dedup, minhash, quality, repetition, substring_dedup, wordpiece
 from quern.llm.common import folded_words, table
+from quern.session import ScratchTables
 from test_oracle import _canon
 
 LONG = " ".join(f"w{i % 977}x{i // 977}" for i in range(30_000))
@@ -361,6 +362,20 @@ def test_near_duplicates_meet_whatever_their_counts(spark):
     assert got == _classes(rows) == {i: i - i % 2 for i in range(40)}
 
 
+def test_components_of_hot_nodes(spark):
+    rng = random.Random(9)
+    pairs = [(0, i) for i in range(1, 400)] + [(900, i) for i in range(500, 900)] + [(399, 450), (450, 451)]
+    pairs += [(a, a + 1) for a in range(1000, 1030)] + [tuple(rng.sample(range(1100, 1300), 2)) for _ in range(150)]
+    name = lambda i: f"{i:05d}"
+    links = spark.createDataFrame([tuple(map(name, rng.sample(p, 2))) for p in pairs], "a string, b string").repartition(5)
+    group = {i: i for p in pairs for i in p}
+    for a, b in pairs:
+        lo, hi = sorted((group[a], group[b]))
+        group = {x: lo if g == hi else g for x, g in group.items()}
+    got = minhash.components(links, ScratchTables(spark, "test")).collect()
+    assert len(got) == len(group) and {r.c: r.comp for r in got} == {name(i): name(g) for i, g in group.items()}
+
+
 def test_near_duplicates_on_odd_rows(odd):
     got = sorted((r.doc_id or 0, r.class_id or 0) for r in minhash.classes(odd).collect())
     assert got == [(0, 0), (0, 0), (1, 1), (1, 1), (2, 2), (3, 3), (4, 4), (5, 5), (5, 5), (6, 6)]
