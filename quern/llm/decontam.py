@@ -9,9 +9,12 @@ suffix positions sampled every ``SAMPLE`` words. All phrases are then searched
 backwards at once, their rows are located through the sampled positions, and
 the occurrences merge into removal spans. Documents are never shuffled.
 
-The phrases are the stated query set. They travel as broadcast blocks of at
-most ``block_bytes`` of benchmark text (sizes are summed first); a larger
-benchmark takes more blocks, and every block is searched in all documents.
+The phrases are the stated query set. They travel as broadcast blocks of about
+``block_bytes`` of benchmark text and ``block_windows`` windows (both are summed
+first). A larger benchmark takes more blocks, and every block is searched in
+all documents: what a block hits is written, its broadcast destroyed, and the
+next one built, so that only one block is held at a time; the hits of all
+blocks then join the documents.
 """
 
 from __future__ import annotations
@@ -19,16 +22,20 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from quern.llm.common import FOLDED_WORD, cut_spans, folded_words, map_arrow, packed, slices, texts
+from quern.session import ScratchTables
 
 SAMPLE = 8
+BLOCK_WINDOWS = 1 << 20
+SALTS = 16
 _WORD = re.compile(FOLDED_WORD.encode())
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -151,26 +158,29 @@ class Phrases:
 
     vocabulary: dict[bytes, int]
     windows: list[np.ndarray]  # one matrix for each length
-    items: list[list[list[int]]]  # for each window, the items that have it
+    owners: list[tuple[np.ndarray, np.ndarray]]  # the items that have each window, one after the other, and where each window's begin
     names: list[str]
 
 
 def phrases_of(rows: list[tuple[object, str | None]], window: int) -> Phrases:
     vocabulary: dict[bytes, int] = {}
-    found: dict[int, dict[tuple[int, ...], set[int]]] = {}
     names: dict[str, int] = {}
+    found: dict[int, list[tuple[int, np.ndarray]]] = {}  # by length: items and their words
     for name, text in rows:
-        ids = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in folded_words((text or "").encode())]
+        words = folded_words((text or "").encode())
+        ids = np.fromiter((vocabulary.setdefault(w, len(vocabulary) + 1) for w in words), np.int32, len(words))
         item = names.setdefault("null" if name is None else str(name), len(names))
-        size = min(window, len(ids))
-        for i in range(len(ids) - size + 1) if ids else ():
-            found.setdefault(size, {}).setdefault(tuple(ids[i : i + size]), set()).add(item)
-    return Phrases(
-        vocabulary,
-        [np.array(list(w), np.int64) for _, w in sorted(found.items())],
-        [[sorted(x) for x in w.values()] for _, w in sorted(found.items())],
-        list(names),
-    )
+        if len(ids):
+            found.setdefault(min(window, len(ids)), []).append((item, ids))
+    windows, owners = [], []
+    for size, texts_ in sorted(found.items()):
+        every = np.concatenate([np.lib.stride_tricks.sliding_window_view(ids, size) for _, ids in texts_])
+        of = np.repeat([item for item, _ in texts_], [len(ids) - size + 1 for _, ids in texts_])
+        distinct, which = np.unique(every, axis=0, return_inverse=True)
+        pairs = np.unique(np.stack([which.reshape(-1), of], axis=1), axis=0)
+        windows.append(distinct)
+        owners.append((pairs[:, 1].astype(np.int32), np.searchsorted(pairs[:, 0], np.arange(len(distinct) + 1))))
+    return Phrases(vocabulary, windows, owners, list(names))
 
 
 def search_shard(docs: list[list[bytes]], phrases: Phrases) -> tuple[np.ndarray, np.ndarray, list[list[int]]]:
@@ -199,7 +209,7 @@ def search_shard(docs: list[list[bytes]], phrases: Phrases) -> tuple[np.ndarray,
     index = FMIndex(seq, len(phrases.vocabulary) + 1)
     edge = np.zeros(total + 1, np.int64)
     pairs: set[tuple[int, int]] = set()
-    for windows, owners in zip(phrases.windows, phrases.items, strict=True):
+    for windows, (owners, begin) in zip(phrases.windows, phrases.owners, strict=True):
         lo, hi = index.search(windows)
         n = hi - lo
         which = np.repeat(np.arange(len(windows)), n)
@@ -211,7 +221,7 @@ def search_shard(docs: list[list[bytes]], phrases: Phrases) -> tuple[np.ndarray,
         np.add.at(edge, at + windows.shape[1], -1)
         doc = np.searchsorted(starts, at, side="right") - 1
         for d, w in np.unique(np.stack([doc, which], 1), axis=0).tolist():
-            pairs.update((d, item) for item in owners[w])
+            pairs.update((d, item) for item in owners[begin[w] : begin[w + 1]].tolist())
     hit = np.cumsum(edge[:-1]) > 0
     for d, item in sorted(pairs):
         items[d].append(item)
@@ -254,35 +264,69 @@ def _spans(data: bytes, ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 _PAIRS = "array<struct<start:int,end:int>>"
+_SPAN = ArrayType(StructType([StructField("start", IntegerType()), StructField("end", IntegerType())]))
+_COLUMNS = {"n_words": LongType(), "hits": _SPAN, "items": ArrayType(StringType()), "spans": _SPAN}
+_PAIR_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+
+def _pairs(column: list[list[tuple[int, int]]]) -> pa.Array:
+    return pa.array([[{"start": a, "end": b} for a, b in x] for x in column], _PAIR_TYPE)
+
+
+def _found(phrases: Phrases, data: list[bytes]) -> tuple[np.ndarray, list[list[tuple[int, int]]], list[list[str]]]:
+    """Words of each text, its ranges of hit words, and its items in order."""
+    hit, starts, items = search_shard([folded_words(x) for x in data], phrases)
+    hits = [_ranges(hit[a:b]) for a, b in zip(starts[:-1], starts[1:], strict=True)]
+    return np.diff(starts), hits, [sorted(phrases.names[i] for i in x) for x in items]
+
+
+def _search(shared, shard_bytes: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All of a row's columns by one block."""
+    for batch in slices(batches, "text", shard_bytes):
+        data = texts(batch.column("text"))
+        n_words, hits, names = _found(shared.value, data)
+        spans = [_spans(x, r) if r else [] for x, r in zip(data, hits, strict=True)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("row"), batch.column("text"), pa.array(n_words, pa.int64()), _pairs(hits), pa.array(names, pa.list_(pa.string())), _pairs(spans)],
+            names=["row", "text", "n_words", "hits", "items", "spans"],
+        )
 
 
-def _search(shared, last: bool, shard_bytes: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    phrases: Phrases = shared.value
-    pair = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-    pairs = lambda column: pa.array([[{"start": a, "end": b} for a, b in x] for x in column], pair)
+def _search_block(shared, shard_bytes: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What one of several blocks hits, of texts with a hit."""
+    for batch in slices(batches, "text", shard_bytes):
+        _, hits, names = _found(shared.value, texts(batch.column("text")))
+        rows = pa.array([i for i, x in enumerate(hits) if x], pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("r").take(rows), _pairs(hits).take(rows), pa.array(names, pa.list_(pa.string())).take(rows)],
+            names=["r", "hits", "items"],
+        )
+
+
+def _merge(shard_bytes: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All of a row's columns from the hits of several blocks."""
     for batch in slices(batches, "text", shard_bytes):
         data = texts(batch.column("text"))
-        hit, starts, items = search_shard([folded_words(x) for x in data], phrases)
-        hits = [_ranges(hit[a:b]) for a, b in zip(starts[:-1], starts[1:], strict=True)]
-        names = [[phrases.names[i] for i in x] for x in items]
-        for i, old in enumerate(batch.column("hits").to_pylist()):  # of the blocks before
-            if old:
-                hits[i] = merge_ranges([*hits[i], *((x["start"], x["end"]) for x in old)])
-        for i, old in enumerate(batch.column("items").to_pylist()):
-            names[i] = sorted({*names[i], *(old or ())})
-        spans = [_spans(x, r) if last and r else [] for x, r in zip(data, hits, strict=True)]
+        hits = [merge_ranges([(x["start"], x["end"]) for x in old or ()]) for old in batch.column("hits").to_pylist()]
+        names = [sorted({*(x or ())}) for x in batch.column("items").to_pylist()]
+        n_words = [len(folded_words(x)) for x in data]
+        spans = [_spans(x, r) if r else [] for x, r in zip(data, hits, strict=True)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("row"), batch.column("text"), pa.array(np.diff(starts), pa.int64()), pairs(hits), pa.array(names, pa.list_(pa.string())), pairs(spans)],
-            names=batch.schema.names,
+            [batch.column("row"), batch.column("text"), pa.array(n_words, pa.int64()), _pairs(hits), pa.array(names, pa.list_(pa.string())), _pairs(spans)],
+            names=["row", "text", "n_words", "hits", "items", "spans"],
         )
 
 
-def blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_bytes: int) -> tuple[int, Iterator[Phrases]]:
-    """How many blocks of about ``block_bytes`` of text the benchmark takes,
-    and the phrases of each, one block at a time on the driver."""
+def blocks(
+    benchmark: DataFrame, item_col: str, text_col: str, window: int, block_bytes: int, block_windows: int = BLOCK_WINDOWS
+) -> tuple[int, Iterator[Phrases]]:
+    """How many blocks the benchmark takes, and the phrases of each, one block
+    at a time on the driver. Items go to blocks by a hash; one item that is
+    larger than a block makes its block as large as itself."""
     rows = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).alias("text")).distinct()
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-int(size) // block_bytes))
+    words = F.regexp_count(F.lower("text"), F.lit(FOLDED_WORD))  # an item has no more windows than words
+    size, count = rows.agg(F.sum(F.octet_length("text")), F.sum(words)).first()
+    n = max(1, -(-int(size or 0) // block_bytes), -(-int(count or 0) // block_windows))
     part = lambda b: rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == b)
     return n, (phrases_of([tuple(r) for r in part(b).collect()], window) for b in range(n))
 
@@ -296,7 +340,8 @@ def find(
     item_text_col: str = "text",
     window: int = 10,
     shard_bytes: int = 8 << 20,
-    block_bytes: int = 16 << 20,
+    block_bytes: int = 8 << 20,
+    block_windows: int = BLOCK_WINDOWS,
 ) -> DataFrame:
     """``row`` (all columns of ``docs`` as a struct), ``text``, ``n_words``,
     ``hits``, ``items`` and ``spans`` for each row of ``docs``.
@@ -308,19 +353,33 @@ def find(
     that repeat are handled each on its own; equal items count once; an item
     without id is named ``null``.
     """
-    context = docs.sparkSession.sparkContext
-    out = packed(
-        docs,
-        text=F.col(text_col),
-        n_words=F.lit(0).cast("long"),
-        hits=F.lit(None).cast(_PAIRS),
-        items=F.lit(None).cast("array<string>"),
-        spans=F.lit(None).cast(_PAIRS),
+    spark = docs.sparkSession
+    context = spark.sparkContext
+    row = packed(docs, text=F.col(text_col))
+    done = StructType([*row.schema, *(StructField(c, t) for c, t in _COLUMNS.items())])
+    n, parts = blocks(benchmark, item_col, item_text_col, window, block_bytes, block_windows)
+    if n == 1:
+        return map_arrow(row, partial(_search, context.broadcast(next(parts)), shard_bytes), done)
+    tables = ScratchTables(spark, "decontamination")
+    # a text, or null, that many rows have is joined in ``SALTS`` places, by what else the rows hold
+    other = [F.col(f"row.`{f.name}`") for f in docs.schema if not re.search("map<|variant", f.dataType.simpleString())]
+    keyed = row.select(
+        "row", "text", F.unhex(F.sha2("text", 256)).alias("r"), F.pmod(F.xxhash64(*other), F.lit(SALTS)).cast("int").alias("cell")
     )
-    n, parts = blocks(benchmark, item_col, item_text_col, window, block_bytes)
-    for b, phrases in enumerate(parts):  # every block sees every document; what was found goes along
-        out = map_arrow(out, partial(_search, context.broadcast(phrases), b == n - 1, shard_bytes), out.schema)
-    return out
+    found = []
+    for phrases in parts:
+        shared = context.broadcast(phrases)
+        one = map_arrow(keyed.select("r", "text"), partial(_search_block, shared, shard_bytes), f"r binary, hits {_PAIRS}, items array<string>")
+        # texts that repeat are one row of each task before they are shuffled
+        found.append(tables.put(one.groupBy("r").agg(F.first("hits").alias("hits"), F.first("items").alias("items")), "hits"))
+        shared.destroy()
+    every = reduce(DataFrame.unionByName, found).groupBy("r").agg(
+        F.flatten(F.collect_list("hits")).alias("hits"), F.flatten(F.collect_list("items")).alias("items")
+    )
+    every = tables.put(every, "all-hits")
+    tables.keep(every)
+    cells = every.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return map_arrow(keyed.join(cells, ["r", "cell"], "left").select("row", "text", "hits", "items"), partial(_merge, shard_bytes), done)
 
 
 #: Hit words of a row, as SQL.

@@ -120,7 +120,7 @@ def test_the_verdict_follows_from_the_shares():
     unlike = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
     docs = []
     for _ in range(150):
-        again = unlike(rng.choice([5, 6, 10, 20]))
+        again = ["long" * rng.choice([0, 9]) + w for w in unlike(rng.choice([5, 6, 10, 20]))]
         words = [*unlike(rng.randint(10, 120)), *again, *unlike(rng.randint(0, 60)), *again[: rng.choice([5, 10, 20])]]
         line = rng.choice(["", "long" * 9]) + " ".join(unlike(rng.randint(1, 4)))
         lines = [x for _ in range(rng.randint(1, 9)) for x in (line, " ".join(unlike(3)))]

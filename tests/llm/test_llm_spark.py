@@ -198,6 +198,21 @@ def test_decontamination_on_odd_rows(spark, odd):
     assert decontam.decontaminate(whole, spark.createDataFrame([(1, "only this")], "item_id long, text string")).count() == 0
 
 
+def test_blocks_find_what_one_block_finds(spark, monkeypatch):
+    docs, items = table(spark, SF_SMALL, "documents"), table(spark, SF_SMALL, "benchmark")
+    docs = docs.withColumn("more", F.create_map(F.lit("a"), F.lit(1)))  # no hash of a map
+    docs = docs.unionByName(docs.where("doc_id % 3 = 0")).unionByName(docs.limit(40).withColumn("text", F.lit(None).cast("string")))
+    made = []
+    build = decontam.phrases_of
+    monkeypatch.setattr(decontam, "phrases_of", lambda *a: made.append(1) or build(*a))
+    one = decontam.find(docs, items).drop("row")
+    windows = items.select(F.sum(F.size(F.split("text", " ")))).first()[0]
+    some = decontam.find(docs, items, block_windows=windows // 5)
+    assert len(made) > 5 and some.columns == ["row", *one.columns] and some.schema["row"].dataType == docs.schema
+    key = lambda df: sorted(map(repr, df.drop("row").collect()))
+    assert key(one) == key(some) and one.where("size(hits) > 0").count() > 0
+
+
 def test_repeated_items_fill_no_block(spark, monkeypatch):
     rows = [(1, "a b c d")] * 300 + [(i, f"w{i} x{i}") for i in range(2, 30)]
     read = []
