@@ -42,7 +42,7 @@ BANDS, ROWS = 24, 5  # of sets: at a similarity of 0.8 a pair shares a band with
 WEIGHTED_BANDS = 8  # of counted shingles: at a probability similarity of 0.8 with 96 %
 SLOTS = 64
 SALTS = 64  # cells of a node's neighbourhood in the star steps
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 # ---------------------------------------------------------------- signatures
