@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm.common import map_arrow, packed, slices
+from quern.llm.common import map_arrow, packed, slices, with_field
 
 CHUNK_CHARS = 1 << 16
 SLICE_BYTES = 8 << 20
@@ -79,9 +79,9 @@ def read_ranks(path: str) -> bytes:
     return ranks
 
 
-def _encode(shared, digests: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _encode(shared, text_at: int, digests: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     enc = encoding(*shared.value)
-    for batch in slices(batches, "text", SLICE_BYTES):
+    for batch in slices(with_field(batches, text_at), "text", SLICE_BYTES):
         ids, n, ids_sha, text_sha = [], [], [], []
         for text in batch.column("text").to_pylist():
             got = np.array(encode_text(enc, text or ""), "<u4")
@@ -122,9 +122,9 @@ def encode(docs: DataFrame, path: str, pattern: str, *, text_col: str = "text",
     Null and empty texts have no ids. One row out for each row in.
     """
     kinds = "ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>"
-    inp = packed(docs, text=F.col(text_col))
+    inp = packed(docs)
     schema = f"row {inp.schema['row'].dataType.simpleString()}, n_tokens bigint, {kinds}"
-    return map_arrow(inp, partial(_encode, _shared(docs.sparkSession, path, pattern), digests), schema)
+    return map_arrow(inp, partial(_encode, _shared(docs.sparkSession, path, pattern), docs.columns.index(text_col), digests), schema)
 
 
 def decode(tokens: DataFrame, path: str, pattern: str, *, ids_col: str = "ids") -> DataFrame:

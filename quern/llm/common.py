@@ -127,6 +127,14 @@ def packed(docs: DataFrame, **more: Column) -> DataFrame:
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[v.alias(k) for k, v in more.items()])
 
 
+def with_field(batches: Iterator[pa.RecordBatch], at: int, name: str = "text") -> Iterator[pa.RecordBatch]:
+    """Batches of ``row`` with its field ``at`` beside it, not copied: a text
+    that is in the row need not be sent a second time."""
+    for batch in batches:
+        row = batch.column("row")
+        yield pa.RecordBatch.from_arrays([row, row.field(at)], names=["row", name])
+
+
 _shipped: set[str] = set()
 
 

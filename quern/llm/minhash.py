@@ -43,6 +43,7 @@ WEIGHTED_BANDS = 8  # of counted shingles: at a probability similarity of 0.8 wi
 SLOTS = 64
 SALTS = 64  # cells of a node's neighbourhood in the star steps
 SLICE_BYTES = 1 << 20
+KNOWN_WORDS = 1 << 18  # whose hashes a task remembers
 
 
 # ---------------------------------------------------------------- signatures
@@ -113,7 +114,7 @@ def band_keys(signature: np.ndarray, bands: int, rows: int, before: int = 0) ->
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
+    hashes = WordHashes(KNOWN_WORDS)
     for batch in slices(batches, "text", SLICE_BYTES):
         words = [folded_words(x) for x in texts(batch.column("text"))]
         doc, element, count = shingles(words, hashes)
@@ -133,7 +134,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
+    hashes = WordHashes(KNOWN_WORDS)
     for batch in slices(batches, "text", SLICE_BYTES):
         words = [folded_words(x) for x in texts(batch.column("text"))]
         doc, element, _ = shingles(words, hashes)

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import map_arrow, mix, packed, slices, spaced_words, texts
+from quern.llm.common import map_arrow, mix, packed, slices, spaced_words, texts, with_field
 
 DIM = 32  # of index vectors and of context vectors
 BUCKETS = 1 << 14
@@ -36,6 +36,7 @@ HIDDEN, EPOCHS, BATCH, RATE, DECAY = 32, 40, 256, 2e-3, 1e-4
 THRESHOLD = 0.3
 SLICE_BYTES = 2 << 20
 BLOCK = 1 << 16  # words whose vectors are in memory at once
+KNOWN_WORDS = 1 << 18  # whose hashes a task remembers
 
 _CLASS = bytes(65 if 65 <= c <= 90 else 97 if 97 <= c <= 122 or c >= 128 else 48 if 48 <= c <= 57 else c for c in range(256))
 _RUN = re.compile(rb"(.)\1+", re.S)
@@ -45,7 +46,7 @@ class Words(dict):
     """word -> (hash, hash of its shape); bounded."""
 
     def __missing__(self, word: bytes) -> tuple[int, int]:
-        if len(self) >= 1 << 19:
+        if len(self) >= KNOWN_WORDS:
             self.clear()
         shape = _RUN.sub(rb"\1", word.translate(_CLASS))
         x = self[word] = xxhash.xxh64_intdigest(word), xxhash.xxh64_intdigest(shape, 7)
@@ -224,10 +225,10 @@ def _features(table, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("label"), rows], names=["key", "label", "x"])
 
 
-def _scores(model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _scores(model, text: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     table, net = model.value
     words = Words()
-    for batch in slices(batches, "text", SLICE_BYTES):
+    for batch in slices(with_field(batches, text), "text", SLICE_BYTES):
         score = net.scores(pooled(texts(batch.column("text")), table, words))
         yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(score)], names=["row", "score"])
 
@@ -271,6 +272,6 @@ def score(docs: DataFrame, model: tuple[np.ndarray, Network], *, text_col: str =
     """``row`` (all columns of ``docs`` as a struct) and ``score``, the
     calibrated probability of label 1 by the text alone. Null and empty texts
     are scored as documents without words; one row out for each row in."""
-    inp = packed(docs, text=F.col(text_col))
+    inp = packed(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return map_arrow(inp, partial(_scores, shared), f"row {inp.schema['row'].dataType.simpleString()}, score double")
+    return map_arrow(inp, partial(_scores, shared, docs.columns.index(text_col)), f"row {inp.schema['row'].dataType.simpleString()}, score double")
