@@ -44,8 +44,11 @@ def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, lang, source, n_tokens, ids, n_bytes, decoded_sha256``: the training
     tokens, and length and SHA-256 of the bytes that they decode to. Null and empty
-    texts have no ids and no bytes; rows that repeat are encoded each on its own."""
+    texts have no ids and no bytes; rows that repeat are encoded each on its own.
+    The ids are written before they are decoded: a task that did both would hold two
+    Python workers, which executors keep for the tasks after it."""
     done = bpe.encode(docs, RANKS, PATTERN).select("row.doc_id", "row.lang", "row.source", "n_tokens", "ids")
+    done = ScratchTables(spark, "encoding").put(done, "tokens")
     back = bpe.decode(done, RANKS, PATTERN)
     return back.select("row.*", F.octet_length("data").cast("long").alias("n_bytes"), F.sha2("data", 256).alias("decoded_sha256"))
 

@@ -105,8 +105,9 @@ def _lists(values: list[np.ndarray], sizes: list[int]) -> pa.Array:
 
 def _decode(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     enc = encoding(*shared.value)
-    for batch in batches:
-        data = [enc.decode_bytes(x) if x is not None else None for x in batch.column("ids").to_pylist()]
+    for batch in slices(batches, "ids", SLICE_BYTES):
+        # one document's ids at a time are Python numbers, which take ten times the memory
+        data = [enc.decode_bytes(x.values.to_numpy().tolist()) if x.is_valid else None for x in batch.column("ids")]
         yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(data, pa.binary())], names=["row", "data"])
 
 

@@ -86,10 +86,15 @@ def texts(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
-    """The batches cut into runs of rows whose ``column`` holds at most
-    ``max_bytes`` (a longer single row comes alone)."""
+    """The batches cut into runs of rows whose ``column`` (text, or lists of
+    numbers) holds at most ``max_bytes`` (a longer single row comes alone)."""
     for batch in batches:
-        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+        values = batch.column(column)
+        if pa.types.is_list(values.type):
+            sizes = pc.multiply(pc.list_value_length(values), values.type.value_type.byte_width)
+        else:
+            sizes = pc.binary_length(values)
+        sizes = sizes.fill_null(0).to_numpy(zero_copy_only=False)
         start, total = 0, 0
         for i, n in enumerate(sizes):
             if total and total + n > max_bytes:

@@ -3,10 +3,13 @@
 import random
 import re
 import time
+import tracemalloc
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer, models
 
@@ -38,6 +41,24 @@ def test_chunks_change_no_id():
         assert enc.decode_bytes(enc.encode_ordinary(t)) == t.encode()
 
 
+def test_decoding_holds_little_of_a_large_batch_at_once():
+    enc = bpe.encoding(RANKS, P.PATTERN)
+    texts = [f"document {i} of a batch with many ids, " * 150 for i in range(3000)] + [None, ""]
+    ids = [None if t is None else enc.encode_ordinary(t) for t in texts]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(ids))), pa.array(ids, pa.list_(pa.int32()))], names=["row", "ids"])
+    del ids
+    tracemalloc.start()
+    done, most = [], 0
+    for part in bpe._decode(SimpleNamespace(value=(RANKS, P.PATTERN)), iter([batch])):
+        most = max(most, part.num_rows)
+        done += zip(part.column("row").to_pylist(), part.column("data").to_pylist(), strict=True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < len(texts) and batch.column("ids").nbytes > bpe.SLICE_BYTES
+    assert peak < 8 * batch.column("ids").nbytes
+    assert done == [(i, None if t is None else t.encode()) for i, t in enumerate(texts)]
+
+
 # ------------------------------------------------------------------ decontam
 
 

@@ -442,6 +442,14 @@ def test_pipeline_stages_against_plain_versions(spark):
     assert final == {i: r["ids"] for i, r in seen["encoding"].items()}
 
 
+def test_pipeline_tasks_hold_one_python_worker(odd):
+    docs = odd.withColumn("lang", F.lit("en"))
+    out = corpus_pipeline.encode(odd.sparkSession, docs, SF_SMALL)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    data = [(r.text or "").encode() for r in odd.select("text").collect()]
+    assert sorted(r.decoded_sha256 for r in out.collect()) == sorted(hashlib.sha256(x).hexdigest() for x in data)
+
+
 def test_nothing_else_imports_the_text_operators():
     root = os.path.dirname(corpus_pipeline.__file__)
     for folder, _, names in os.walk(os.path.join(root, "quern")):
