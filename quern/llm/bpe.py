@@ -103,9 +103,9 @@ def _lists(values: list[np.ndarray], sizes: list[int]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*values, np.empty(0, np.int32)]), pa.int32()))
 
 
-def _decode(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _decode(shared, ids_at: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     enc = encoding(*shared.value)
-    for batch in slices(batches, "ids", SLICE_BYTES):
+    for batch in slices(with_field(batches, ids_at, "ids"), "ids", SLICE_BYTES):
         # one document's ids at a time are Python numbers, which take ten times the memory
         data = [enc.decode_bytes(x.values.to_numpy().tolist()) if x.is_valid else None for x in batch.column("ids")]
         yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(data, pa.binary())], names=["row", "data"])
@@ -131,6 +131,6 @@ def encode(docs: DataFrame, path: str, pattern: str, *, text_col: str = "text",
 def decode(tokens: DataFrame, path: str, pattern: str, *, ids_col: str = "ids") -> DataFrame:
     """``row`` (all columns of ``tokens``) and ``data``, the raw bytes of the
     ids (they need not be whole UTF-8); null ids give null."""
-    inp = packed(tokens, ids=F.col(ids_col))
+    inp = packed(tokens)
     schema = f"row {inp.schema['row'].dataType.simpleString()}, data binary"
-    return map_arrow(inp, partial(_decode, _shared(tokens.sparkSession, path, pattern)), schema)
+    return map_arrow(inp, partial(_decode, _shared(tokens.sparkSession, path, pattern), tokens.columns.index(ids_col)), schema)
